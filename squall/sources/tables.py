@@ -8,6 +8,8 @@ from pyspark.sql import types as T
 
 from squall.operators.columns import nan_to_null
 
+STAMP = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """CSV with a header and a declared schema; a file with other columns fails the read."""
@@ -17,13 +19,14 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
         .option("enforceSchema", False)
         .option("mode", "FAILFAST")
         .option("nanValue", "NaN")
+        .option("timestampFormat", STAMP)
         .csv(path)
     )
     return nan_to_null(frame)
 
 
 def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    writer = df.write.mode("overwrite").option("header", True)
+    writer = df.write.mode("overwrite").option("header", True).option("timestampFormat", STAMP)
     (writer.partitionBy(*partition_by) if partition_by else writer).csv(path)
 
 
