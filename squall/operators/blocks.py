@@ -7,10 +7,11 @@ an ordinary window, across blocks through one summary row (or a few halo rows) p
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from squall.operators.columns import quoted
 from squall.storage import materialise
 
 BLOCK = "__block"
@@ -80,22 +81,33 @@ def range_blocks(df: DataFrame, order: Sequence[str], max_rows: int = MAX_BLOCK_
     return materialise(ranged, "blocks")
 
 
-def ordering(ts: str, ties: Sequence[str] = ()) -> Column:
-    """Sort position of a row as one value."""
-    return F.struct(ts, *ties) if ties else F.col(ts)
+def position(ts: str, ties: Sequence[str] = ()) -> str:
+    """SQL of the sort position of a row as one value."""
+    names = ", ".join(map(quoted, [ts, *ties]))
+    return f"struct({names})" if ties else names
 
 
-def inside_block(
-    ts: str, keys: Sequence[str] = (), ties: Sequence[str] = (), reverse: bool = False
-) -> Window:
-    """Window over one block in time order (or against it)."""
-    order = [F.desc(c) if reverse else F.asc(c) for c in [ts, *ties]]
-    return Window.partitionBy(*keys, BLOCK).orderBy(*order)
+def over_block(
+    ts: str,
+    keys: Sequence[str] = (),
+    ties: Sequence[str] = (),
+    reverse: bool = False,
+    frame: str = "rows between unbounded preceding and current row",
+) -> str:
+    """SQL window over one block in time order (or against it)."""
+    by = ", ".join(map(quoted, [*keys, BLOCK]))
+    order = ", ".join(f"{quoted(c)} {'desc' if reverse else 'asc'}" for c in [ts, *ties])
+    return f"over (partition by {by} order by {order} {frame})"
 
 
-def across_blocks(keys: Sequence[str] = (), reverse: bool = False) -> Window:
-    """Window over the block summaries of one key; only ever used on those."""
-    return Window.partitionBy(*keys).orderBy(F.desc(BLOCK) if reverse else F.asc(BLOCK))
+def over_summaries(
+    keys: Sequence[str] = (),
+    reverse: bool = False,
+    frame: str = "rows between unbounded preceding and 1 preceding",
+) -> str:
+    """SQL window over the block summaries of one key; only ever used on those."""
+    by = f"partition by {', '.join(map(quoted, keys))} " if keys else ""
+    return f"over ({by}order by {BLOCK} {'desc' if reverse else 'asc'} {frame})"
 
 
 def row_index(
@@ -110,15 +122,15 @@ def row_index(
 ) -> DataFrame:
     """Consecutive row number from 1 per key in `(ts, ties)` order."""
     blocked = with_block(df, ts, keys, ties, width, max_rows)
-    earlier = across_blocks(keys).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         blocked.groupBy(*keys, BLOCK)
         .count()
-        .select(*keys, BLOCK, F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("__offset"))
+        .selectExpr(
+            *map(quoted, [*keys, BLOCK]),
+            f"coalesce(sum(count) {over_summaries(keys)}, 0) as __offset",
+        )
     )
-    return (
-        blocked.withColumn(name, F.row_number().over(inside_block(ts, keys, ties)))
-        .join(offsets, [*keys, BLOCK])
-        .withColumn(name, F.col(name) + F.col("__offset"))
-        .select(*[c for c in df.columns if c != name], name)
+    numbered = blocked.selectExpr("*", f"row_number() {over_block(ts, keys, ties)} as __n")
+    return numbered.join(offsets, [*keys, BLOCK]).selectExpr(
+        *[quoted(c) for c in df.columns if c != name], f"__n + __offset as {quoted(name)}"
     )

@@ -7,8 +7,9 @@ from itertools import combinations_with_replacement
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from squall.operators.columns import quoted
 from squall.operators.quantiles import quantile_stats
-from squall.operators.stats import STATS, attach, column_stats
+from squall.operators.stats import STATS, attach, column_stats, figure, struct, unstacked
 from squall.storage import materialise
 
 PAIRS_PER_PASS = 200
@@ -18,26 +19,31 @@ WHISKER = 1.5
 
 def profile(df: DataFrame, cols: Sequence[str], **options) -> DataFrame:
     """One row per column: type, counts, moments and quartiles."""
-    moments = column_stats(df, cols, {"nulls": _nulls, "mean": F.avg, "std": F.stddev_samp})
-    both = moments.withColumn("__q", quantile_stats(df, cols, [0.25, 0.5, 0.75], **options).scalar())
-
-    def row(c: str) -> Column:
-        m, q = F.col(STATS)[c], F.col("__q")[c]
-        return F.struct(
-            F.lit(c).alias("column"),
-            F.lit(df.schema[c].dataType.simpleString()).alias("type"),
-            F.coalesce(q["n"], F.lit(0)).alias("count"),
-            m["nulls"].alias("nulls"),
-            m["mean"].alias("mean"),
-            m["std"].alias("std"),
-            q["min"].alias("min"),
-            q["q"][0].alias("q1"),
-            q["q"][1].alias("median"),
-            q["q"][2].alias("q3"),
-            q["max"].alias("max"),
+    figures = {
+        "nulls": "count_if({x} is null)", "mean": "avg({x})", "std": "stddev_samp({x})",
+    }
+    quartiles = quantile_stats(df, cols, [0.25, 0.5, 0.75], **options)
+    both = column_stats(df, cols, figures).withColumn("__q", quartiles.scalar())
+
+    def row(c: str) -> str:
+        q = f"__q.{quoted(c)}"
+        return struct(
+            {
+                "column": f"'{c}'",
+                "type": f"'{df.schema[c].dataType.simpleString()}'",
+                "count": f"coalesce({q}.n, 0L)",
+                "nulls": figure(c, "nulls"),
+                "mean": figure(c, "mean"),
+                "std": figure(c, "std"),
+                "min": f"{q}.min",
+                "q1": f"{q}.q[0]",
+                "median": f"{q}.q[1]",
+                "q3": f"{q}.q[2]",
+                "max": f"{q}.max",
+            }
         )
 
-    return both.select(F.inline(F.array(*[row(c) for c in cols])))
+    return both.selectExpr(unstacked([row(c) for c in cols]))
 
 
 def null_profile(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
@@ -46,11 +52,8 @@ def null_profile(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ()) -
 
 
 def null_cells(cols: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a + b, [F.col(c).isNull().cast("int") for c in cols])
-
-
-def _nulls(col: Column) -> Column:
-    return F.count_if(col.isNull())
+    """Number of nulls in a row."""
+    return F.expr(" + ".join(f"int({quoted(c)} is null)" for c in cols) or "0")
 
 
 def correlation_matrix(
@@ -67,22 +70,21 @@ def correlation_matrix(
     parts = []
     for start in range(0, len(pairs), pairs_per_pass):
         chunk = pairs[start : start + pairs_per_pass]
-        sums = df.groupBy(*keys).agg(
-            F.array(*[_correlation(a, b) for a, b in chunk]).alias("__corr")
-        )
+        figures = ", ".join(_correlation(a, b) for a, b in chunk)
+        sums = df.groupBy(*keys).agg(F.expr(f"array({figures})").alias("__corr"))
         cells = [
-            F.struct(F.lit(x).alias("col_a"), F.lit(y).alias("col_b"), F.col("__corr")[i].alias("corr"))
+            struct({"col_a": f"'{x}'", "col_b": f"'{y}'", "corr": f"__corr[{i}]"})
             for i, (a, b) in enumerate(chunk)
             for x, y in ([(a, b)] if a == b else [(a, b), (b, a)])
         ]
-        parts.append(sums.select(*keys, F.inline(F.array(*cells))))
+        parts.append(sums.selectExpr(*map(quoted, keys), unstacked(cells)))
     return reduce(DataFrame.unionByName, parts)
 
 
-def _correlation(a: str, b: str) -> Column:
-    x = F.when(F.col(b).isNotNull(), F.col(a))
-    y = F.when(F.col(a).isNotNull(), F.col(b))
-    return F.try_divide(F.covar_pop(a, b), F.sqrt(F.var_pop(x)) * F.sqrt(F.var_pop(y)))
+def _correlation(a: str, b: str) -> str:
+    a, b = quoted(a), quoted(b)
+    x, y = f"case when {b} is not null then {a} end", f"case when {a} is not null then {b} end"
+    return f"try_divide(covar_pop({a}, {b}), sqrt(var_pop({x})) * sqrt(var_pop({y})))"
 
 
 def histogram(df: DataFrame, col: str, **options) -> DataFrame:
@@ -147,7 +149,7 @@ def kde(
     before; an approximation for columns with very many distinct values.
     """
     x = F.col(col).cast("double")
-    figures = {"n": F.count, "lo": F.min, "hi": F.max, "std": F.stddev_samp}
+    figures = {"n": "count({x})", "lo": "min({x})", "hi": "max({x})", "std": "stddev_samp({x})"}
     stats = column_stats(df.select(x.alias(col)), [col], figures)
     shape = materialise(stats.select(F.col(STATS)[col].alias("s")).filter("s.std > 0"), "kde-shape")
     s = shape.scalar()

@@ -3,10 +3,9 @@
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from squall.functions.rates import flag
+from squall.operators.columns import quoted
 from squall.operators.quantiles import quantile_stats
 from squall.operators.stats import attach, figure
 
@@ -36,9 +35,9 @@ def quantile_flags(
     probs = sorted({f.p for f in flags.values()})
     joined = attach(df, quantile_stats(df, cols, probs, keys, **options), keys)
 
-    def test(f: QuantileFlag) -> Column:
-        limit = figure(f.column, "q")[probs.index(f.p)]
-        return flag(F.col(f.column) > limit if f.above else F.col(f.column) < limit)
+    def test(f: QuantileFlag) -> str:
+        limit = figure(f.column, f"q[{probs.index(f.p)}]")
+        return f"int(coalesce({quoted(f.column)} {'>' if f.above else '<'} {limit}, false))"
 
-    added = [test(f).alias(name) for name, f in flags.items()]
-    return joined.select(*[c for c in df.columns if c not in flags], *added)
+    added = [f"{test(f)} as {quoted(name)}" for name, f in flags.items()]
+    return joined.selectExpr(*[quoted(c) for c in df.columns if c not in flags], *added)

@@ -2,25 +2,22 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from squall.operators.blocks import (
     BLOCK,
     MAX_BLOCK_ROWS,
-    across_blocks,
     epoch_seconds,
-    inside_block,
-    ordering,
+    over_block,
+    over_summaries,
+    position,
     with_block,
 )
-from squall.operators.columns import non_null_counts
+from squall.operators.columns import non_null_counts, quoted, replaced
 from squall.operators.stats import attach, column_stats, figure
 
-UP_TO_NOW = (Window.unboundedPreceding, 0)
-BEFORE_NOW = (Window.unboundedPreceding, -1)
-
 # Which rule fills which hourly column, by exact name, then by part of the name.
 ZERO_FILLED = ("precipitation", "rain", "showers", "snowfall")
 INTERPOLATED_PARTS = ("temperature", "humidity", "pressure")
@@ -38,11 +35,13 @@ def ffill(
 ) -> DataFrame:
     """Last known value of each column; leading nulls stay."""
     blocked = with_block(df, ts, keys, ties, width, max_rows)
-    carry = _carried(blocked, cols, F.max_by, ts, keys, ties, {c: F.col(c) for c in cols})
-    here = inside_block(ts, keys, ties).rowsBetween(*UP_TO_NOW)
-    filled = blocked.withColumns({c: F.last(c, ignorenulls=True).over(here) for c in cols})
-    return filled.join(carry, [*keys, BLOCK], "left").select(
-        *[_or_carried(df, c) if c in cols else F.col(c) for c in df.columns]
+    carry = _carried(blocked, cols, "max_by", ts, keys, ties, {c: quoted(c) for c in cols})
+    here = over_block(ts, keys, ties)
+    filled = replaced(
+        blocked, blocked, {c: f"last({quoted(c)}, true) {here}" for c in cols}
+    ).join(carry, [*keys, BLOCK], "left")
+    return replaced(
+        df, filled, {c: f"coalesce({quoted(c)}, {quoted(c + '__carry')})" for c in cols}
     )
 
 
@@ -61,29 +60,26 @@ def interpolate_time(
     Leading nulls stay null; after the last known value that value is kept.
     """
     blocked = with_block(df, ts, keys, ties, width, max_rows).withColumn("__at", _seconds(df, ts))
-    points = {c: F.struct(F.col("__at").alias("t"), F.col(c).cast("double").alias("v")) for c in cols}
-    before = _carried(blocked, cols, F.max_by, ts, keys, ties, points)
-    after = _carried(blocked, cols, F.min_by, ts, keys, ties, points, reverse=True, suffix="__next")
-    forward = inside_block(ts, keys, ties).rowsBetween(*UP_TO_NOW)
-    backward = inside_block(ts, keys, ties, reverse=True).rowsBetween(*UP_TO_NOW)
-
-    def known(c: str) -> Column:
-        return F.when(F.col(c).isNotNull(), points[c])
-
-    near = blocked.withColumns(
-        {f"{c}__p": F.last(known(c), ignorenulls=True).over(forward) for c in cols}
-        | {f"{c}__n": F.last(known(c), ignorenulls=True).over(backward) for c in cols}
+    points = {c: f"named_struct('t', __at, 'v', double({quoted(c)}))" for c in cols}
+    before = _carried(blocked, cols, "max_by", ts, keys, ties, points)
+    after = _carried(blocked, cols, "min_by", ts, keys, ties, points, reverse=True, suffix="__next")
+    forward, backward = over_block(ts, keys, ties), over_block(ts, keys, ties, reverse=True)
+    known = {c: f"case when {quoted(c)} is not null then {points[c]} end" for c in cols}
+    near = blocked.selectExpr(
+        "*",
+        *[f"last({known[c]}, true) {forward} as {quoted(c + '__p')}" for c in cols],
+        *[f"last({known[c]}, true) {backward} as {quoted(c + '__n')}" for c in cols],
     )
     near = near.join(before, [*keys, BLOCK], "left").join(after, [*keys, BLOCK], "left")
 
-    def value(c: str) -> Column:
-        p = F.coalesce(f"{c}__p", f"{c}__carry")
-        n = F.coalesce(f"{c}__n", f"{c}__next")
-        share = F.try_divide(F.col("__at") - p["t"], n["t"] - p["t"])
-        line = p["v"] + (n["v"] - p["v"]) * share
-        return F.coalesce(F.col(c).cast("double"), line, p["v"]).alias(c)
+    def value(c: str) -> str:
+        p = f"coalesce({quoted(c + '__p')}, {quoted(c + '__carry')})"
+        n = f"coalesce({quoted(c + '__n')}, {quoted(c + '__next')})"
+        share = f"try_divide(__at - {p}.t, {n}.t - {p}.t)"
+        line = f"{p}.v + ({n}.v - {p}.v) * {share}"
+        return f"coalesce(double({quoted(c)}), {line}, {p}.v)"
 
-    return near.select(*[value(c) if c in cols else F.col(c) for c in df.columns])
+    return replaced(df, near, {c: value(c) for c in cols})
 
 
 def fill_zero(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -94,10 +90,8 @@ def fill_mean(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ()) -> D
     """Mean of the column (per key); a column without any value stays null."""
     if not cols:
         return df
-    joined = attach(df, column_stats(df, cols, {"mean": F.avg}, keys), keys)
-    return joined.select(
-        *[F.coalesce(c, figure(c, "mean")).alias(c) if c in cols else F.col(c) for c in df.columns]
-    )
+    joined = attach(df, column_stats(df, cols, {"mean": "avg({x})"}, keys), keys)
+    return replaced(df, joined, {c: f"coalesce({quoted(c)}, {figure(c, 'mean')})" for c in cols})
 
 
 def fill_rules(cols: Sequence[str]) -> dict[str, str]:
@@ -138,29 +132,29 @@ def impute_by_rule(
 def _carried(
     blocked: DataFrame,
     cols: Sequence[str],
-    pick,
+    pick: str,
     ts: str,
     keys: Sequence[str],
     ties: Sequence[str],
-    values: dict[str, Column],
+    values: dict[str, str],
     reverse: bool = False,
     suffix: str = "__carry",
 ) -> DataFrame:
     """Per block, the nearest known value in the blocks before it (after it if `reverse`)."""
-    at = ordering(ts, ties)
+    at = position(ts, ties)
     edge = blocked.groupBy(*keys, BLOCK).agg(
-        *[pick(values[c], F.when(F.col(c).isNotNull(), at)).alias(c) for c in cols]
+        *[
+            F.expr(f"{pick}({values[c]}, case when {quoted(c)} is not null then {at} end)").alias(c)
+            for c in cols
+        ]
     )
-    past = across_blocks(keys, reverse).rowsBetween(*BEFORE_NOW)
-    return edge.select(
-        *keys, BLOCK, *[F.last(c, ignorenulls=True).over(past).alias(f"{c}{suffix}") for c in cols]
+    past = over_summaries(keys, reverse)
+    return edge.selectExpr(
+        *map(quoted, [*keys, BLOCK]),
+        *[f"last({quoted(c)}, true) {past} as {quoted(c + suffix)}" for c in cols],
     )
 
 
-def _or_carried(df: DataFrame, c: str) -> Column:
-    return F.coalesce(c, f"{c}__carry").alias(c, metadata=df.schema[c].metadata)
-
-
 def _seconds(df: DataFrame, ts: str) -> Column:
     """Time as a number for interpolation, to the microsecond for timestamps."""
     if isinstance(df.schema[ts].dataType, T.TimestampType):

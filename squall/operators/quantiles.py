@@ -12,7 +12,8 @@ from itertools import chain
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from squall.operators.stats import STATS
+from squall.operators.columns import quoted
+from squall.operators.stats import column_stats, figure, struct, to_wide, unstacked
 from squall.storage import materialise
 
 MAX_VALUES_IN_TASK = 2_000_000
@@ -35,12 +36,12 @@ def quantile_stats(
     `method="approx"` uses `approx_percentile` (no interpolation, rank error 1/accuracy).
     """
     if method == "approx":
-        return _grouped(df, cols, keys, lambda c: F.approx_percentile(c, list(probs), accuracy))
+        return _grouped(df, cols, keys, f"approx_percentile({{x}}, {_array(probs)}, {accuracy})")
     if method != "exact":
         raise ValueError(f"unknown quantile method: {method}")
     rows = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
     if rows * len(cols) <= max_values_in_task:
-        return _grouped(df, cols, keys, lambda c: F.percentile(c, F.array(*map(F.lit, probs))))
+        return _grouped(df, cols, keys, f"percentile({{x}}, {_array(probs)})")
     return _bracketed(df, cols, probs, keys, bins)
 
 
@@ -49,36 +50,32 @@ def quantiles(
 ) -> DataFrame:
     """Long form: one row `(keys…, column, p, value)` per quantile."""
     stats = quantile_stats(df, cols, probs, keys, **options)
-    rows = [
-        F.struct(F.lit(c).alias("column"), F.lit(float(p)).alias("p"),
-                 F.col(STATS)[c]["q"][i].alias("value"))
+    cells = [
+        struct({"column": f"'{c}'", "p": f"{float(p)}D", "value": figure(c, f"q[{i}]")})
         for c in cols
         for i, p in enumerate(probs)
     ]
-    return stats.select(*keys, F.inline(F.array(*rows)))
+    return stats.selectExpr(*map(quoted, keys), unstacked(cells))
 
 
-def _grouped(df: DataFrame, cols, keys, quantile) -> DataFrame:
-    def figures(c: str) -> Column:
-        x = F.col(c)
-        return F.struct(
-            F.count(x).alias("n"),
-            F.min(x).cast("double").alias("min"),
-            F.max(x).cast("double").alias("max"),
-            quantile(x).cast("array<double>").alias("q"),
-        ).alias(c)
+def _array(probs: Sequence[float]) -> str:
+    return f"array({', '.join(f'{float(p)}D' for p in probs)})"
 
-    return df.groupBy(*keys).agg(F.struct(*[figures(c) for c in cols]).alias(STATS))
+
+def _grouped(df: DataFrame, cols, keys, quantile: str) -> DataFrame:
+    figures = {
+        "n": "count({x})",
+        "min": "double(min({x}))",
+        "max": "double(max({x}))",
+        "q": f"cast({quantile} as array<double>)",
+    }
+    return column_stats(df, cols, figures, keys)
 
 
 def _bracketed(df: DataFrame, cols, probs, keys, bins: int) -> DataFrame:
     by = [*keys, "column"]
-    values = df.select(
-        *keys,
-        F.inline(
-            F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in cols])
-        ),
-    ).filter(F.col("v").isNotNull())
+    cells = [struct({"column": f"'{c}'", "v": f"double({quoted(c)})"}) for c in cols]
+    values = df.selectExpr(*map(quoted, keys), unstacked(cells)).filter("v is not null")
     totals = materialise(
         values.groupBy(*by).agg(
             F.count("v").alias("n"), F.min("v").alias("min"), F.max("v").alias("max")
@@ -120,11 +117,7 @@ def _bracketed(df: DataFrame, cols, probs, keys, bins: int) -> DataFrame:
     )
     solved = totals.join(by_rank, by, "left")
     q = F.array(*[_between(F.col("at"), x) for x in position])
-    cells = solved.select(*by, F.struct("n", "min", "max", q.alias("q")).alias("cell"))
-    wide = [
-        F.first(F.when(F.col("column") == c, F.col("cell")), ignorenulls=True).alias(c) for c in cols
-    ]
-    return cells.groupBy(*keys).agg(F.struct(*wide).alias(STATS))
+    return to_wide(solved.withColumn("q", q), cols, ["n", "min", "max", "q"], keys)
 
 
 def _inside(values: DataFrame, targets: DataFrame, by: Sequence[str]) -> DataFrame:

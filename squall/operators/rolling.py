@@ -1,24 +1,25 @@
 """Rolling figures over the last n rows of a series."""
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from squall.operators.blocks import (
     BLOCK,
     MAX_BLOCK_ROWS,
-    across_blocks,
-    inside_block,
+    over_block,
+    over_summaries,
     with_block,
 )
+from squall.operators.columns import quoted
 
 HALO = "__halo"
 
 
 def rolling(
     df: DataFrame,
-    figures: dict[str, tuple[str, Callable[[str], Column]]],
+    figures: dict[str, tuple[str, str]],
     *,
     rows: int = 24,
     ts: str,
@@ -29,8 +30,9 @@ def rolling(
 ) -> DataFrame:
     """Add `{name: (column, aggregate)}` over the last `rows` rows, null unless all are present.
 
-    Every block first receives the last `rows - 1` rows before it as halo, so the frames at its
-    start are whole; the halo is dropped afterwards.
+    The aggregate is the name of a SQL function such as `avg`. Every block first receives the last
+    `rows - 1` rows before it as halo, so the frames at its start are whole; the halo is dropped
+    afterwards.
     """
     used = sorted({col for col, _ in figures.values()})
     blocked = with_block(df, ts, keys, ties, width, max_rows)
@@ -38,20 +40,23 @@ def rolling(
     if rows > 1:
         halo = _halo(blocked, used, rows - 1, ts, keys, ties)
         both = both.unionByName(halo.withColumn(HALO, F.lit(True)), allowMissingColumns=True)
-    frame = inside_block(ts, keys, ties).rowsBetween(-(rows - 1), 0)
-    added = {
-        name: F.when(F.count(col).over(frame) == rows, fn(col).over(frame))
+    frame = over_block(
+        ts, keys, ties, frame=f"rows between {rows - 1} preceding and current row"
+    )
+    added = [
+        f"case when count({quoted(col)}) {frame} = {rows} then {fn}({quoted(col)}) {frame} end "
+        f"as {quoted(name)}"
         for name, (col, fn) in figures.items()
-    }
-    return both.withColumns(added).filter(~F.col(HALO)).drop(BLOCK, HALO)
+    ]
+    return both.selectExpr("*", *added).filter(f"not {HALO}").drop(BLOCK, HALO)
 
 
 def rolling_mean(df: DataFrame, col: str, name: str, **axis) -> DataFrame:
-    return rolling(df, {name: (col, F.avg)}, **axis)
+    return rolling(df, {name: (col, "avg")}, **axis)
 
 
 def rolling_sum(df: DataFrame, col: str, name: str, **axis) -> DataFrame:
-    return rolling(df, {name: (col, F.sum)}, **axis)
+    return rolling(df, {name: (col, "sum")}, **axis)
 
 
 def _halo(blocked: DataFrame, cols, n: int, ts: str, keys, ties) -> DataFrame:
@@ -59,18 +64,18 @@ def _halo(blocked: DataFrame, cols, n: int, ts: str, keys, ties) -> DataFrame:
 
     The rank filter is applied before the shuffle (window group limit), so only block ends move.
     """
-    last = F.row_number().over(inside_block(ts, keys, ties, reverse=True))
     fields = list(dict.fromkeys([ts, *ties, *cols]))
+    by = [*keys, BLOCK]
+    last = over_block(ts, keys, ties, reverse=True)
     ends = (
-        blocked.select(*keys, BLOCK, *[c for c in fields if c not in keys])
-        .withColumn("__rank", last)
-        .filter(F.col("__rank") <= n)
-        .groupBy(*keys, BLOCK)
+        blocked.select(*by, *[c for c in fields if c not in by])
+        .selectExpr("*", f"row_number() {last} as __rank")
+        .filter(f"__rank <= {n}")
+        .groupBy(*by)
         .agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("__rows"))
     )
-    earlier = across_blocks(keys).rowsBetween(-n, -1)
-    past = F.flatten(F.collect_list("__rows").over(earlier))
-    wanted = F.greatest(F.lit(1), F.least(F.size("__past"), F.lit(n)))
-    return ends.select(*keys, BLOCK, past.alias("__past")).select(
-        *keys, BLOCK, F.inline(F.slice("__past", -wanted, F.lit(n)))
+    earlier = over_summaries(keys, frame=f"rows between {n} preceding and 1 preceding")
+    past = ends.selectExpr(*map(quoted, by), f"flatten(collect_list(__rows) {earlier}) as __past")
+    return past.selectExpr(
+        *map(quoted, by), f"inline(slice(__past, -greatest(1, least(size(__past), {n})), {n}))"
     )

@@ -2,9 +2,9 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
+from squall.operators.columns import quoted, replaced
 from squall.operators.quantiles import quantile_stats
 from squall.operators.stats import (
     STATS,
@@ -12,6 +12,7 @@ from squall.operators.stats import (
     column_stats,
     figure,
     global_min_max,
+    struct,
     to_long,
     to_wide,
 )
@@ -34,22 +35,20 @@ def iqr_stats(
     """
     stats = quantile_stats(df, cols, [0.25, 0.75], keys, **options)
 
-    def fences(c: str) -> Column:
-        cell = F.col(STATS)[c]
-        q1, q3 = cell["q"][0], cell["q"][1]
-        lo, hi = q1 - FENCE * (q3 - q1), q3 + FENCE * (q3 - q1)
+    def fences(c: str) -> str:
+        q1, q3 = figure(c, "q[0]"), figure(c, "q[1]")
+        low, high = figure(c, "min"), figure(c, "max")
+        lo, hi = f"{q1} - {FENCE}D * ({q3} - {q1})", f"{q3} + {FENCE}D * ({q3} - {q1})"
         if c in unclipped:
-            lo, hi = cell["min"], cell["max"]
-        return F.struct(
-            q1.alias("q1"),
-            q3.alias("q3"),
-            lo.alias("lo"),
-            hi.alias("hi"),
-            clipped(cell["min"], lo, hi).alias("min"),
-            clipped(cell["max"], lo, hi).alias("max"),
-        ).alias(c)
+            lo, hi = low, high
+        return struct(
+            {
+                "q1": q1, "q3": q3, "lo": lo, "hi": hi,
+                "min": clipped(low, lo, hi), "max": clipped(high, lo, hi),
+            }
+        )
 
-    return stats.select(*keys, F.struct(*[fences(c) for c in cols]).alias(STATS))
+    return stats.selectExpr(*map(quoted, keys), f"{struct({c: fences(c) for c in cols})} as {STATS}")
 
 
 def iqr_bounds(
@@ -59,19 +58,20 @@ def iqr_bounds(
     return to_long(stats, cols, ["q1", "q3", "lo", "hi"], keys)
 
 
-def clipped(x: Column, lo: Column, hi: Column) -> Column:
-    """`x` limited to `[lo, hi]`; null stays null (`least`/`greatest` would skip it)."""
-    return F.when(x.isNotNull(), F.greatest(lo, F.least(hi, x)))
+def clipped(x: str, lo: str, hi: str) -> str:
+    """SQL: `x` limited to `[lo, hi]`; null stays null (`least`/`greatest` would skip it)."""
+    return f"case when {x} is not null then greatest({lo}, least({hi}, {x})) end"
 
 
-def scaled(x: Column, lo: Column, hi: Column, digits: int = DIGITS) -> Column:
-    """`(x - lo) / (hi - lo)`, ties rounded to even; null for a constant column."""
+def scaled(x: str, lo: str, hi: str, digits: int = DIGITS) -> str:
+    """SQL: `(x - lo) / (hi - lo)`, ties rounded to even; null for a constant column."""
     unit = 10**digits
-    return F.rint(F.try_divide(x - lo, hi - lo) * unit) / unit
+    return f"rint(try_divide({x} - {lo}, {hi} - {lo}) * {unit}) / {unit}"
 
 
-def unscaled(value: Column, lo: Column, hi: Column) -> Column:
-    return value * (hi - lo) + lo
+def unscaled(value: str, lo: str, hi: str) -> str:
+    """SQL: back from `[0, 1]` to `[lo, hi]`."""
+    return f"{value} * ({hi} - {lo}) + {lo}"
 
 
 def iqr_clip(
@@ -79,8 +79,8 @@ def iqr_clip(
 ) -> DataFrame:
     """Limit every column to its fences; no row is removed."""
     joined = attach(df, iqr_stats(df, cols, keys, **options), keys)
-    return _replace(
-        df, joined, {c: clipped(F.col(c), figure(c, "lo"), figure(c, "hi")) for c in cols}
+    return replaced(
+        df, joined, {c: clipped(quoted(c), figure(c, "lo"), figure(c, "hi")) for c in cols}
     )
 
 
@@ -97,8 +97,8 @@ def minmax_scale(
     digits: int = DIGITS,
 ) -> DataFrame:
     joined = attach(df, _extent(df, cols, keys, scaler), keys)
-    return _replace(
-        df, joined, {c: scaled(F.col(c), figure(c, "min"), figure(c, "max"), digits) for c in cols}
+    return replaced(
+        df, joined, {c: scaled(quoted(c), figure(c, "min"), figure(c, "max"), digits) for c in cols}
     )
 
 
@@ -107,8 +107,8 @@ def minmax_inverse(
 ) -> DataFrame:
     """Back to original units with a stored scaler table."""
     joined = attach(df, _extent(df, cols, keys, scaler), keys)
-    return _replace(
-        df, joined, {c: unscaled(F.col(c), figure(c, "min"), figure(c, "max")) for c in cols}
+    return replaced(
+        df, joined, {c: unscaled(quoted(c), figure(c, "min"), figure(c, "max")) for c in cols}
     )
 
 
@@ -131,25 +131,17 @@ def clip_and_scale(
     stats = materialise(iqr_stats(df, cols, keys, unclipped, **options), "clip-stats")
     joined = attach(df, stats, keys, written=True)
 
-    def value(c: str) -> Column:
-        x = clipped(F.col(c), figure(c, "lo"), figure(c, "hi"))
+    def value(c: str) -> str:
+        x = quoted(c)
+        if c not in unclipped:
+            x = clipped(x, figure(c, "lo"), figure(c, "hi"))
         return scaled(x, figure(c, "min"), figure(c, "max"), digits) if scale else x
 
     scaler = to_long(stats, cols, ["min", "max"], keys)
-    return _replace(df, joined, {c: value(c) for c in cols}), scaler
+    return replaced(df, joined, {c: value(c) for c in cols}), scaler
 
 
 def _extent(df: DataFrame, cols, keys, scaler: DataFrame | None) -> DataFrame:
     if scaler is not None:
         return to_wide(scaler, cols, ["min", "max"], keys)
-    return column_stats(df, cols, {"min": F.min, "max": F.max}, keys)
-
-
-def _replace(df: DataFrame, joined: DataFrame, new: dict[str, Column]) -> DataFrame:
-    """Columns of `df` in their order, some with new values and their metadata kept."""
-    return joined.select(
-        *[
-            new[c].alias(c, metadata=df.schema[c].metadata) if c in new else F.col(c)
-            for c in df.columns
-        ]
-    )
+    return column_stats(df, cols, {"min": "min({x})", "max": "max({x})"}, keys)

@@ -97,8 +97,8 @@ def engineer(
     rows = rolling(
         rows,
         {
-            "temp_rolling_mean_24h": ("temperature_2m", F.avg),
-            "precip_rolling_sum_24h": ("precipitation", F.sum),
+            "temp_rolling_mean_24h": ("temperature_2m", "avg"),
+            "precip_rolling_sum_24h": ("precipitation", "sum"),
         },
         rows=ROLLING_ROWS,
         ts=TS,

@@ -8,6 +8,9 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
+# Only at session start. Wide tables build thousands of column expressions; recording a call site for
+# each costs more than the rest of the planning.
+START_SETTINGS = SETTINGS | {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -28,6 +31,8 @@ def local_session(cpus: int | str = "*", partitions: int = 8) -> SparkSession:
         .config("spark.driver.host", "127.0.0.1")
         .config("spark.driver.bindAddress", "127.0.0.1")
     )
+    for key, value in START_SETTINGS.items():
+        builder = builder.config(key, value)
     spark = configure(builder.getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     return spark

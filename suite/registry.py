@@ -3,9 +3,9 @@
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from squall.operators.columns import quoted
 from squall.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -14,6 +14,9 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 DIGITS = 1_000_000
+# Means of decimal numbers often lie exactly half-way between two printed values, where the order of
+# summation would decide. This moves the half-way point off that lattice, alike in both engines.
+OFF_LATTICE = 0.01
 
 
 def case(name: str, sql: str | None = None) -> Callable[[Query], Query]:
@@ -37,22 +40,23 @@ def case(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 def presented(df: DataFrame) -> DataFrame:
     """Result as both engines print it: doubles to 6 digits, dates and times as text."""
 
-    def show(f: T.StructField):
-        c = F.col(f"`{f.name}`")
+    def show(f: T.StructField) -> str:
+        c = quoted(f.name)
         if isinstance(f.dataType, T.DoubleType):
-            c = F.rint(c * DIGITS) / DIGITS + 0.0
-        elif isinstance(f.dataType, T.DateType):
-            c = F.date_format(c, "yyyy-MM-dd")
-        elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
-            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
-        return c.alias(f.name)
+            return f"rint({c} * {DIGITS} + {OFF_LATTICE}D) / {DIGITS} + 0D as {c}"
+        if isinstance(f.dataType, T.DateType):
+            return f"date_format({c}, 'yyyy-MM-dd') as {c}"
+        if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
+            return f"date_format({c}, 'yyyy-MM-dd HH:mm:ss.SSSSSS') as {c}"
+        return c
 
-    return df.select(*[show(f) for f in df.schema])
+    return df.selectExpr(*[show(f) for f in df.schema])
 
 
 def num(expression: str, alias: str | None = None) -> str:
     """SQL of a double as `presented` shows it."""
-    return f"round_even(({expression}) * {DIGITS}, 0) / {DIGITS} + 0.0 as {alias or expression}"
+    value = f"cast({expression} as double) * {DIGITS} + {OFF_LATTICE}e0"
+    return f"round_even({value}, 0) / {DIGITS} + 0.0 as {alias or expression}"
 
 
 def nums(*columns: str) -> str:

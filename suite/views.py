@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from squall.operators.axis import regular_grid
+from squall.storage import materialise
 
 # A reading below 2 is under the detection limit: no value.
 READINGS = """
@@ -112,12 +113,17 @@ def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hourly_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every hour of every station; hours without events are nulls."""
-    return regular_grid(hourly(spark, sf_dir), "datetime", "1 hour", STATION)
+    """Every hour of every station; hours without events are nulls.
+
+    The observations are stored first: span, stations and rows of the grid all read them.
+    """
+    stored = materialise(hourly(spark, sf_dir), "hourly")
+    return regular_grid(stored, "datetime", "1 hour", STATION)
 
 
 def daily_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return regular_grid(daily(spark, sf_dir), "date", "1 day", STATION)
+    """Every day of every station; days without orders are nulls."""
+    return regular_grid(materialise(daily(spark, sf_dir), "daily"), "date", "1 day", STATION)
 
 
 def _grid_sql(view: str, ts: str, step: str) -> str:
