@@ -1,8 +1,10 @@
 """Predictors: feature columns in, one `<target>_prediction` column per target out."""
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
@@ -65,12 +67,21 @@ def train_models(
     depth: int = DEPTH,
     rate: float = RATE,
     seed: int = SEED,
+    parallelism: int = 4,
 ) -> TreeModels:
-    """Fit one regressor per target on the distinct feature rows, weighted by their counts."""
+    """Fit one regressor per target on the distinct feature rows, weighted by their counts.
+
+    The training set is small, so a fit is a long chain of short jobs; up to `parallelism` targets
+    submit theirs at the same time.
+    """
     combos = combinations(df, features, targets)
-    return TreeModels(
-        {t: _fit(combos, features, t, trees, depth, rate, seed) for t in targets}, tuple(features)
-    )
+
+    @inheritable_thread_target(df.sparkSession)
+    def fit(target: str) -> PipelineModel:
+        return _fit(combos, features, target, trees, depth, rate, seed)
+
+    with ThreadPoolExecutor(min(parallelism, len(targets))) as pool:
+        return TreeModels(dict(zip(targets, pool.map(fit, targets))), tuple(features))
 
 
 def _fit(combos, features, target, trees, depth, rate, seed) -> PipelineModel:

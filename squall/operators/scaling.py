@@ -96,7 +96,12 @@ def minmax_scale(
     scaler: DataFrame | None = None,
     digits: int = DIGITS,
 ) -> DataFrame:
-    joined = attach(df, _extent(df, cols, keys, scaler), keys)
+    """Scale with a stored scaler table, or with the extent of `df` itself."""
+    if scaler is None:
+        extent = column_stats(df, cols, {"min": "min({x})", "max": "max({x})"}, keys)
+        joined = attach(df, extent, keys)
+    else:
+        joined = _with_scaler(df, scaler, cols, keys)
     return replaced(
         df, joined, {c: scaled(quoted(c), figure(c, "min"), figure(c, "max"), digits) for c in cols}
     )
@@ -106,7 +111,7 @@ def minmax_inverse(
     df: DataFrame, scaler: DataFrame, cols: Sequence[str], keys: Sequence[str] = ()
 ) -> DataFrame:
     """Back to original units with a stored scaler table."""
-    joined = attach(df, _extent(df, cols, keys, scaler), keys)
+    joined = _with_scaler(df, scaler, cols, keys)
     return replaced(
         df, joined, {c: unscaled(quoted(c), figure(c, "min"), figure(c, "max")) for c in cols}
     )
@@ -141,7 +146,5 @@ def clip_and_scale(
     return replaced(df, joined, {c: value(c) for c in cols}), scaler
 
 
-def _extent(df: DataFrame, cols, keys, scaler: DataFrame | None) -> DataFrame:
-    if scaler is not None:
-        return to_wide(scaler, cols, ["min", "max"], keys)
-    return column_stats(df, cols, {"min": "min({x})", "max": "max({x})"}, keys)
+def _with_scaler(df: DataFrame, scaler: DataFrame, cols, keys) -> DataFrame:
+    return attach(df, to_wide(scaler, cols, ["min", "max"], keys), keys, written=True)

@@ -2,6 +2,7 @@
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 
@@ -19,47 +20,63 @@ HOURLY_CHARTS = {"temperature": "temperature_2m", "precipitation": "precipitatio
 
 @dataclass
 class Collected:
-    """Engineered rows and every table derived from them."""
+    """Stored engineered rows and scaler, and the tables derived from them when asked for."""
 
+    dataset: str
     rows: DataFrame
     scaler: DataFrame
-    correlation: DataFrame
-    temperature_histogram: DataFrame
-    temperature_density: DataFrame
-    precipitation_by_season: DataFrame
-    profile: DataFrame
-    schema: str
-    validation: DataFrame
-    schema_check: DataFrame
+    keys: Sequence[str]
+    charts: dict[str, str]
+    tolerated: Sequence[str]
+
+    @property
+    def numbers(self) -> list[str]:
+        return numeric_columns(self.rows, exclude=self.keys)
+
+    @property
+    def schema(self) -> str:
+        return self.rows.schema.json()
+
+    @cached_property
+    def correlation(self) -> DataFrame:
+        return correlation_matrix(self.rows, self.numbers)
+
+    @cached_property
+    def temperature_histogram(self) -> DataFrame:
+        return histogram(self.rows, self.charts["temperature"])
+
+    @cached_property
+    def temperature_density(self) -> DataFrame:
+        return kde(self.rows, self.charts["temperature"])
+
+    @cached_property
+    def precipitation_by_season(self) -> DataFrame:
+        return boxplot(self.rows, "season", self.charts["precipitation"])
+
+    @cached_property
+    def profile(self) -> DataFrame:
+        return profile(self.rows, self.numbers)
+
+    @cached_property
+    def validation(self) -> DataFrame:
+        return validate_suite(self.rows, self.dataset, self.tolerated)
+
+    def schema_check(self, stored: str) -> DataFrame:
+        """The rows against the schema an earlier run stored."""
+        return check_schema_artifact(self.rows, stored)
 
 
 def collect_daily(
     raw: DataFrame, keys: Sequence[str] = (), tolerated: Sequence[str] = (), **options
 ) -> Collected:
     rows, scaler = daily_features(raw, keys, **options)
-    return _describe(rows, scaler, "daily", DAILY_CHARTS, keys, tolerated)
+    rows = materialise(rows, "daily-engineered")
+    return Collected("daily", rows, scaler, keys, DAILY_CHARTS, tolerated)
 
 
 def collect_hourly(
     raw: DataFrame, keys: Sequence[str] = (), tolerated: Sequence[str] = (), **options
 ) -> Collected:
     rows, scaler = hourly_features(raw, keys, **options)
-    return _describe(rows, scaler, "hourly", HOURLY_CHARTS, keys, tolerated)
-
-
-def _describe(rows, scaler, dataset, charts, keys, tolerated) -> Collected:
-    rows = materialise(rows, f"{dataset}-engineered")
-    numbers = numeric_columns(rows, exclude=keys)
-    schema = rows.schema.json()
-    return Collected(
-        rows=rows,
-        scaler=scaler,
-        correlation=correlation_matrix(rows, numbers),
-        temperature_histogram=histogram(rows, charts["temperature"]),
-        temperature_density=kde(rows, charts["temperature"]),
-        precipitation_by_season=boxplot(rows, "season", charts["precipitation"]),
-        profile=profile(rows, numbers),
-        schema=schema,
-        validation=validate_suite(rows, dataset, tolerated),
-        schema_check=check_schema_artifact(rows, schema),
-    )
+    rows = materialise(rows, "hourly-engineered")
+    return Collected("hourly", rows, scaler, keys, HOURLY_CHARTS, tolerated)
