@@ -11,17 +11,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+_local_folders: dict[str, str] = {}  # local sessions without that setting, as in tests
+
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as the cluster names it."""
     folder = spark.conf.get(CHECKPOINT_DIR, None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="squall-")
-    spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder
+    if context.applicationId not in _local_folders:
+        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="squall-")
+    return _local_folders[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
