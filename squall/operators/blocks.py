@@ -61,10 +61,21 @@ def with_block(
 def fitting_width(
     df: DataFrame, ts: str, keys: Sequence[str] = (), max_rows: int = MAX_BLOCK_ROWS
 ) -> int | None:
+    """Widest of `WIDTHS` whose fullest block of any key holds at most `max_rows` rows.
+
+    Counts are combined map-side and only the largest reaches the driver. A width that cannot fit,
+    given the count at a wider one, is not tried.
+    """
+    at_least = 0.0
+    wider = WIDTHS[0]
     for width in WIDTHS:
+        if at_least * width / wider > max_rows:
+            continue
         counts = df.groupBy(*keys, time_block(df, ts, width).alias(BLOCK)).count()
-        if (counts.agg(F.max("count")).first()[0] or 0) <= max_rows:
+        fullest = counts.agg(F.max("count")).first()[0] or 0
+        if fullest <= max_rows:
             return width
+        at_least, wider = fullest, width
     return None
 
 

@@ -35,7 +35,7 @@ def ffill(
 ) -> DataFrame:
     """Last known value of each column; leading nulls stay."""
     blocked = with_block(df, ts, keys, ties, width, max_rows)
-    carry = _carried(blocked, cols, "max_by", ts, keys, ties, {c: quoted(c) for c in cols})
+    carry = _carried(blocked, cols, ts, keys, ties, {c: quoted(c) for c in cols})
     here = over_block(ts, keys, ties)
     filled = replaced(
         blocked, blocked, {c: f"last({quoted(c)}, true) {here}" for c in cols}
@@ -61,8 +61,7 @@ def interpolate_time(
     """
     blocked = with_block(df, ts, keys, ties, width, max_rows).withColumn("__at", _seconds(df, ts))
     points = {c: f"named_struct('t', __at, 'v', double({quoted(c)}))" for c in cols}
-    before = _carried(blocked, cols, "max_by", ts, keys, ties, points)
-    after = _carried(blocked, cols, "min_by", ts, keys, ties, points, reverse=True, suffix="__next")
+    carry = _carried(blocked, cols, ts, keys, ties, points, both_ways=True)
     forward, backward = over_block(ts, keys, ties), over_block(ts, keys, ties, reverse=True)
     known = {c: f"case when {quoted(c)} is not null then {points[c]} end" for c in cols}
     near = blocked.selectExpr(
@@ -70,7 +69,7 @@ def interpolate_time(
         *[f"last({known[c]}, true) {forward} as {quoted(c + '__p')}" for c in cols],
         *[f"last({known[c]}, true) {backward} as {quoted(c + '__n')}" for c in cols],
     )
-    near = near.join(before, [*keys, BLOCK], "left").join(after, [*keys, BLOCK], "left")
+    near = near.join(carry, [*keys, BLOCK], "left")
 
     def value(c: str) -> str:
         p = f"coalesce({quoted(c + '__p')}, {quoted(c + '__carry')})"
@@ -132,27 +131,36 @@ def impute_by_rule(
 def _carried(
     blocked: DataFrame,
     cols: Sequence[str],
-    pick: str,
     ts: str,
     keys: Sequence[str],
     ties: Sequence[str],
     values: dict[str, str],
-    reverse: bool = False,
-    suffix: str = "__carry",
+    both_ways: bool = False,
 ) -> DataFrame:
-    """Per block, the nearest known value in the blocks before it (after it if `reverse`)."""
+    """Per block and column the nearest known value in the blocks before it, `<col>__carry`.
+
+    With `both_ways` also the nearest in the blocks after it, `<col>__next`. One aggregate finds the
+    values at both ends of every block; the windows only see those.
+    """
     at = position(ts, ties)
-    edge = blocked.groupBy(*keys, BLOCK).agg(
-        *[
-            F.expr(f"{pick}({values[c]}, case when {quoted(c)} is not null then {at} end)").alias(c)
-            for c in cols
+
+    def edge(pick: str, c: str, suffix: str):
+        known = f"case when {quoted(c)} is not null then {at} end"
+        return F.expr(f"{pick}({values[c]}, {known})").alias(c + suffix)
+
+    ends = [edge("max_by", c, "__last") for c in cols]
+    if both_ways:
+        ends += [edge("min_by", c, "__first") for c in cols]
+    past, future = over_summaries(keys), over_summaries(keys, reverse=True)
+    carried = [
+        f"last({quoted(c + '__last')}, true) {past} as {quoted(c + '__carry')}" for c in cols
+    ]
+    if both_ways:
+        carried += [
+            f"last({quoted(c + '__first')}, true) {future} as {quoted(c + '__next')}" for c in cols
         ]
-    )
-    past = over_summaries(keys, reverse)
-    return edge.selectExpr(
-        *map(quoted, [*keys, BLOCK]),
-        *[f"last({quoted(c)}, true) {past} as {quoted(c + suffix)}" for c in cols],
-    )
+    summary = blocked.groupBy(*keys, BLOCK).agg(*ends)
+    return summary.selectExpr(*map(quoted, [*keys, BLOCK]), *carried)
 
 
 def _seconds(df: DataFrame, ts: str) -> Column:

@@ -33,17 +33,12 @@ def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> Non
 def write_observations(df: DataFrame, path: str, ts: str) -> None:
     """Parquet by year and month of the time axis, so a date range reads only its folders.
 
-    Rows are brought together by month and salted within it, which keeps
-    the number of files per month bounded without one task writing a whole month.
+    Rows of a month are brought together for few, large files. The rebalance hint lets adaptive
+    execution split a month that holds much of the data over many tasks.
     """
-    salt = F.pmod(F.xxhash64(ts), F.lit(16))
     parted = df.withColumns({"year": F.year(ts), "month": F.month(ts)})
-    (
-        parted.repartition("year", "month", salt)
-        .write.mode("overwrite")
-        .partitionBy("year", "month")
-        .parquet(path)
-    )
+    rebalanced = parted.hint("rebalance", "year", "month")
+    rebalanced.write.mode("overwrite").partitionBy("year", "month").parquet(path)
 
 
 def read_observations(spark: SparkSession, path: str) -> DataFrame:
