@@ -50,9 +50,8 @@ def test_interpolate_blocks(walk, blocks):
 
 
 @pytest.mark.parametrize("blocks", BLOCKS, ids=str)
-@pytest.mark.parametrize("share", [0.0, 0.03])
-def test_rolling_blocks(spark, blocks, share):
-    values = gappy(400, share=share)
+def test_rolling_blocks(spark, blocks):
+    values = gappy(400, share=0.03)
     blocks = {k: max(v, 1) for k, v in blocks.items()}
     df = series(spark, known(values))
     assert close(column(rolling_mean(df, "x", "r", **AXIS, **blocks), "r"), values.rolling(24).mean())

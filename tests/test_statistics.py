@@ -47,7 +47,7 @@ def test_quantile_paths_agree_with_numpy(spark):
             assert got[key] == pytest.approx(value, rel=1e-12), (options, key)
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.floats(-1e6, 1e6) | st.none(), min_size=1, max_size=60))
 def test_bracketed_quantiles_of_anything(spark, values):
     df = frame(spark, values)
