@@ -68,13 +68,17 @@ def predict_single_date(model: Predictor, stations: DataFrame, date: str) -> Dat
 
 
 def forecast_digest(
-    forecast: DataFrame, date: str, value: str, keys: Sequence[str] = (), width: int = 8
+    forecast: DataFrame, date: str, value: str, keys: Sequence[str] = (), digits: int = 2
 ) -> DataFrame:
-    """The forecast of each key as fixed-width text, one line per day.
+    """The forecast of each key as a fixed-width text table: a header, then one line per day.
 
     At most a forecast horizon of rows per key comes together.
     """
-    number = F.lpad(F.format_string("%.2f", F.col(value)), width, " ")
-    line = F.concat(F.date_format(date, "yyyy-MM-dd"), F.lit(" "), number)
+    width = max(len(value), 10)
+    number = F.lpad(F.format_string(f"%.{digits}f", F.col(value)), width, " ")
+    line = F.concat(F.date_format(date, "yyyy-MM-dd"), F.lit("  "), number)
     lines = F.sort_array(F.collect_list(F.struct(F.col(date).alias("d"), line.alias("line"))))
-    return forecast.groupBy(*keys).agg(F.array_join(lines["line"], "\n").alias("digest"))
+    header = F.lit(f"{date:>10}  {value:>{width}}\n")
+    return forecast.groupBy(*keys).agg(
+        F.concat(header, F.array_join(lines["line"], "\n")).alias("digest")
+    )

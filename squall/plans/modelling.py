@@ -47,7 +47,7 @@ def model_daily(
     **training,
 ) -> Modelled:
     """Daily models under `folder/1`; retrained ones, if the gate asks for them, under `folder/2`."""
-    extract = training_extract(df, "date", hourly=False)
+    extract = _extract(df, "date", [*identity, *keys, *DAILY_TARGETS], hourly=False)
     done = _model(
         extract, folder, identity, DAILY_FEATURES, DAILY_TARGETS, DAILY_PERTURBATIONS, thresholds,
         training,
@@ -63,13 +63,18 @@ def model_hourly(
     thresholds: dict[str, float] = HOURLY_THRESHOLDS,
     **training,
 ) -> Modelled:
-    extract = training_extract(df, "datetime", hourly=True)
+    extract = _extract(df, "datetime", [*identity, *HOURLY_TARGETS], hourly=True)
     return _model(
         extract, folder, identity, HOURLY_FEATURES, HOURLY_TARGETS, HOURLY_PERTURBATIONS,
         thresholds, training,
     )
 
 
+def _extract(df: DataFrame, ts: str, cols: Sequence[str], hourly: bool) -> DataFrame:
+    """Only the columns the model steps read are carried into the extract."""
+    return training_extract(df.select(*dict.fromkeys([ts, *cols])), ts, hourly)
+
+
 def _model(
     extract, folder, identity, features, targets, perturbations, thresholds, training
 ) -> Modelled:

@@ -448,8 +448,9 @@ def _forecast_hourly_climatology(spark, sf_dir):
 
 @case(
     "forecast_digest",
-    f"with {_FORECAST_SQL} select station, string_agg(strftime(cast(date as timestamp), '%Y-%m-%d') "
-    "|| ' ' || lpad(printf('%.2f', apparent_temperature_max), 8, ' '), chr(10) order by date) "
+    f"with {_FORECAST_SQL} select station, '      date  apparent_temperature_max' || chr(10) || "
+    "string_agg(strftime(cast(date as timestamp), '%Y-%m-%d') || '  ' || "
+    "lpad(printf('%.2f', apparent_temperature_max), 24, ' '), chr(10) order by date) "
     "as digest from forecast group by 1",
 )
 def _digest(spark, sf_dir):

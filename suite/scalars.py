@@ -255,7 +255,8 @@ def _quantile_flags(spark, sf_dir):
     "factorize",
     f"""with {READINGS_CTE},
     rows as (select event_id, station, datetime,
-                    case when showers > 0 then null when wind_speed_10m <= 2 then 'Calm'
+                    case when showers > 0 or wind_speed_10m <= 0 then null
+                         when wind_speed_10m <= 2 then 'Calm'
                          when wind_speed_10m <= 5 then 'Light' when wind_speed_10m <= 8 then 'Moderate'
                          when wind_speed_10m <= 11 then 'Fresh' else 'Strong' end as label
              from readings),

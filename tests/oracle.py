@@ -6,6 +6,13 @@ import duckdb
 from pyspark.sql import DataFrame
 
 
+# Column types that both engines print alike.
+TYPES = {
+    "double": "DOUBLE", "int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+}
+
+
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for path in sorted(Path(sf_dir).glob("*.parquet")):
@@ -21,9 +28,13 @@ def compare(df: DataFrame, con: duckdb.DuckDBPyConnection, sql: str) -> str | No
     """None if both give the same rows, otherwise what differs first."""
     result = con.execute(sql)
     names = [d[0] for d in result.description]
+    types = {d[0]: str(d[1]) for d in result.description}
     expected = result.fetchall()
     if sorted(names) != sorted(df.columns):
         return f"columns {sorted(df.columns)} != {sorted(names)}"
+    other = {c: (t, types[c]) for c, t in df.dtypes if TYPES.get(t, t) != types[c]}
+    if other:
+        return f"types differ: {other}"
     actual = [tuple(r) for r in df.collect()]
     if len(actual) != len(expected):
         return f"{len(actual)} rows != {len(expected)}"

@@ -1,6 +1,7 @@
 import datetime as dt
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -174,8 +175,9 @@ def test_calendar_length(stations):
 def test_digest(spark):
     rows = [("a", dt.date(2024, 1, 1 + i), 30.0 + i) for i in range(7)]
     df = spark.createDataFrame(rows, f"station string, date date, {TARGET} double").repartition(4)
-    text = forecast_digest(df, "date", TARGET, ["station"]).first().digest
-    assert text.split("\n")[0] == "2024-01-01    30.00" and len(text.split("\n")) == 7
+    lines = forecast_digest(df, "date", TARGET, ["station"], digits=1).first().digest.split("\n")
+    table = pd.DataFrame({"date": [r[1] for r in rows], TARGET: [r[2] for r in rows]})
+    assert lines == table.to_string(index=False).split("\n")
 
 
 def test_monitor_and_retrain(trees, days, tmp_path):
