@@ -1,8 +1,6 @@
 """Profiles and plot data: everything a chart needs, already aggregated."""
 
 from collections.abc import Sequence
-from functools import reduce
-from itertools import combinations_with_replacement
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +10,6 @@ from squall.operators.quantiles import quantile_stats
 from squall.operators.stats import STATS, attach, column_stats, figure, struct, unstacked
 from squall.storage import materialise
 
-PAIRS_PER_PASS = 200
 KDE_POINTS = 200
 WHISKER = 1.5
 
@@ -57,34 +54,31 @@ def null_cells(cols: Sequence[str]) -> Column:
 
 
 def correlation_matrix(
-    df: DataFrame,
-    cols: Sequence[str],
-    keys: Sequence[str] = (),
-    pairs_per_pass: int = PAIRS_PER_PASS,
+    df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ()
 ) -> DataFrame:
     """Pearson correlation `(col_a, col_b, corr)` over the rows where both are present.
 
-    A constant column has no correlation: null. One aggregate per `pairs_per_pass` pairs.
+    A constant column has no correlation: null. One pass: every row is expanded to its pairs of
+    columns inside the generated code and combined map-side at once, so that one short aggregate
+    serves any number of columns (an aggregate with one expression per pair outgrows compilation).
     """
-    pairs = list(combinations_with_replacement(cols, 2))
-    parts = []
-    for start in range(0, len(pairs), pairs_per_pass):
-        chunk = pairs[start : start + pairs_per_pass]
-        figures = ", ".join(_correlation(a, b) for a, b in chunk)
-        sums = df.groupBy(*keys).agg(F.expr(f"array({figures})").alias("__corr"))
-        cells = [
-            struct({"col_a": f"'{x}'", "col_b": f"'{y}'", "corr": f"__corr[{i}]"})
-            for i, (a, b) in enumerate(chunk)
-            for x, y in ([(a, b)] if a == b else [(a, b), (b, a)])
-        ]
-        parts.append(sums.selectExpr(*map(quoted, keys), unstacked(cells)))
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _correlation(a: str, b: str) -> str:
-    a, b = quoted(a), quoted(b)
-    x, y = f"case when {b} is not null then {a} end", f"case when {a} is not null then {b} end"
-    return f"try_divide(covar_pop({a}, {b}), sqrt(var_pop({x})) * sqrt(var_pop({y})))"
+    values = ", ".join(f"double({quoted(c)})" for c in cols)
+    by = [*map(quoted, keys), "__i", "__j"]
+    pairs = (
+        df.selectExpr(*map(quoted, keys), f"array({values}) as __v")
+        .selectExpr("*", "posexplode(__v) as (__i, __x)")
+        .selectExpr("*", "posexplode(__v) as (__j, __y)")
+        .filter("__j >= __i")
+    )
+    x, y = "case when __y is not null then __x end", "case when __x is not null then __y end"
+    corr = f"try_divide(covar_pop(__x, __y), sqrt(var_pop({x})) * sqrt(var_pop({y})))"
+    upper = pairs.groupBy(*keys, "__i", "__j").agg(F.expr(corr).alias("corr"))
+    names = ", ".join(f"'{c}'" for c in cols)
+    cell = "named_struct('col_a', __names[{0}], 'col_b', __names[{1}])"
+    both = f"array({cell.format('__i', '__j')}, {cell.format('__j', '__i')})"
+    return upper.selectExpr(*by, "corr", f"array({names}) as __names").selectExpr(
+        *map(quoted, keys), f"inline(slice({both}, 1, if(__i = __j, 1, 2)))", "corr"
+    )
 
 
 def histogram(df: DataFrame, col: str, **options) -> DataFrame:
@@ -156,7 +150,8 @@ def kde(
     values = df.filter(x.isNotNull()).select(x.alias("v"))
     if cells is not None:
         width = (s["hi"] - s["lo"]) / cells
-        values = values.select((s["lo"] + (_bin_of(F.col("v"), s["lo"], s["hi"], F.lit(cells)) + 0.5) * width).alias("v"))
+        cell = _bin_of(F.col("v"), s["lo"], s["hi"], F.lit(cells))
+        values = values.select((s["lo"] + (cell + 0.5) * width).alias("v"))
     bandwidth = F.col("s.std") * F.pow(F.col("s.n"), F.lit(-0.2))
     at = F.col("s.lo") + (F.col("s.hi") - F.col("s.lo")) * F.col("point") / (points - 1)
     z = (F.col("x") - F.col("v")) / F.col("h")

@@ -61,16 +61,27 @@ def source_filter(
     end: str | None = None,
     stations: Sequence[str] | DataFrame | None = None,
     station: str = "station",
+    by_month: bool = False,
 ) -> DataFrame:
     """Rows of some stations between two times, both included.
 
-    The bounds have the column's own type, so they reach the Parquet reader.
+    The bounds have the column's own type, so they reach the Parquet reader. `by_month` says that the
+    table was written by `write_observations`, so whole year and month folders can be left out too.
     """
     kind = df.schema[ts].dataType
+
+    def months(at: Column) -> Column:
+        return F.year(at) * 12 + F.month(at)
+
+    folder = F.col("year") * 12 + F.col("month") if by_month else None
     if start is not None:
-        df = df.filter(F.col(ts) >= F.lit(start).cast(kind))
+        low = F.lit(start).cast(kind)
+        df = df.filter(F.col(ts) >= low)
+        df = df.filter(folder >= months(low)) if by_month else df
     if end is not None:
-        df = df.filter(F.col(ts) <= F.lit(end).cast(kind))
+        high = F.lit(end).cast(kind)
+        df = df.filter(F.col(ts) <= high)
+        df = df.filter(folder <= months(high)) if by_month else df
     if isinstance(stations, DataFrame):
         return df.join(stations.select(station), station, "left_semi")
     return df if stations is None else df.filter(F.col(station).isin(list(stations)))

@@ -279,7 +279,7 @@ CORRELATED = ("temperature_2m", "dew_point_2m", "precipitation", "rain", "snowfa
 )
 def _correlation(spark, sf_dir):
     rows = readings(spark, sf_dir).withColumn("constant", F.lit(5))
-    return correlation_matrix(rows, [*CORRELATED, "constant"], pairs_per_pass=20)
+    return correlation_matrix(rows, [*CORRELATED, "constant"])
 
 
 def shape_sql(view: str, c: str) -> str:
@@ -322,9 +322,10 @@ def kde_sql(view: str, c: str) -> str:
     v as (select {c} as v, count(*) as m from {view} where {c} is not null group by 1),
     grid as (select n, h, point, lo + (hi - lo) * point / 199 as x
              from s, (select unnest(generate_series(0, 199)) as point))
-    select cast(point as int) as point, {num('x')},
-           {num('sum(m * exp(-((x - v) / h) * ((x - v) / h) / 2) / (h * sqrt(2 * pi()))) / any_value(n)', 'density')}
-    from grid, v group by point, x"""
+    select cast(point as int) as point, {num('x')}, {num('sum(m * k) / any_value(n)', 'density')}
+    from (select point, x, n, m,
+                 exp(-((x - v) / h) * ((x - v) / h) / 2) / (h * sqrt(2 * pi())) as k from grid, v)
+    group by point, x"""
 
 
 @case("kde", f"with {READINGS_CTE}, {kde_sql('readings', 'temperature_2m')}")
@@ -337,11 +338,12 @@ def boxplot_sql(view: str, by: str, c: str) -> str:
     q as (select {by}, quantile_cont({c}, 0.25) as q1, quantile_cont({c}, 0.5) as median,
                  quantile_cont({c}, 0.75) as q3 from {view}
           where {by} is not null and {c} is not null group by 1),
-    b as (select {by}, q1, median, q3, count(*) as n,
-                 min(case when {c} between q1 - 1.5 * (q3 - q1) and q3 + 1.5 * (q3 - q1) then {c} end) as lo,
-                 max(case when {c} between q1 - 1.5 * (q3 - q1) and q3 + 1.5 * (q3 - q1) then {c} end) as hi,
-                 count(case when not {c} between q1 - 1.5 * (q3 - q1) and q3 + 1.5 * (q3 - q1) then 1 end) as outliers
-          from {view} join q using ({by}) where {c} is not null group by 1, 2, 3, 4)
+    f as (select {by}, {c} as x, q1, median, q3,
+                 {c} between q1 - 1.5 * (q3 - q1) and q3 + 1.5 * (q3 - q1) as inside
+          from {view} join q using ({by}) where {c} is not null),
+    b as (select {by}, q1, median, q3, count(*) as n, min(case when inside then x end) as lo,
+                 max(case when inside then x end) as hi, count(case when not inside then 1 end) as outliers
+          from f group by 1, 2, 3, 4)
     select {by}, n, {num('least(lo, q1)', 'whisker_low')}, {nums('q1', 'median', 'q3')},
            {num('greatest(hi, q3)', 'whisker_high')}, outliers from b"""
 

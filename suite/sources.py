@@ -147,7 +147,8 @@ def _source_filter(spark, sf_dir):
     write_observations(rows, path, "datetime")
     stored = read_observations(spark, path)
     picked = source_filter(
-        stored, "datetime", "2024-01-08 00:00:00", "2024-01-21 23:59:59", ["click", "view"]
+        stored, "datetime", "2024-01-08 00:00:00", "2024-01-21 23:59:59", ["click", "view"],
+        by_month=True,
     )
     return picked.select(*rows.columns)
 

@@ -5,7 +5,6 @@ event, `hourly` one per event type and hour, `daily` one per order priority and
 """
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from squall.operators.axis import regular_grid
 from squall.storage import materialise

@@ -110,9 +110,13 @@ def test_observations_prune_and_push_filters(spark, tmp_path):
     df = spark.createDataFrame(rows, "station string, datetime timestamp, x double")
     write_observations(df, str(tmp_path / "o"), "datetime")
     stored = read_observations(spark, str(tmp_path / "o"))
-    picked = source_filter(stored, "datetime", "2024-02-10", "2024-02-20", ["a"]).select("x")
+    picked = source_filter(stored, "datetime", "2024-02-10", "2024-02-20", ["a"], by_month=True)
+    picked = picked.select("x")
     assert picked.count() == 11
+    folders = picked.select("_metadata.file_path").distinct().collect()
+    assert all("/year=2024/month=2/" in r.file_path for r in folders)
     plan = picked._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: []" not in plan and "month" in plan.split("PartitionFilters")[1]
     assert "GreaterThanOrEqual(datetime" in plan and "station" in plan.split("PushedFilters")[1]
     assert "ReadSchema: struct<station:string,datetime:timestamp,x:double>" in plan
 

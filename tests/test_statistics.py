@@ -150,7 +150,7 @@ def test_correlation_matches_pandas(spark):
     data["k"] = 4.0
     df = columns.nan_to_null(spark.createDataFrame(data))
     want = data.corr()
-    for r in correlation_matrix(df, list("abck"), pairs_per_pass=3).collect():
+    for r in correlation_matrix(df, list("abck")).collect():
         w = want.loc[r.col_a, r.col_b]
         assert r["corr"] is None if np.isnan(w) else r["corr"] == pytest.approx(w, abs=1e-12)
 
