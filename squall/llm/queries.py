@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from squall.llm import decontaminate, language, mixing, pii, quality, simhash
+from squall.llm import decontaminate, language, mixing, pii, quality, simhash, substrings, suffixes
 from squall.llm.common import in_fold, table
 from squall.session import configure
 
@@ -157,3 +157,34 @@ def op1_language_mixture(spark, sf_dir):
 @case("op3_simhash_duplicates")
 def op3_simhash_duplicates(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+SUBSTRING_SQL = f"""
+with d as (select doc_id, {WORDS_SQL} as w from documents),
+windows as (
+  select doc_id, i, md5(array_to_string(w[i : i + 34], ' ')) as gram
+  from (select doc_id, w, unnest(range(1, len(w) - 33)) as i from d where len(w) >= 35)),
+repeated as (
+  select doc_id, i from windows
+  where gram in (select gram from windows group by gram having count(*) > 1)),
+gone as (
+  select doc_id, list(distinct p) as places
+  from (select doc_id, unnest(range(i, i + 35)) as p from repeated) group by doc_id)
+select d.doc_id, len(w)::bigint as n_words, coalesce(len(places), 0)::bigint as n_removed,
+       sha256(array_to_string(case when places is null then w else
+         list_select(w, list_filter(range(1, len(w) + 1), lambda p: not list_contains(places, p)))
+       end, ' ')) as kept_sha256
+from d left join gone using (doc_id)
+"""
+
+
+@case("op9_repeated_windows", SUBSTRING_SQL)
+def op9_repeated_windows(spark, sf_dir):
+    kept = substrings.remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+
+
+@case("op10_repeated_strings")
+def op10_repeated_strings(spark, sf_dir):
+    kept = suffixes.remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
