@@ -5,7 +5,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from squall.llm import decontaminate, language, mixing, pii, quality, simhash, substrings, suffixes
+from squall.llm import (
+    decontaminate, language, lm, mixing, pii, quality, simhash, substrings, suffixes, toxicity,
+)
 from squall.llm.common import in_fold, table
 from squall.session import configure
 
@@ -188,3 +190,20 @@ def op9_repeated_windows(spark, sf_dir):
 def op10_repeated_strings(spark, sf_dir):
     kept = suffixes.remove_repeats(table(spark, sf_dir, "documents"))
     return kept.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+
+
+@case("op4_toxicity")
+def op4_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    held_out = in_fold(F.col("doc_id"), 5, 0)
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    model = toxicity.train(docs.filter(~held_out).join(labels, "doc_id"))
+    scored = docs.select(
+        "doc_id", held_out.alias("held_out"), toxicity.scorer(model)("text").alias("score")
+    )
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+@case("op2_attention_scores")
+def op2_attention_scores(spark, sf_dir):
+    return lm.score_texts(table(spark, sf_dir, "documents"))
