@@ -19,9 +19,10 @@ from squall.llm.packed import deal, inverse, mixed, pack, powers, sums, unpack
 
 LENGTH = 200
 KEY = 64  # bytes of an anchor's run
-GROUP_BYTES = 6 << 20
-BLOCK = 1 << 20  # positions hashed at once
-BUCKET_ANCHORS = 1 << 18
+GROUP_BYTES = 3 << 20
+BLOCK = 1 << 18  # positions hashed at once
+BUCKET_ANCHORS = 1 << 17
+CROSS = 4  # bytes before an anchor by which a family of suffixes may be cut
 BASE = 0x9E3779B97F4A7C15
 DROP, REPEATED, PARTNER, OPEN = 0, 1, 2, 3  # what becomes of an anchor
 
@@ -205,16 +206,21 @@ def _matrix(strings: list[bytes], width: int, from_end: bool = False) -> np.ndar
 
 
 def comparer(length: int):
-    """Compares the suffixes of a bucket: `(g, place, most, least, offset, string, weight)`.
+    """Compares the suffixes of a bucket: `(g, place, most, least, offset, first, second, weight)`.
 
     An open anchor that lies within repeated strings gives one row with the `most` and `least` bytes by which
-    such strings begin before it. Anchors at either end of the bucket may continue in the next one: they give
-    a row for every string around them, with its hash.
+    such strings begin before it. Buckets cut a family of suffixes with equal leading bytes only between
+    different bytes before the anchor, so strings that begin CROSS or more bytes before it meet in one bucket.
+    Of the families at a bucket's ends, the shorter ones may have equals across the boundary: those give a row
+    for every different string, with its hash.
     """
     reach = length - KEY
     names = ("g", "place", "most", "least", "offset", "first", "second", "weight")
     kinds = (pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
 
+    def rows_of(*columns) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+
     def compare(batches):
         held = [b for b in batches if b.num_rows]
         if not held:
@@ -240,7 +246,7 @@ def comparer(length: int):
         for offset in range(reach + 1):
             if offset:
                 before = before * np.uint64(BASE) + left[:, offset - 1] + np.uint64(1)
-            fits = (l_size >= offset) & (r_size >= length - offset) & ~edge & ~alone
+            fits = (l_size >= offset) & (r_size >= length - offset) & ~alone
             if not fits.any():
                 continue
             kind = np.concatenate([[0], np.cumsum(common < length - offset)]).astype(np.uint64)
@@ -252,28 +258,55 @@ def comparer(length: int):
             least[rows] = np.minimum(least[rows], offset)
         found = np.flatnonzero((most >= 0) & (weight == 1))
         none = np.zeros(len(found), np.int64)
-        yield pa.RecordBatch.from_arrays([
-            pa.array(x, k) for x, k in zip(
-                (g[found], place[found], most[found], least[found], none - 1, none, none, none), kinds
-            )
-        ], names=names)
-        for k in np.flatnonzero(edge).tolist():
-            whole = lefts[order[k]] + suffixes[order[k]]
-            offsets = range(max(0, length - int(r_size[k])), min(reach, int(l_size[k])) + 1)
-            begin = int(l_size[k])
-            digests = [
-                xxhash.xxh3_128_digest(whole[begin - o : begin - o + length]) for o in offsets
-            ]
-            both = np.frombuffer(b"".join(digests), dtype="<i8").reshape(-1, 2)
-            n = len(both)
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip((
-                np.full(n, g[k]), np.full(n, place[k]), np.full(n, -1), np.full(n, -1),
-                np.array(offsets), both[:, 0], both[:, 1], np.full(n, weight[k]),
-            ), kinds)], names=names)
+        # Answers spread over the partitions by their place.
+        yield rows_of(g[found], place[found], most[found], least[found], none - 1, place[found], g[found], none)
+        for offset in range(CROSS):
+            seen: dict[bytes, list[int]] = {}
+            for k in np.flatnonzero(edge & (l_size >= offset) & (r_size >= length - offset)).tolist():
+                cut = lefts[order[k]]
+                string = cut[len(cut) - offset :] + suffixes[order[k]][: length - offset]
+                # Equal strings count only at equal places about their anchor: so no place counts twice.
+                entry = seen.setdefault(xxhash.xxh3_128_digest(string, seed=offset), [k, 0])
+                entry[1] += int(weight[k])
+            if seen:
+                n = len(seen)
+                both = np.frombuffer(b"".join(seen), dtype="<i8").reshape(-1, 2)
+                at = np.array([k for k, _ in seen.values()])
+                total = np.array([w for _, w in seen.values()])
+                yield rows_of(
+                    g[at], place[at], np.full(n, -1), np.full(n, -1), np.full(n, offset),
+                    both[:, 0], both[:, 1], total,
+                )
 
     return compare
 
 
+def settle(batches):
+    """`(g, at, most, least)`: answers from within the buckets, and those found across boundaries.
+
+    A string that one bucket has twice was answered there; here it only counts for the others.
+    """
+    held = [b for b in batches if b.num_rows]
+    if not held:
+        return
+    table = pa.Table.from_batches(held)
+    column = {n: table[n].to_numpy() for n in table.column_names}
+    inside = column["offset"] < 0
+    at = np.flatnonzero(~inside)
+    key = mixed(column["first"][at].view(np.uint64)) ^ column["second"][at].view(np.uint64)
+    _, of = np.unique(key, return_inverse=True)
+    total = np.bincount(of, weights=column["weight"][at]) if len(at) else np.zeros(0)
+    crossing = at[(total[of] > 1) & (column["weight"][at] == 1)]
+    rows = np.concatenate([np.flatnonzero(inside), crossing])
+    offset = column["offset"][rows]
+    for name in ("most", "least"):
+        column[name] = np.where(offset < 0, column[name][rows], offset)
+    yield pa.RecordBatch.from_arrays([
+        pa.array(column["g"][rows], pa.int32()), pa.array(column["place"][rows], pa.int64()),
+        pa.array(column["most"], pa.int32()), pa.array(column["least"], pa.int32()),
+    ], names=["g", "at", "most", "least"])
+
+
 def byte_remover(length: int):
     """`(doc_id, n_bytes, n_removed, n_spans, kept)` of a group, given what is known of its anchors."""
     reach = length - KEY
@@ -296,10 +329,10 @@ def byte_remover(length: int):
             if at.as_py() is not None:
                 low.append(np.array([at.as_py() - most.as_py()]))
                 high.append(np.array([at.as_py() - least.as_py() + length]))
-        change = np.zeros(len(data) + 1, dtype=np.int64)
+        change = np.zeros(len(data) + 1, dtype=np.int32)
         np.add.at(change, np.concatenate(low), 1)
         np.add.at(change, np.concatenate(high), -1)
-        gone = np.cumsum(change[:-1]) > 0
+        gone = np.cumsum(change[:-1], dtype=np.int32) > 0
         rows = []
         for a, b in zip(begins[:-1].tolist(), begins[1:].tolist()):
             cut = gone[a:b]
@@ -332,21 +365,19 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         suffix_reader(length), "g int, place long, partner boolean, left binary, suffix binary"
     )
     n = partitions(docs.sparkSession)
-    # Spark samples the suffixes for splitters; equal suffixes stay in one bucket.
-    compared = suffixes.repartitionByRange(n, "suffix").mapInArrow(
+    # Spark samples the suffixes for splitters.
+    compared = suffixes.repartitionByRange(
+        n, F.substring("suffix", 1, KEY), F.substring("left", -CROSS, CROSS)
+    ).mapInArrow(
         comparer(length),
         "g int, place long, most int, least int, offset int, first long, second long, weight long",
     )
-    # Across boundaries: strings of the anchors at the buckets' ends, counted by their hash.
-    strings = compared.repartition(n, "first", "second")
-    edges = strings.filter("offset >= 0")
-    totals = edges.groupBy("first", "second").agg(F.sum("weight").alias("total")).filter("total > 1")
-    crossing = edges.filter("weight = 1").join(totals, ["first", "second"], "left_semi")
-    found = crossing.groupBy("g", "place").agg(F.max("offset").alias("most"), F.min("offset").alias("least"))
-    inside = strings.filter("offset < 0").select("g", "place", "most", "least")
-    known = inside.union(found).select(
+    answers = compared.repartition(n, "first", "second").mapInArrow(
+        settle, "g int, at long, most int, least int"
+    )
+    known = answers.select(
         "g", F.lit(None).cast("binary").alias("place"), F.lit(None).cast("binary").alias("fate"),
-        F.col("place").alias("at"), "most", "least",
+        "at", "most", "least",
     )
     settled = fates.select(
         "g", "place", "fate", F.lit(None).cast("long").alias("at"),
