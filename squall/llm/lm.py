@@ -202,7 +202,6 @@ class Attention:
         read = a @ v
         h = late + read @ w["mix"]
         logits = h.reshape(-1, WIDTH) @ w["out"] + self.pairs.classes[self.classes.row[inputs[:, STRIDE:]].ravel()]
-        logits -= logits.max(axis=1, keepdims=True)
         return {"x": x, "q": q, "k": k, "v": v, "a": a, "read": read, "h": h, "logits": logits}
 
     def log_p(self, inputs: np.ndarray, targets: np.ndarray) -> np.ndarray:
@@ -212,14 +211,17 @@ class Attention:
         chosen = logits[np.arange(len(wanted)), self.classes.of[wanted]]
         last, row = self.classes.row[inputs[:, STRIDE:]].ravel(), self.classes.row[wanted]
         within = self.pairs.rows[last, row] + self.classes.log_share[wanted]
-        got = chosen - np.log(np.exp(logits).sum(axis=1)) + within
+        most = logits.max(axis=1)
+        logits -= most[:, None]
+        np.exp(logits, out=logits)
+        got = chosen - most - np.log(logits.sum(axis=1)) + within
         return np.where(wanted >= 0, got, 0.0).reshape(targets.shape)
 
     def gradient(self, inputs: np.ndarray, targets: np.ndarray) -> dict[str, np.ndarray]:
         w, f = self.w, self.forward(inputs)
         wanted = targets.ravel()
         there = wanted >= 0
-        p = np.exp(f["logits"])
+        p = np.exp(f["logits"] - f["logits"].max(axis=1, keepdims=True))
         p /= p.sum(axis=1, keepdims=True)
         p[np.arange(len(wanted)), self.classes.of[wanted]] -= 1
         p[~there] = 0
@@ -297,16 +299,51 @@ def count_ids(ranks: dict[bytes, int]):
     return count
 
 
-def count_pairs(ranks: dict[bytes, int], classes: Classes):
-    """`(id, n)`: how often a row follows another in a task's texts; the pair as one number."""
+def pairs_within(ranks: dict[bytes, int], classes: Classes):
+    """`(id, n)`: how often a row follows another inside words, from the words and their counts."""
 
     def count(batches):
         subwords = Subwords(ranks)
         held = np.zeros(ROWS * ROWS, dtype=np.int64)
+        row = classes.row.tolist()
         for batch in batches:
+            for word, n in zip(batch["word"].to_pylist(), batch["n"].to_pylist()):
+                if word is not None:
+                    rows = [row[i] for i in subwords.encode(" " + word.decode())]
+                    for a, b in zip(rows, rows[1:]):
+                        held[a * ROWS + b] += n
+        seen = np.flatnonzero(held)
+        yield _rows(id=pa.array(seen.astype(np.int32)), n=pa.array(held[seen]))
+
+    return count
+
+
+def pairs_between(ranks: dict[bytes, int], classes: Classes):
+    """`(id, n)`: how often a word's first row, or the end, follows a word's last row in a task's texts."""
+
+    def count(batches):
+        subwords = Subwords(ranks)
+        held = np.zeros(ROWS * ROWS, dtype=np.int64)
+        row = classes.row.tolist()
+        end = row[subwords.end]
+        ends: dict[bytes, tuple[int, int]] = {}
+        for batch in batches:
+            firsts, lasts = [], []
             for text in batch["text"]:
-                c = classes.row[np.concatenate([[subwords.end], subwords.ids(tokens(text.as_py()))])]
-                np.add.at(held, c[:-1] * ROWS + c[1:], 1)
+                if len(ends) > KEPT_WORDS:
+                    ends.clear()
+                lasts.append(end)
+                for word in tokens(text.as_py()):
+                    both = ends.get(word)
+                    if both is None:
+                        ids = subwords.encode(" " + word.decode())
+                        both = ends[word] = (row[ids[0]], row[ids[-1]])
+                    firsts.append(both[0])
+                    lasts.append(both[1])
+                firsts.append(end)
+            code = np.array(lasts, dtype=np.int64) * ROWS + np.array(firsts, dtype=np.int64)
+            seen, n = np.unique(code, return_counts=True)
+            held[seen] += n
         seen = np.flatnonzero(held)
         yield _rows(id=pa.array(seen.astype(np.int32)), n=pa.array(held[seen]))
 
@@ -320,11 +357,16 @@ def train_part(ranks: dict[bytes, int], classes: Classes, pairs: Pairs, weights:
         subwords = Subwords(ranks)
         held, used = [], 0
         for batch in batches:
-            texts = [subwords.ids(tokens(t.as_py())) for t in batch["text"]]
+            # As many blocks of every batch, from texts in random order, so that all parts count.
+            texts, n = [], 0
+            for k in np.random.default_rng(used).permutation(batch.num_rows).tolist():
+                texts.append(subwords.ids(tokens(batch["text"][k].as_py())))
+                n += len(texts[-1]) // STRIDE + 1
+                if n >= 2 * BLOCKS_PER_TASK:
+                    break
             if not texts:
                 continue
             inputs, targets, _ = blocks(texts, subwords.end)
-            # As many blocks of every batch, so that all parts of the task's share count.
             pick = np.random.default_rng(used).permutation(len(inputs))[:BLOCKS_PER_TASK]
             held.append((inputs[pick], targets[pick]))
             used += 1
@@ -368,7 +410,9 @@ def train(texts: DataFrame, counts: DataFrame, vocabulary: str = VOCABULARY, rou
     classes = Classes.fit(
         summed(counts.mapInArrow(count_ids(ranks), "id int, n long"), len(ranks) + 1)
     )
-    counted = summed(texts.mapInArrow(count_pairs(ranks, classes), "id int, n long"), ROWS**2)
+    within = counts.mapInArrow(pairs_within(ranks, classes), "id int, n long")
+    between = texts.mapInArrow(pairs_between(ranks, classes), "id int, n long")
+    counted = summed(within.union(between), ROWS**2)
     pairs = Pairs.fit(counted.reshape(ROWS, ROWS), classes)
     weights = flat(start())
     for _ in range(rounds):
