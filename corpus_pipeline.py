@@ -4,13 +4,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from squall.llm import decontaminate, language, mixing, pii, simhash
-from squall.llm.common import table
-from squall.session import configure
+from squall.llm.common import prepared, table
 from squall.storage import materialise
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a language: null texts and texts without a letter."""
+    prepared(spark)
     model = language.train(docs)
     rows = docs.select(F.struct("*").alias("row"), language.predictor(model)("text").alias("p"))
     return rows.filter(F.col("p.lang_pred") != language.NONE).select("row.*")
@@ -18,21 +18,25 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near duplicates, the one with the smallest id."""
+    prepared(spark)
     return simhash.deduplicate(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts benchmark passages out of the texts and drops texts that are mostly benchmark."""
+    prepared(spark)
     return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces personal data by its kind in brackets."""
+    prepared(spark)
     return pii.mask_personal_data(docs)
 
 
 def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row for every time the mix takes a document, in training order, without the texts."""
+    prepared(spark)
     return mixing.training_order(mixing.mix(docs))
 
 
@@ -50,7 +54,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over `documents`, each written to the shared folder and read again."""
-    docs = table(configure(spark), sf_dir, "documents")
+    docs = table(prepared(spark), sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = materialise(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)

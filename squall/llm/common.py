@@ -7,9 +7,20 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from squall.session import configure
+
 SPACES = r"[\x20\x09-\x0D]+"  # what separates words
 
 
+BATCH_ROWS = "1000"  # sent to Python workers at once; texts can be long
+
+
+def prepared(spark: SparkSession) -> SparkSession:
+    """The session as the operators use it."""
+    configure(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

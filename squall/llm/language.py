@@ -20,7 +20,7 @@ BUCKETS = 1 << 16
 SMOOTHING = 0.5
 MAX_SET = 3  # languages in one text
 ROUNDS = 6  # of expectation-maximisation for a set
-CHUNK_BYTES = 1 << 20  # worked on at once
+CHUNK_BYTES = 1 << 18  # worked on at once
 NONE = "und"  # no letter to go by
 
 PREDICTION = T.StructType([

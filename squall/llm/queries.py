@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 from squall.llm import (
     decontaminate, language, lm, mixing, pii, quality, simhash, substrings, suffixes, toxicity,
 )
-from squall.llm.common import in_fold, table
-from squall.session import configure
+from squall.llm.common import in_fold, prepared, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -18,7 +17,7 @@ ORACLES: dict[str, str] = {}
 
 def case(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(query: Query) -> Query:
-        QUERIES[name] = lambda spark, sf_dir: query(configure(spark), sf_dir)
+        QUERIES[name] = lambda spark, sf_dir: query(prepared(spark), sf_dir)
         if sql is not None:
             ORACLES[name] = sql
         return query
