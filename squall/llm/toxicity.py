@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from squall.storage import materialise
 
-WINDOW, STEP = 8, 4  # words
+WINDOW, STEP = 16, 12  # words
 DICTIONARY_BYTES = 4096
 THRESHOLDS = tuple(range(1, 11))  # bytes saved
 MAX_TEXTS = 3000  # labelled texts of each class to learn from
