@@ -6,6 +6,7 @@ repeated histograms: each pass counts rows per bin (combined map-side, so a hot
 than any other), keeps the bin that holds the wanted rank, and the next pass bins only that one.
 """
 
+import sys
 from collections.abc import Sequence
 from itertools import chain
 
@@ -18,6 +19,7 @@ from squall.storage import materialise
 
 MAX_VALUES_IN_TASK = 2_000_000
 BINS = 1024
+LARGEST = sys.float_info.max
 
 
 def quantile_stats(
@@ -33,6 +35,9 @@ def quantile_stats(
 ) -> DataFrame:
     """Per key, `STATS.<col>` = struct of `n`, `min`, `max` and `q` (array in the order of `probs`).
 
+    A key without any value has `n` 0 and nulls, whatever its size. Infinite values are values like any
+    other, and NaN is the largest of all.
+
     `method="approx"` uses `approx_percentile` (no interpolation, rank error 1/accuracy).
     """
     if method == "approx":
@@ -75,13 +80,14 @@ def _grouped(df: DataFrame, cols, keys, quantile: str) -> DataFrame:
 def _bracketed(df: DataFrame, cols, probs, keys, bins: int) -> DataFrame:
     by = [*keys, "column"]
     cells = [struct({"column": f"'{c}'", "v": f"double({quoted(c)})"}) for c in cols]
-    values = df.selectExpr(*map(quoted, keys), unstacked(cells)).filter("v is not null")
+    values = df.selectExpr(*map(quoted, keys), unstacked(cells))
     totals = materialise(
         values.groupBy(*by).agg(
             F.count("v").alias("n"), F.min("v").alias("min"), F.max("v").alias("max")
         ),
         "quantile-totals",
     )
+    values = values.filter("v is not null")
 
     # Every quantile needs the order statistics just below and just above its position.
     position = [F.lit(float(p)) * (F.col("n") - 1) for p in probs]
@@ -89,7 +95,7 @@ def _bracketed(df: DataFrame, cols, probs, keys, bins: int) -> DataFrame:
         F.array(*chain.from_iterable((F.floor(x), F.ceil(x)) for x in position))
     )
     targets = materialise(
-        totals.select(
+        totals.filter("n > 0").select(
             *by,
             F.explode(ranks).alias("rank"),
             F.col("min").alias("lo"),
@@ -116,7 +122,7 @@ def _bracketed(df: DataFrame, cols, probs, keys, bins: int) -> DataFrame:
         F.map_from_entries(F.collect_list(F.struct("rank", "v"))).alias("at")
     )
     solved = totals.join(by_rank, by, "left")
-    q = F.array(*[_between(F.col("at"), x) for x in position])
+    q = F.when(F.col("n") > 0, F.array(*[_between(F.col("at"), x) for x in position]))
     return to_wide(solved.withColumn("q", q), cols, ["n", "min", "max", "q"], keys)
 
 
@@ -133,8 +139,7 @@ def _narrow(values: DataFrame, pending: DataFrame, by: Sequence[str], bins: int)
     """Replace each bracket `[lo, hi]` by the extent of the bin that holds its rank."""
     target = [*by, "lo", "hi"]
     brackets = pending.groupBy(*target).agg(F.first("below").alias("below"))
-    width = F.col("hi") - F.col("lo")
-    bin_no = F.least(F.floor((F.col("v") - F.col("lo")) / width * bins), F.lit(bins - 1))
+    bin_no = _bin("v", "lo", "hi", bins)
     counts = (
         values.join(brackets, list(by))
         .filter("v between lo and hi")
@@ -154,6 +159,23 @@ def _narrow(values: DataFrame, pending: DataFrame, by: Sequence[str], bins: int)
     )
 
 
+def _bin(v: str, lo: str, hi: str, bins: int) -> Column:
+    """Bin of `v` in `[lo, hi]`, lo < hi; the two ends never share one, so every pass narrows.
+
+    Infinities and NaN have bins of their own. Halves keep the width of the finite rest from overflowing.
+    """
+    low, high = F.greatest(F.lit(-LARGEST), lo), F.least(F.lit(LARGEST), hi)
+    width, past = high - low, F.col(v) - low
+    halves = (F.col(v) / 2 - low / 2) / (high / 2 - low / 2)
+    share = F.when(high <= low, 0.0).when(width <= LARGEST, past / width).otherwise(halves)
+    return (
+        F.when(F.isnan(v), bins + 1)
+        .when(F.col(v) > LARGEST, bins)
+        .when(F.col(v) < -LARGEST, -1)
+        .otherwise(F.least(F.floor(share * bins), F.lit(bins - 1)))
+    )
+
+
 def _between(at: Column, position: Column) -> Column:
     low, high = F.floor(position), F.ceil(position)
     low_value, high_value = at[low], at[high]

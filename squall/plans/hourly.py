@@ -37,6 +37,9 @@ from squall.storage import materialise
 TS = "datetime"
 BLOCK_WIDTH = 360 * DAY  # at most 8,640 rows of one station on an hourly axis
 ROLLING_ROWS = 24
+MEASURED = (
+    "temperature_2m", "relative_humidity_2m", "dew_point_2m", "precipitation", "snowfall", "wind_speed_10m",
+)
 
 
 def preprocess(
@@ -48,7 +51,8 @@ def preprocess(
 ) -> tuple[DataFrame, DataFrame]:
     """Impute by rule, add precipitation flag, season, hour and weekend, scale to [0, 1].
 
-    Returns the rows and the scaler table. `weather_code` is a category and is not scaled.
+    Returns the rows and the scaler table. `weather_code` is a category and is not scaled. Columns that are
+    empty are dropped, after scaling also observed ones that are constant in every key.
     """
     raw = nan_to_null(df).withColumn(TS, F.to_timestamp(TS))
     filled = impute_by_rule(
@@ -65,7 +69,10 @@ def preprocess(
     cols = numeric_columns(rows, exclude=keys)
     scaler = materialise(minmax_fit(rows, cols, keys), "hourly-scaler")
     if scale:
-        rows = minmax_scale(rows, cols, keys, scaler)
+        # A column constant in every key is empty once scaled; the scaler table tells without a pass.
+        spread = scaler.filter("max > min").select("column").distinct().collect()
+        flat = {c for c in cols if c in df.columns} - {r["column"] for r in spread}
+        rows = minmax_scale(rows, cols, keys, scaler).drop(*flat)
     return as_category(rows, ["is_weekend", "is_precipitation"]), scaler
 
 
@@ -78,8 +85,11 @@ def engineer(
 ) -> DataFrame:
     """Calendar parts, season code, 24-row rolling figures, comfort formulas and wind category.
 
-    The formulas take °C; with `fahrenheit=True` the temperature columns are converted for them.
+    The formulas take °C; with `fahrenheit=True` the temperature columns are converted for them. A measured
+    column that preprocessing dropped counts as null.
     """
+    lacking = [c for c in MEASURED if c not in df.columns]
+    df = df.withColumns({c: F.lit(None).cast("double") for c in lacking})
 
     def celsius(name: str):
         return to_celsius(F.col(name)) if fahrenheit else F.col(name)
@@ -114,7 +124,7 @@ def engineer(
             "calculated_relative_humidity": relative_humidity_from_dew(temperature, dew),
             "wind_category": wind_category(wind),
         }
-    )
+    ).drop(*lacking)
 
 
 def hourly_features(

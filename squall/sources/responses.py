@@ -18,13 +18,21 @@ def read_responses(spark: SparkSession, path: str) -> DataFrame:
 def responses_to_rows(responses: DataFrame, ts: str, variables: Sequence[str]) -> DataFrame:
     """One row per station and axis point, variables matched by name.
 
-    A variable the response lacks gives nulls, as does an array shorter than the axis.
+    A variable the response lacks gives nulls. An array of another length than the axis fails the query:
+    its values cannot be placed. `length_violations` lists such arrays.
     """
     step = F.make_dt_interval(secs=F.col("interval_s"))
     axis = time_axis(F.col("start"), F.col("end"), step)
 
     def series(name: str) -> Column:
-        return F.coalesce(F.col("variables")[name], F.array().cast("array<double>")).alias(name)
+        values = F.col("variables")[name]
+        refused = F.raise_error(
+            F.format_string(f"{name} of %s has %d values on an axis of %d", "station", F.size(values), F.size(axis))
+        )
+        empty = F.array().cast("array<double>")
+        return (
+            F.when(values.isNull(), empty).when(F.size(values) == F.size(axis), values).otherwise(refused).alias(name)
+        )
 
     zipped = responses.select(
         "station", "start", "end", axis.alias(ts), *[series(v) for v in variables]
@@ -32,6 +40,18 @@ def responses_to_rows(responses: DataFrame, ts: str, variables: Sequence[str]) -
     return nan_to_null(zipped.filter(F.col(ts).isNotNull()))
 
 
+def length_violations(responses: DataFrame) -> DataFrame:
+    """`(station, start, variable, n_values, n_points)` of each array whose length is not its axis's."""
+    step = F.make_dt_interval(secs=F.col("interval_s"))
+    axis = time_axis(F.col("start"), F.col("end"), step)
+    arrays = responses.select(
+        "station", "start", F.size(axis).alias("n_points"), F.explode("variables").alias("variable", "values")
+    )
+    return arrays.filter("values is not null and size(values) <> n_points").select(
+        "station", "start", "variable", F.size("values").alias("n_values"), "n_points"
+    )
+
+
 def ingest_hourly(responses: DataFrame, variables: Sequence[str] = HOURLY_VARIABLES) -> DataFrame:
     return responses_to_rows(responses, "datetime", variables)
 

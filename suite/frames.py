@@ -23,7 +23,7 @@ from squall.operators.scaling import (
 )
 from squall.operators.stats import global_min_max
 from squall.functions.binning import season
-from suite.registry import case, day, num, nums, stamp
+from suite.registry import ORACLES, case, day, num, nums, stamp
 from suite.views import (
     DAILY_CTE,
     DAILY_GRID_CTE,
@@ -153,6 +153,12 @@ def _iqr_bounds(spark, sf_dir):
     return iqr_bounds(readings(spark, sf_dir), CLIPPED, STATION)
 
 
+@case("iqr_bounds_large", ORACLES["iqr_bounds"])
+def _iqr_bounds_large(spark, sf_dir):
+    """As for groups too large for one task, whatever their size here."""
+    return iqr_bounds(readings(spark, sf_dir), CLIPPED, STATION, max_values_in_task=0)
+
+
 def _clip_sql(view: str, cols) -> str:
     quartiles = ", ".join(
         f"quantile_cont({c}, 0.25) as q1_{c}, quantile_cont({c}, 0.75) as q3_{c}" for c in cols
@@ -175,6 +181,12 @@ def _iqr_clip(spark, sf_dir):
     return iqr_clip(readings(spark, sf_dir), CLIPPED, STATION).select("event_id", *CLIPPED)
 
 
+@case("iqr_clip_large", ORACLES["iqr_clip"])
+def _iqr_clip_large(spark, sf_dir):
+    clipped = iqr_clip(readings(spark, sf_dir), CLIPPED, STATION, max_values_in_task=0)
+    return clipped.select("event_id", *CLIPPED)
+
+
 @case(
     "quantiles",
     f"with {READINGS_CTE} select c as \"column\", p, {num('v', 'value')} from ("
@@ -307,6 +319,11 @@ def _histogram(spark, sf_dir):
     return histogram(readings(spark, sf_dir), "temperature_2m")
 
 
+@case("histogram_large", ORACLES["histogram"])
+def _histogram_large(spark, sf_dir):
+    return histogram(readings(spark, sf_dir), "temperature_2m", max_values_in_task=0)
+
+
 @case(
     "histogram_daily",
     f"with {DAILY_CTE}, {histogram_sql('daily', 'temperature_2m_max')}",
@@ -371,6 +388,11 @@ def _boxplot_station(spark, sf_dir):
     return boxplot(readings(spark, sf_dir), "station", "temperature_2m")
 
 
+@case("boxplot_by_station_large", ORACLES["boxplot_by_station"])
+def _boxplot_station_large(spark, sf_dir):
+    return boxplot(readings(spark, sf_dir), "station", "temperature_2m", max_values_in_task=0)
+
+
 @case(
     "scatter_actual_predicted",
     f"""with {READINGS_CTE},

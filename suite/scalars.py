@@ -6,7 +6,7 @@ from squall.functions import binning, calendar, comfort, rates
 from squall.operators import columns
 from squall.operators.encode import factorize
 from squall.operators.flags import quantile_flags
-from suite.registry import case, day, num, stamp
+from suite.registry import ORACLES, case, day, num, stamp
 from suite.views import (
     DAILY_CTE,
     READINGS_CTE,
@@ -245,7 +245,17 @@ _daily_case(
     from daily join q using (station)""",
 )
 def _quantile_flags(spark, sf_dir):
-    flagged = quantile_flags(daily(spark, sf_dir), keys=STATION)
+    return _flagged(spark, sf_dir)
+
+
+@case("quantile_flags_large", ORACLES["quantile_flags"])
+def _quantile_flags_large(spark, sf_dir):
+    """As for groups too large for one task, whatever their size here."""
+    return _flagged(spark, sf_dir, max_values_in_task=0)
+
+
+def _flagged(spark, sf_dir, **options):
+    flagged = quantile_flags(daily(spark, sf_dir), keys=STATION, **options)
     return flagged.select(
         *STATION, "date", "is_hot_day", "is_cold_day", "is_heavy_precipitation"
     )

@@ -3,6 +3,7 @@ import datetime as dt
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from squall.operators.columns import is_category
 from squall.plans.collection import collect_daily
@@ -10,6 +11,7 @@ from squall.plans.daily import daily_features
 from squall.plans.daily import preprocess as preprocess_daily
 from squall.plans.hourly import engineer as engineer_hourly
 from squall.plans.hourly import hourly_features
+from squall.plans.hourly import preprocess as preprocess_hourly
 from squall.sources.schemas import DAILY_VARIABLES
 from squall.streaming import read_stream, row_features, write_available
 
@@ -89,6 +91,16 @@ def hourly_raw(spark):
     return data, spark.createDataFrame(data)
 
 
+def test_hourly_scaling_drops_constant_columns(hourly_raw):
+    _, df = hourly_raw
+    df = df.limit(40).withColumn("snowfall", F.lit(0.0))
+    kept, _ = preprocess_hourly(df, scale=False)
+    scaled, _ = preprocess_hourly(df)
+    assert set(kept.columns) - set(scaled.columns) == {"showers", "snowfall"}
+    engineered, _ = hourly_features(df, scale="before")
+    assert "snowfall" not in engineered.columns and engineered.count() == 40
+
+
 def test_hourly_features_against_pandas(hourly_raw):
     data, df = hourly_raw
     got = hourly_features(df, scale="none")[0].toPandas().sort_values("datetime", ignore_index=True)

@@ -174,6 +174,8 @@ def test_factorize(spark, keys):
     df = spark.createDataFrame(rows, "station string, datetime timestamp, season string")
     got = column(factorize(df, "season", ts="datetime", keys=keys), "season")
     assert got == list(pd.factorize(pd.Series(labels))[0])
+    in_blocks = factorize(df, "season", ts="datetime", keys=keys, max_rows=1)
+    assert column(in_blocks, "season") == got
 
 
 def test_results_do_not_depend_on_partitioning(walk):

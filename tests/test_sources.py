@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from squall.operators.axis import regular_grid, time_axis
-from squall.sources.responses import ingest_daily, ingest_hourly, read_responses
+from squall.sources.responses import ingest_daily, ingest_hourly, length_violations, read_responses
 from squall.sources.schemas import (
     DAILY_REQUESTED,
     DAILY_VARIABLES,
@@ -39,7 +39,7 @@ def test_variable_lists():
 
 def test_hourly_response_by_name(spark):
     rows = ingest_hourly(
-        response(spark, {"rain": [1.0, 2.0, 3.0], "temperature_2m": [7.0, float("nan")]})
+        response(spark, {"rain": [1.0, 2.0, 3.0], "temperature_2m": [7.0, float("nan"), None]})
     )
     assert rows.columns == [f.name for f in HOURLY_SCHEMA]
     got = rows.orderBy("datetime").select("datetime", "temperature_2m", "rain", "cape").collect()
@@ -50,6 +50,15 @@ def test_hourly_response_by_name(spark):
     ]
 
 
+@pytest.mark.parametrize("values", [[1.0, 2.0], [1.0, 2.0, 3.0, 4.0], []])
+def test_arrays_that_do_not_fit_the_axis_are_refused(spark, values):
+    answers = response(spark, {"rain": values, "temperature_2m": [1.0, 2.0, 3.0], "cape": None})
+    with pytest.raises(Exception, match=f"rain of a has {len(values)} values on an axis of 3"):
+        ingest_hourly(answers).collect()
+    found = [tuple(r) for r in length_violations(answers).collect()]
+    assert found == [("a", T0, "rain", len(values), 3)]
+
+
 def test_requested_daily_variables_land_under_their_names(spark):
     values = {v: [float(i)] for i, v in enumerate(DAILY_REQUESTED)}
     row = ingest_daily(response(spark, values, hours=1, step=86_400)).first().asDict()

@@ -1,4 +1,6 @@
 import datetime as dt
+import math
+import sys
 
 import numpy as np
 import pandas as pd
@@ -15,6 +17,7 @@ from squall.operators.metrics import error_metrics, monitor, retrain_needed
 from squall.operators.quantiles import quantiles
 from squall.operators.scaling import (
     clip_and_scale,
+    iqr_bounds,
     iqr_clip,
     minmax_fit,
     minmax_inverse,
@@ -58,6 +61,33 @@ def test_bracketed_quantiles_of_anything(spark, values):
         assert row.value is None if w is None else row.value == pytest.approx(w, abs=1e-6)
 
 
+@pytest.mark.parametrize(
+    "values",
+    [
+        [1.0, 2.0, 3.0, math.inf],
+        [-math.inf, -1.0, 4.0, 4.0, math.inf, math.inf],
+        [-1.5e308, -1e308, 0.0, 1.0, 1.5e308],
+        [-math.inf, -sys.float_info.max, sys.float_info.max],
+        [0.0, 5e-324, 1e-323],
+        [7.0] * 5,
+        [-math.inf] * 3,
+    ],
+)
+def test_quantile_paths_agree_on_extreme_values_and_empty_keys(spark, values):
+    rows = [("a", v) for v in values] + [("b", None), ("b", None)]
+    df = spark.createDataFrame(rows, "k string, x double")
+    probs = [0.0, 0.3, 0.5, 1.0]
+    small, large = (
+        {(r.k, r.p): r.value for r in quantiles(df, ["x"], probs, ["k"], **options).collect()}
+        for options in ({}, {"max_values_in_task": 0, "bins": 4})
+    )
+    assert small.keys() == large.keys() and len(small) == 2 * len(probs)
+    for key, value in small.items():
+        assert large[key] == (value if value is None else pytest.approx(value, rel=1e-12, nan_ok=True)), key
+    bounds = [iqr_bounds(df, ["x"], ["k"], **o).count() for o in ({}, {"max_values_in_task": 0})]
+    assert bounds == [2, 2]
+
+
 def test_approximate_quantiles(spark):
     df = frame(spark, [float(i) for i in range(1001)])
     got = quantiles(df, ["x"], [0.5], method="approx").first().value
