@@ -35,6 +35,8 @@ ROUNDS = 2
 BLOCKS_PER_TASK = 8192  # that a task trains on in a round
 FREQUENT = 1 << 16  # words whose counts are sent to every task; the others are joined
 KEPT_WORDS = 200_000  # in a task's tables of words
+SCORED_AT_ONCE = 512  # blocks, so that their logits stay in a core's cache
+LARGE = 60.0  # logits above are shifted before they are raised
 
 FOLDS, HELD_OUT = 7, 2
 
@@ -45,8 +47,22 @@ def read_vocabulary(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines if line.strip())}
 
 
+class Remembered(dict):
+    """Values of words, found by `find` and kept for the words met before, as long as they are few."""
+
+    def __init__(self, find):
+        super().__init__()
+        self.find = find
+
+    def __missing__(self, word):
+        if len(self) > KEPT_WORDS:
+            self.clear()
+        value = self[word] = self.find(word)
+        return value
+
+
 class Subwords:
-    """Ids of words, remembered for words met before."""
+    """Ids of words."""
 
     def __init__(self, ranks: dict[bytes, int]):
         import tiktoken
@@ -55,20 +71,12 @@ class Subwords:
             "subwords", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}
         ).encode_ordinary
         self.end = len(ranks)
-        self.known: dict[bytes, list[int]] = {}
+        self.packed = Remembered(lambda word: np.array(self.encode(" " + word.decode()), dtype=np.int32).tobytes())
+        self.packed_end = np.array([self.end], dtype=np.int32).tobytes()
 
     def ids(self, words: list[bytes]) -> np.ndarray:
         """Ids of a text, then the end."""
-        known, out = self.known, []
-        if len(known) > KEPT_WORDS:
-            known.clear()
-        for word in words:
-            ids = known.get(word)
-            if ids is None:
-                ids = known[word] = self.encode(" " + word.decode())
-            out += ids
-        out.append(self.end)
-        return np.array(out, dtype=np.int32)
+        return np.frombuffer(b"".join([*map(self.packed.__getitem__, words), self.packed_end]), dtype=np.int32)
 
 
 def tokens(text: bytes | None) -> list[bytes]:
@@ -187,41 +195,52 @@ class Attention:
 
     def __init__(self, weights: dict[str, np.ndarray], classes: Classes, pairs: Pairs):
         self.w, self.classes, self.pairs = weights, classes, pairs
+        self.share = np.exp(pairs.classes)
 
     def forward(self, inputs: np.ndarray) -> dict[str, np.ndarray]:
+        """All values on the way; `added` is what the model adds to the class logits after a row."""
         w = self.w
-        there = inputs >= 0
-        x = w["embed"][self.classes.row[inputs]] + w["place"]
+        row = self.classes.row[inputs]
+        x = w["embed"][row] + w["place"]
         late = x[:, STRIDE:]
         q, k, v = late @ w["query"], x @ w["key"], x @ w["value"]
-        s = q @ k.transpose(0, 2, 1) / np.float32(math.sqrt(WIDTH)) + MASK
-        s += np.where(there, 0, -1e9).astype(np.float32)[:, None, :]
+        s = q @ k.transpose(0, 2, 1)
+        s *= np.float32(1 / math.sqrt(WIDTH))
+        s += MASK
+        there = inputs >= 0
+        partly = np.flatnonzero(~there.all(axis=1))
+        s[partly] += np.where(there[partly], 0, -1e9).astype(np.float32)[:, None, :]
         s -= s.max(axis=2, keepdims=True)
-        a = np.exp(s)
+        a = np.exp(s, out=s)
         a /= a.sum(axis=2, keepdims=True)
         read = a @ v
         h = late + read @ w["mix"]
-        logits = h.reshape(-1, WIDTH) @ w["out"] + self.pairs.classes[self.classes.row[inputs[:, STRIDE:]].ravel()]
-        return {"x": x, "q": q, "k": k, "v": v, "a": a, "read": read, "h": h, "logits": logits}
+        last = row[:, STRIDE:].ravel()
+        return {
+            "x": x, "q": q, "k": k, "v": v, "a": a, "read": read, "h": h, "last": last,
+            "added": h.reshape(-1, WIDTH) @ w["out"],
+        }
 
     def log_p(self, inputs: np.ndarray, targets: np.ndarray) -> np.ndarray:
         """Natural log probability of each target; 0 where there is none."""
-        logits = self.forward(inputs)["logits"]
-        wanted = targets.ravel()
-        chosen = logits[np.arange(len(wanted)), self.classes.of[wanted]]
-        last, row = self.classes.row[inputs[:, STRIDE:]].ravel(), self.classes.row[wanted]
+        f = self.forward(inputs)
+        added, last, wanted = f["added"], f["last"], targets.ravel()
+        if added.max() > LARGE:
+            added -= added.max(axis=1, keepdims=True)
+        of, row = self.classes.of[wanted], self.classes.row[wanted]
+        chosen = added[np.arange(len(wanted)), of] + self.pairs.classes[last, of]
         within = self.pairs.rows[last, row] + self.classes.log_share[wanted]
-        most = logits.max(axis=1)
-        logits -= most[:, None]
-        np.exp(logits, out=logits)
-        got = chosen - most - np.log(logits.sum(axis=1)) + within
+        np.exp(added, out=added)
+        total = np.einsum("ij,ij->i", added, self.share[last])
+        got = chosen - np.log(total) + within
         return np.where(wanted >= 0, got, 0.0).reshape(targets.shape)
 
     def gradient(self, inputs: np.ndarray, targets: np.ndarray) -> dict[str, np.ndarray]:
         w, f = self.w, self.forward(inputs)
         wanted = targets.ravel()
         there = wanted >= 0
-        p = np.exp(f["logits"] - f["logits"].max(axis=1, keepdims=True))
+        p = f["added"] + self.pairs.classes[f["last"]]
+        p = np.exp(p - p.max(axis=1, keepdims=True))
         p /= p.sum(axis=1, keepdims=True)
         p[np.arange(len(wanted)), self.classes.of[wanted]] -= 1
         p[~there] = 0
@@ -326,24 +345,20 @@ def pairs_between(ranks: dict[bytes, int], classes: Classes):
         held = np.zeros(ROWS * ROWS, dtype=np.int64)
         row = classes.row.tolist()
         end = row[subwords.end]
-        ends: dict[bytes, tuple[int, int]] = {}
+
+        def ends(word: bytes) -> int:
+            ids = subwords.encode(" " + word.decode())
+            return row[ids[0]] * ROWS + row[ids[-1]]
+
+        known = Remembered(ends)
         for batch in batches:
-            firsts, lasts = [], []
+            codes = []
             for text in batch["text"]:
-                if len(ends) > KEPT_WORDS:
-                    ends.clear()
-                lasts.append(end)
-                for word in tokens(text.as_py()):
-                    both = ends.get(word)
-                    if both is None:
-                        ids = subwords.encode(" " + word.decode())
-                        both = ends[word] = (row[ids[0]], row[ids[-1]])
-                    firsts.append(both[0])
-                    lasts.append(both[1])
-                firsts.append(end)
-            code = np.array(lasts, dtype=np.int64) * ROWS + np.array(firsts, dtype=np.int64)
-            seen, n = np.unique(code, return_counts=True)
-            held[seen] += n
+                words = tokens(text.as_py())
+                both = np.fromiter(map(known.__getitem__, words), dtype=np.int64, count=len(words))
+                codes.append(np.append(end, both % ROWS) * ROWS + np.append(both // ROWS, end))
+            if codes:
+                held += np.bincount(np.concatenate(codes), minlength=len(held))
         seen = np.flatnonzero(held)
         yield _rows(id=pa.array(seen.astype(np.int32)), n=pa.array(held[seen]))
 
@@ -438,8 +453,8 @@ def score_part(model: Model, frequent: dict[bytes, int], ends: int):
     def flush(held, attention, end):
         inputs, targets, owner = blocks(held, end)
         out = np.zeros(len(held))
-        for at in range(0, len(inputs), 2048):
-            part = slice(at, at + 2048)
+        for at in range(0, len(inputs), SCORED_AT_ONCE):
+            part = slice(at, at + SCORED_AT_ONCE)
             got = attention.log_p(inputs[part], targets[part]).sum(axis=1)
             out += np.bincount(owner[part], weights=got, minlength=len(held))
         return out / math.log(10)
