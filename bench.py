@@ -17,7 +17,7 @@ from squall.session import local_session  # noqa: E402
 from suite import QUERIES  # noqa: E402
 
 HEADLINE = (
-    "time_axis", "scan_csv", "ingest_hourly", "source_filter",
+    "time_axis", "regular_grid", "scan_csv", "ingest_hourly", "source_filter",
     "ffill", "interpolate_time", "fill_mean", "impute_by_rule",
     "iqr_bounds", "iqr_clip", "minmax_scale", "minmax_inverse", "quantiles",
     "calendar_features", "weather_flags_hourly", "wind_chill", "heat_index", "wind_category",

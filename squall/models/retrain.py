@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from squall.models.analysis import evaluate
 from squall.models.predictors import Predictor, TreeModels, train_models
 from squall.operators.metrics import monitor, retrain_needed
+from squall.storage import materialise
 
 
 def monitor_models(
@@ -20,7 +21,7 @@ def monitor_models(
     """Metrics per target with breach flags; `since` limits them to rows the model has not seen."""
     if since is not None:
         df = df.filter(F.col(ts) >= F.lit(since).cast(df.schema[ts].dataType))
-    return monitor(evaluate(model, df), thresholds)
+    return monitor(materialise(evaluate(model, df), "metrics"), thresholds)
 
 
 def retrain_if_degraded(

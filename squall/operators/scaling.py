@@ -147,4 +147,4 @@ def clip_and_scale(
 
 
 def _with_scaler(df: DataFrame, scaler: DataFrame, cols, keys) -> DataFrame:
-    return attach(df, to_wide(scaler, cols, ["min", "max"], keys), keys, written=True)
+    return attach(df, to_wide(scaler, cols, ["min", "max"], keys), keys)

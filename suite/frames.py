@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from squall.operators import columns
-from squall.operators.axis import regular_grid
+from squall.operators.axis import regular_grid, time_axis
 from squall.operators.eda import (
     boxplot,
     correlation_matrix,
@@ -45,13 +45,26 @@ MEASURED = (
 @case(
     "time_axis",
     f"""with {HOURLY_CTE}
+    select station, {stamp('t', 'datetime')}
+    from (select station, unnest(range(min(datetime), max(datetime), interval 1 hour)) as t
+          from hourly group by station)""",
+)
+def _time_axis(spark, sf_dir):
+    limits = hourly(spark, sf_dir).groupBy("station").agg(F.min("datetime").alias("lo"), F.max("datetime").alias("hi"))
+    axis = time_axis(F.col("lo"), F.col("hi"), F.expr("interval 1 hour"))
+    return limits.select("station", F.explode(axis).alias("datetime"))
+
+
+@case(
+    "regular_grid",
+    f"""with {HOURLY_CTE}
     select s.station, {stamp('a.t', 'datetime')}, h.station is not null as observed
     from (select distinct station from hourly) s
     cross join (select unnest(generate_series(min(datetime), max(datetime), interval 1 hour)) as t
                 from hourly) a
     left join hourly h on h.station = s.station and h.datetime = a.t""",
 )
-def _time_axis(spark, sf_dir):
+def _regular_grid(spark, sf_dir):
     rows = hourly(spark, sf_dir).select("station", "datetime", F.lit(True).alias("observed"))
     grid = regular_grid(rows, "datetime", "1 hour", STATION)
     return grid.withColumn("observed", F.coalesce("observed", F.lit(False)))

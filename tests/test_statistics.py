@@ -273,3 +273,12 @@ def test_horizon_and_selection(spark):
     assert columns.within_horizon(df, "date", "2024-01-02").count() == 8
     marked = columns.mark_selected(df, "date", "2024-01-05").filter("Selected").collect()
     assert [r.date for r in marked] == [dt.date(2024, 1, 5)]
+
+
+def test_scaler_of_a_caller_is_written_before_the_join(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("b", 2.0), ("b", 6.0)], "station string, x double")
+    scaler = minmax_fit(df, ["x"], ["station"])
+    back = minmax_inverse(minmax_scale(df, ["x"], ["station"], scaler), scaler, ["x"], ["station"])
+    plan = back._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 2
+    assert sorted(map(tuple, back.collect())) == [("a", 1.0), ("a", 3.0), ("b", 2.0), ("b", 6.0)]
