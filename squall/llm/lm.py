@@ -3,7 +3,7 @@
 Words are cut into ids of a public vocabulary. The model predicts the class of the next id; counts over all
 training ids tell the id within its class. Class logits are the log shares of the classes after the last id,
 over all training ids, plus what one head of masked self-attention reads from the context. Every task trains
-on blocks of its own part of the corpus, and Spark averages the weights; so what training sees grows with it.
+on all blocks of its own part of the corpus, and Spark averages the weights by the blocks behind them.
 
 A text is cut into overlapping context windows of 2 * STRIDE ids, STRIDE apart; each id is scored once, in
 the window in which it lies in the later half.
@@ -32,7 +32,9 @@ OWN_ROWS = 1024  # ids with a row of their own, by count; the others share their
 ROWS = OWN_ROWS + CLASSES
 TRUST = 5.0  # pseudo-counts of the shares without regard to the last id
 ROUNDS = 2
-BLOCKS_PER_TASK = 8192  # that a task trains on in a round
+SHUFFLED = 8192  # blocks in random order at once; a task trains on all it has
+STEP_BLOCKS = 128
+SLOWER = 64  # steps; well beyond them the rate falls as one over their root
 FREQUENT = 1 << 16  # words whose counts are sent to every task; the others are joined
 KEPT_WORDS = 200_000  # in a task's tables of words
 SCORED_AT_ONCE = 512  # blocks, so that their logits stay in a core's cache
@@ -260,22 +262,48 @@ class Attention:
         dx[:, STRIDE:] += dh + dq @ w["query"].T
         dx[inputs < 0] = 0
         g["place"] = dx.sum(axis=0)
-        g["embed"] = np.zeros_like(w["embed"])
-        np.add.at(g["embed"], self.classes.row[inputs].ravel(), dx.reshape(-1, WIDTH))
+        place = self.classes.row[inputs].reshape(-1, 1) * WIDTH + np.arange(WIDTH)
+        g["embed"] = np.bincount(place.ravel(), dx.ravel(), ROWS * WIDTH).reshape(ROWS, WIDTH).astype(np.float32)
         return g
 
-    def learn(self, inputs: np.ndarray, targets: np.ndarray, rate: float = 0.01, size: int = 128) -> None:
-        """One pass over the blocks with Adam."""
-        first = {k: np.zeros_like(v) for k, v in self.w.items()}
-        second = {k: np.zeros_like(v) for k, v in self.w.items()}
-        order = np.random.default_rng(1).permutation(len(inputs))
-        for step, at in enumerate(range(0, len(order), size), start=1):
-            part = order[at : at + size]
-            for k, g in self.gradient(inputs[part], targets[part]).items():
-                first[k] = 0.9 * first[k] + 0.1 * g
-                second[k] = 0.99 * second[k] + 0.01 * g * g
-                size_of = np.sqrt(second[k] / (1 - 0.99**step)) + 1e-8
-                self.w[k] = self.w[k] - rate * (first[k] / (1 - 0.9**step)) / size_of
+
+class Learner:
+    """Adam steps on a model's weights over a stream of blocks; `seen` of them so far."""
+
+    def __init__(self, model: Attention, seed: int, rate: float = 0.01):
+        self.model, self.rate, self.random = model, rate, np.random.default_rng(seed)
+        self.first = {k: np.zeros_like(v) for k, v in model.w.items()}
+        self.second = {k: np.zeros_like(v) for k, v in model.w.items()}
+        self.steps = self.seen = 0
+        self.rest: tuple[np.ndarray, np.ndarray] | None = None
+
+    def learn(self, inputs: np.ndarray, targets: np.ndarray) -> None:
+        """Whole steps over the blocks in random order; what is left over waits for the next ones."""
+        if self.rest is not None:
+            inputs, targets = np.vstack([self.rest[0], inputs]), np.vstack([self.rest[1], targets])
+        order = self.random.permutation(len(inputs))
+        whole = len(order) - len(order) % STEP_BLOCKS
+        for at in range(0, whole, STEP_BLOCKS):
+            part = order[at : at + STEP_BLOCKS]
+            self.step(inputs[part], targets[part])
+        self.rest = inputs[order[whole:]], targets[order[whole:]]
+
+    def finish(self) -> None:
+        """A last step over what is left."""
+        if self.rest is not None and len(self.rest[0]):
+            self.step(*self.rest)
+        self.rest = None
+
+    def step(self, inputs: np.ndarray, targets: np.ndarray) -> None:
+        first, second, w = self.first, self.second, self.model.w
+        rate = self.rate / math.sqrt(1 + self.steps / SLOWER)
+        self.steps += 1
+        self.seen += len(inputs)
+        for k, g in self.model.gradient(inputs, targets).items():
+            first[k] = 0.9 * first[k] + 0.1 * g
+            second[k] = 0.99 * second[k] + 0.01 * g * g
+            size_of = np.sqrt(second[k] / (1 - 0.99**self.steps)) + 1e-8
+            w[k] = w[k] - rate * (first[k] / (1 - 0.9**self.steps)) / size_of
 
 
 def _rows(**columns: pa.Array) -> pa.RecordBatch:
@@ -365,36 +393,32 @@ def pairs_between(ranks: dict[bytes, int], classes: Classes):
     return count
 
 
-def train_part(ranks: dict[bytes, int], classes: Classes, pairs: Pairs, weights: np.ndarray):
-    """`(id, n)`: the weights after training on blocks spread over a task's texts."""
+def train_part(ranks: dict[bytes, int], classes: Classes, pairs: Pairs, weights: np.ndarray, seed: int = 0):
+    """`(id, w, n)`: the weights after one pass over all blocks of a task's texts, and how many those are.
+
+    Blocks are made and shuffled about SHUFFLED at once, so that memory does not grow with the partition.
+    """
 
     def train(batches):
         subwords = Subwords(ranks)
-        held, used = [], 0
+        learner = Learner(Attention(unflat(weights), classes, pairs), seed)
+        texts, n = [], 0
         for batch in batches:
-            # As many blocks of every batch, from texts in random order, so that all parts count.
-            texts, n = [], 0
-            for k in np.random.default_rng(used).permutation(batch.num_rows).tolist():
-                texts.append(subwords.ids(tokens(batch["text"][k].as_py())))
-                n += len(texts[-1]) // STRIDE + 1
-                if n >= 2 * BLOCKS_PER_TASK:
-                    break
-            if not texts:
-                continue
-            inputs, targets, _ = blocks(texts, subwords.end)
-            pick = np.random.default_rng(used).permutation(len(inputs))[:BLOCKS_PER_TASK]
-            held.append((inputs[pick], targets[pick]))
-            used += 1
-        if not held:
-            return
-        inputs, targets = (np.vstack([h[i] for h in held]) for i in (0, 1))
-        pick = np.random.default_rng(0).permutation(len(inputs))[:BLOCKS_PER_TASK]
-        model = Attention(unflat(weights), classes, pairs)
-        model.learn(inputs[pick], targets[pick])
-        found = flat(model.w)
-        yield _rows(
-            id=pa.array(np.arange(len(found), dtype=np.int32)), w=pa.array(found.astype(np.float64))
-        )
+            for text in batch["text"]:
+                texts.append(subwords.ids(tokens(text.as_py())))
+                n += -(-len(texts[-1]) // STRIDE)
+                if n >= SHUFFLED:
+                    learner.learn(*blocks(texts, subwords.end)[:2])
+                    texts, n = [], 0
+        if texts:
+            learner.learn(*blocks(texts, subwords.end)[:2])
+        learner.finish()
+        if learner.seen:
+            found = flat(learner.model.w)
+            yield _rows(
+                id=pa.array(np.arange(len(found), dtype=np.int32)), w=pa.array(found.astype(np.float64)),
+                n=pa.array(np.full(len(found), learner.seen)),
+            )
 
     return train
 
@@ -410,9 +434,9 @@ class Model:
 def train(texts: DataFrame, counts: DataFrame, vocabulary: str = VOCABULARY, rounds: int = ROUNDS) -> Model:
     """Model from all rows of `texts (text)` (binary) and their word counts `(word, n)`.
 
-    Ids and pairs of rows are counted over the whole corpus. The weights are trained on up to
-    BLOCKS_PER_TASK blocks of every task, and their mean over the tasks starts the next round. The driver
-    gets sums and means of fixed size: 50,257 counts, ROWS ** 2 pairs, and the weights.
+    Ids and pairs of rows are counted over the whole corpus. In every round all its blocks are trained on, each
+    task's in another order than before, and the mean of the tasks' weights, by their blocks, starts the next
+    round. The driver gets sums and means of fixed size: 50,257 counts, ROWS ** 2 pairs, and the weights.
     """
     ranks = read_vocabulary(vocabulary)
 
@@ -430,9 +454,11 @@ def train(texts: DataFrame, counts: DataFrame, vocabulary: str = VOCABULARY, rou
     counted = summed(within.union(between), ROWS**2)
     pairs = Pairs.fit(counted.reshape(ROWS, ROWS), classes)
     weights = flat(start())
-    for _ in range(rounds):
-        trained = texts.mapInArrow(train_part(ranks, classes, pairs, weights), "id int, w double")
-        mean = trained.groupBy("id").agg(F.avg("w").alias("w")).toPandas().sort_values("id")
+    for k in range(rounds):
+        part = train_part(ranks, classes, pairs, weights, k)
+        trained = texts.mapInArrow(part, "id int, w double, n long")
+        by_blocks = (F.sum(F.col("w") * F.col("n")) / F.sum("n")).alias("w")
+        mean = trained.groupBy("id").agg(by_blocks).toPandas().sort_values("id")
         if len(mean):
             weights = mean["w"].to_numpy()
     return Model(ranks, classes, pairs, weights)

@@ -265,6 +265,34 @@ def test_gradient_of_attention():
         assert (loss[0] - loss[1]) / (2 * step) == pytest.approx(gradient[name][place], rel=0.05, abs=1e-4)
 
 
+def test_every_block_is_trained_on(monkeypatch):
+    np, pa = lm.np, lm.pa
+    texts = [" ".join(f"w{k * j % 9973}" for j in range(700)).encode() for k in range(1, 201)]
+    ranks = lm.read_vocabulary(lm.VOCABULARY)
+    subwords = lm.Subwords(ranks)
+    all_blocks = lm.blocks([subwords.ids(lm.tokens(t)) for t in texts], subwords.end)[0]
+    assert len(all_blocks) > 2 * 8192
+    classes = lm.Classes.fit(np.ones(len(ranks) + 1))
+    pairs = lm.Pairs.fit(np.zeros((lm.ROWS, lm.ROWS)), classes)
+    seen = []
+
+    def gradient(model, inputs, targets):
+        seen.append(inputs)
+        return {k: np.zeros_like(v) for k, v in model.w.items()}
+
+    def trained(*seed):
+        seen.clear()
+        batches = [pa.RecordBatch.from_arrays([pa.array(t, pa.binary())], names=["text"]) for t in (texts[:150], texts[150:])]
+        assert list(lm.train_part(ranks, classes, pairs, lm.flat(lm.start()), *seed)(iter(batches)))
+        return [row.tobytes() for row in np.vstack(seen)]
+
+    monkeypatch.setattr(lm.Attention, "gradient", gradient)
+    first = trained()
+    assert Counter(first) == Counter(row.tobytes() for row in all_blocks)
+    second = trained(1)
+    assert second != first and Counter(second) == Counter(first)
+
+
 def test_pipeline(spark, docs, benchmark, tmp_path):
     docs.write.parquet(f"{tmp_path}/documents.parquet")
     benchmark.write.parquet(f"{tmp_path}/benchmark.parquet")
