@@ -51,8 +51,6 @@ from squall.storage import scratch_path
 from suite.registry import case, day, num, nums, stamp
 from suite.views import DAILY_CTE, READINGS_CTE, STATION, daily, readings
 
-# The library's default is 100 trees; a small ensemble keeps the suite quick. Every row counts.
-TREES = 10
 AS_OF = "1998-08-02"
 FORECAST_DATES = ["2024-01-30", "2024-01-31"]
 
@@ -118,24 +116,13 @@ def metrics_sql(targets, view: str = "scored") -> str:
 
 METRICS = f"select target, n, {nums('mae', 'rmse', 'r2', 'bias')}"
 
-# Trained models of this session, so that queries that only apply one need not train it again.
-_trained: dict[tuple[str, str, str], object] = {}
-
 
 def _daily_models(spark, sf_dir):
-    key = (spark.sparkContext.applicationId, sf_dir, "daily")
-    if key not in _trained:
-        extract = _daily_extract(spark, sf_dir)
-        _trained[key] = train_models(extract, DAILY_FEATURES, DAILY_TARGETS, trees=TREES)
-    return _trained[key]
+    return train_models(_daily_extract(spark, sf_dir), DAILY_FEATURES, DAILY_TARGETS)
 
 
 def _hourly_models(spark, sf_dir):
-    key = (spark.sparkContext.applicationId, sf_dir, "hourly")
-    if key not in _trained:
-        extract = _hourly_extract(spark, sf_dir)
-        _trained[key] = train_models(extract, HOURLY_FEATURES, HOURLY_TARGETS, trees=TREES)
-    return _trained[key]
+    return train_models(_hourly_extract(spark, sf_dir), HOURLY_FEATURES, HOURLY_TARGETS)
 
 
 @case(
@@ -177,9 +164,7 @@ def _split(spark, sf_dir):
 @case("train_models")
 def _train(spark, sf_dir):
     """Importance of every feature for every target of freshly trained models."""
-    models = train_models(
-        _hourly_extract(spark, sf_dir), HOURLY_FEATURES, HOURLY_TARGETS, trees=TREES
-    )
+    models = train_models(_hourly_extract(spark, sf_dir), HOURLY_FEATURES, HOURLY_TARGETS)
     rows = []
     for target, model in models.models.items():
         weights = model.stages[-1].featureImportances.toArray()
@@ -206,7 +191,7 @@ def _save_load(spark, sf_dir):
 @case("holdout_evaluation")
 def _holdout(spark, sf_dir):
     train, test = train_test_split(_hourly_extract(spark, sf_dir), ["station", "event_id"])
-    models = train_models(train, HOURLY_FEATURES, HOURLY_TARGETS, trees=TREES)
+    models = train_models(train, HOURLY_FEATURES, HOURLY_TARGETS)
     return evaluate(models, test)
 
 
@@ -363,7 +348,7 @@ def _forecast_daily(spark, sf_dir):
     extract, targets = _daily_extract(spark, sf_dir), list(DAILY_TARGETS)
     scaler = minmax_fit(extract, targets, STATION)
     scaled = minmax_scale(extract, targets, STATION, scaler)
-    models = train_models(scaled, DAILY_FEATURES, targets, trees=TREES)
+    models = train_models(scaled, DAILY_FEATURES, targets)
     return forecast_daily(models, _stations(spark, sf_dir), AS_OF, scaler, STATION)
 
 
@@ -506,9 +491,7 @@ def _retrain(spark, sf_dir):
     old = _hourly_models(spark, sf_dir)
     monitored = monitor_models(old, extract, HOURLY_THRESHOLDS)
     folder = scratch_path(spark, "retrained")
-    models, fresh = retrain_if_degraded(
-        old, extract, monitored, HOURLY_FEATURES, folder, trees=TREES
-    )
+    models, fresh = retrain_if_degraded(old, extract, monitored, HOURLY_FEATURES, folder)
     return evaluate(models, extract).withColumn("retrained", F.lit(fresh))
 
 
@@ -516,7 +499,7 @@ def _retrain(spark, sf_dir):
 def _model_daily(spark, sf_dir):
     rows = daily(spark, sf_dir).select(*STATION, "date", *DAILY_TARGETS)
     folder = scratch_path(spark, "daily-models")
-    done = model_daily(rows, folder, AS_OF, [*STATION, "date"], STATION, trees=TREES)
+    done = model_daily(rows, folder, AS_OF, [*STATION, "date"], STATION)
     return done.today.withColumn("retrained", F.lit(done.retrained))
 
 
@@ -524,7 +507,7 @@ def _model_daily(spark, sf_dir):
 def _model_hourly(spark, sf_dir):
     rows = _observed(spark, sf_dir).select("event_id", *STATION, "datetime", *HOURLY_TARGETS)
     folder = scratch_path(spark, "hourly-models")
-    done = model_hourly(rows, folder, [*STATION, "event_id"], trees=TREES)
+    done = model_hourly(rows, folder, [*STATION, "event_id"])
     return done.monitored.withColumn("retrained", F.lit(done.retrained))
 
 

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from squall.functions import calendar_features
+from squall.models import predictors
 from squall.models.analysis import evaluate, sensitivity_analysis
 from squall.models.features import (
     DAILY_FEATURES,
@@ -30,6 +31,7 @@ from squall.models.predictors import (
 from squall.models.retrain import monitor_models, retrain_if_degraded
 from squall.operators.metrics import DAILY_THRESHOLDS
 from squall.plans.modelling import model_daily
+from suite import QUERIES
 
 TARGET = "apparent_temperature_max"
 
@@ -200,3 +202,20 @@ def test_daily_plan(days, tmp_path):
     assert done.holdout.first().n + train_test_split(days, ["station", "date"])[0].count() == 3285
     assert done.sensitivity.count() == 9 and done.today.count() == 3
     assert done.retrained == done.monitored.first().retrain_needed
+
+
+@pytest.mark.parametrize("name", [
+    "train_models", "model_save_load", "holdout_evaluation", "predict_batch", "sensitivity_analysis",
+    "sensitivity_analysis_daily", "bias_analysis", "predict_single_date", "forecast_daily",
+    "forecast_hourly", "retrain_if_degraded", "daily_modelling", "hourly_modelling",
+])
+def test_query_trains_whole_models_itself(spark, sf_dir, monkeypatch, name):
+    asked, fit = [], predictors._fit
+
+    def small(combos, features, target, trees, *rest):
+        asked.append(trees)
+        return fit(combos, features, target, 1, *rest)
+
+    monkeypatch.setattr(predictors, "_fit", small)
+    assert QUERIES[name](spark, sf_dir).columns
+    assert asked and set(asked) == {100}
