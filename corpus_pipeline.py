@@ -9,9 +9,14 @@ from squall.storage import materialise
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a language: null texts and texts without a letter."""
+    """Drops documents without a language: null texts and texts without a letter.
+
+    Without any labelled text no language is learned; all other documents stay then as well.
+    """
     prepared(spark)
     model = language.train(docs)
+    if not model.names:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
     rows = docs.select(F.struct("*").alias("row"), language.predictor(model)("text").alias("p"))
     return rows.filter(F.col("p.lang_pred") != language.NONE).select("row.*")
 

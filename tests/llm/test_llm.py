@@ -309,3 +309,13 @@ def test_pipeline(spark, docs, benchmark, tmp_path):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, sf_dir, name):
     assert oracle.compare(QUERIES[name](spark, sf_dir), oracle.connect(sf_dir), ORACLES[name]) is None
+
+
+def test_pipeline_without_languages(spark, docs, benchmark, tmp_path):
+    docs.withColumn("lang", F.lit(None).cast("string")).write.parquet(f"{tmp_path}/documents.parquet")
+    benchmark.write.parquet(f"{tmp_path}/benchmark.parquet")
+    held = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    kept = corpus_pipeline.language_id(spark, held, str(tmp_path)).select("doc_id", "text").collect()
+    wanted = [(d, t) for d, t in TEXTS if any(c.isalpha() for c in t or "")]
+    assert Counter(map(tuple, kept)) == Counter(wanted)
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() > 0
