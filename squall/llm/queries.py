@@ -1,4 +1,4 @@
-"""Queries of the ten operators over the driver's tables, with the SQL beside them where it can tell."""
+"""Queries of the thirteen operators over the driver's tables, with the SQL beside them where it can tell."""
 
 from collections.abc import Callable
 
@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from squall.llm import (
-    decontaminate, language, lm, mixing, pii, quality, simhash, substrings, suffixes, toxicity,
+    bpe, decontaminate, language, lm, mixing, pii, quality, resampling, search, simhash, substrings,
+    suffixes, toxicity,
 )
 from squall.llm.common import in_fold, prepared, table
 
@@ -206,3 +207,48 @@ def op4_toxicity(spark, sf_dir):
 @case("op2_attention_scores")
 def op2_attention_scores(spark, sf_dir):
     return lm.score_texts(table(spark, sf_dir, "documents"))
+
+
+@case("op11_byte_bpe")
+def op11_byte_bpe(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    encoded = docs.select("doc_id", bpe.encoder(spark)("text").alias("ids"))
+    return encoded.select("doc_id", *bpe.digests(F.col("ids"), bpe.decoder(spark)))
+
+
+@case("op12_resample_to_target")
+def op12_resample_to_target(spark, sf_dir):
+    ranked = resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return ranked.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+SEARCH_SQL = r"""
+with d as (
+  select row_number() over () as r, doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') as w from documents),
+b as (
+  select row_number() over () as q, item_id, unnest(list_distinct(list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> ''))) as term from benchmark),
+total as (select count(*)::bigint as n_docs, sum(len(w))::bigint as n_terms from d where len(w) > 0),
+held as (
+  select r, term, count(*)::bigint as tf from (select r, unnest(w) as term from d)
+  where term in (select term from b) group by r, term),
+known as (
+  select term, floor(1000 * ln((2 * n_docs + 2)::double / (2 * count(*) + 1)))::bigint as weight
+  from held, total group by term, n_docs),
+scored as (
+  select q, item_id, r, sum(weight * ((1000000000 * tf) //
+           (1000 * tf + 8 * (10 + (90 * len(w)::bigint * n_docs) // n_terms))))::bigint as score
+  from b join known using (term) join held using (term) join d using (r), total group by q, item_id, r),
+ranked as (
+  select item_id, (row_number() over (partition by q order by score desc, doc_id))::int as rank, doc_id, score
+  from scored join d using (r) where score > 0)
+select * from ranked where rank <= 10
+"""
+
+
+@case("op13_ranked_search", SEARCH_SQL)
+def op13_ranked_search(spark, sf_dir):
+    return search.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
