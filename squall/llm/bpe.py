@@ -9,6 +9,8 @@ a piece of n bytes takes n log n steps however long it is.
 
 import base64
 import re
+import struct
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -17,8 +19,9 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-KEPT_PIECES = 200_000  # in a task's table of pieces met before
+KEPT_PIECES = 1 << 19  # in a task's table of pieces met before
 KEPT_CHARS = 64  # longer pieces are not kept there
+UNRANKED = 1 << 32  # above every rank
 
 
 def vocabulary_path() -> str:
@@ -46,70 +49,60 @@ def read_ranks(path: str) -> dict[bytes, int]:
     return ranks
 
 
-class PairTree:
-    """The pairs of neighbouring tokens of a piece, the leftmost pair of least rank at the root.
+def merged(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """Ranks of the tokens of a piece after all merges, least rank first, the leftmost of equals.
 
-    A node holds `rank * leaves + position`, so that the lesser number is the lesser rank and, among equal
-    ranks, the position further left.
+    A node of the tree holds `rank * leaves + position`, so that the lesser number is the lesser rank and,
+    among equal ranks, the position further left.
     """
-
-    def __init__(self, piece: bytes, ranks: dict[bytes, int]):
-        self.piece, self.rank_of = piece, ranks.get
-        count = len(piece)
-        self.leaves = leaves = 1 << max(0, count - 2).bit_length()
-        self.none = none = (max(ranks.values()) + 1) * leaves
-        self.ends = list(range(1, count + 1))  # where the token that begins here ends
-        self.before = list(range(-1, count - 1))  # where the token before it begins
-        tree = [none] * (2 * leaves)
-        for at in range(count - 1):
-            rank = self.rank_of(piece[at : at + 2])
-            if rank is not None:
-                tree[leaves + at] = rank * leaves + at
-        for node in range(leaves - 1, 0, -1):
-            left, right = tree[2 * node], tree[2 * node + 1]
-            tree[node] = left if left < right else right
-        self.tree = tree
-
-    def _put(self, at: int, value: int) -> None:
-        tree, node = self.tree, self.leaves + at
-        tree[node] = value
-        while node > 1:
-            other = tree[node ^ 1]
-            least = value if value < other else other
-            node >>= 1
-            if tree[node] == least:
-                return
-            tree[node] = value = least
-
-    def _rate(self, at: int) -> None:
-        """Rank the pair whose first token begins at `at` anew."""
-        end = self.ends[at]
-        if end >= len(self.piece):
-            self._put(at, self.none)
-            return
-        rank = self.rank_of(self.piece[at : self.ends[end]])
-        self._put(at, self.none if rank is None else rank * self.leaves + at)
-
-    def merge(self) -> list[int]:
-        """Merge until no pair has a rank; the ranks of the tokens left."""
-        tree, ends, last = self.tree, self.ends, len(self.piece) - 1
-        while tree[1] < self.none:
-            at = tree[1] % self.leaves
-            joined = ends[at]
-            end = ends[at] = ends[joined]
-            if joined < last:
-                self._put(joined, self.none)
-            if end <= last:
-                self.before[end] = at
-            if at < last:
-                self._rate(at)
-            if at:
-                self._rate(self.before[at])
-        out, at = [], 0
-        while at <= last:
-            out.append(self.rank_of(self.piece[at : ends[at]]))
-            at = ends[at]
-        return out
+    count, rank_of = len(piece), ranks.get
+    leaves = 1 << max(0, count - 2).bit_length()
+    place, none = leaves - 1, UNRANKED * leaves
+    tree = [none] * (2 * leaves)
+    for at in range(count - 1):
+        rank = rank_of(piece[at : at + 2])
+        if rank is not None:
+            tree[leaves + at] = rank * leaves + at
+    for node in range(leaves - 1, 0, -1):
+        left, right = tree[2 * node], tree[2 * node + 1]
+        tree[node] = left if left < right else right
+    ends = list(range(1, count + 1))  # where the token that begins here ends
+    before = list(range(-1, count))  # where the token before it begins
+    while tree[1] < none:
+        at = tree[1] & place
+        joined = ends[at]
+        end = ends[at] = ends[joined]
+        before[end] = at
+        changes = []
+        if joined < count - 1:  # no token begins there any more
+            changes.append((joined, none))
+        if end < count:
+            rank = rank_of(piece[at : ends[end]])
+            changes.append((at, none if rank is None else rank * leaves + at))
+        else:
+            changes.append((at, none))
+        if at:
+            first = before[at]
+            rank = rank_of(piece[first:end])
+            changes.append((first, none if rank is None else rank * leaves + first))
+        for leaf, value in changes:
+            node = leaves + leaf
+            if tree[node] == value:
+                continue
+            tree[node] = value
+            while node > 1:
+                other = tree[node ^ 1]
+                if other < value:
+                    value = other
+                node >>= 1
+                if tree[node] == value:
+                    break
+                tree[node] = value
+    out, at = [], 0
+    while at < count:
+        out.append(ranks[piece[at : ends[at]]])
+        at = ends[at]
+    return out
 
 
 class Pieces(dict):
@@ -122,8 +115,8 @@ class Pieces(dict):
     def __missing__(self, piece: str) -> bytes:
         data = piece.encode()
         whole = self.ranks.get(data)
-        ids = [whole] if whole is not None else PairTree(data, self.ranks).merge()
-        packed = np.array(ids, dtype="<u4").tobytes()
+        ids = [whole] if whole is not None else merged(data, self.ranks)
+        packed = struct.pack(f"<{len(ids)}I", *ids)
         if len(piece) <= KEPT_CHARS:
             if len(self) >= KEPT_PIECES:
                 self.clear()
@@ -162,13 +155,14 @@ def encoder(spark: SparkSession, vocabulary: str | None = None, pattern: str | N
     shared, cut = _shared_ranks(spark, vocabulary), pattern or piece_pattern()
 
     @F.arrow_udf(T.ArrayType(T.IntegerType(), False))
-    def encode(texts: pa.Array) -> pa.Array:
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         codec = Codec(shared.value, cut)
-        found = [codec.encode(t.as_py() or "") for t in texts]
-        begins = np.zeros(len(found) + 1, dtype=np.int32)
-        np.cumsum([len(f) for f in found], out=begins[1:])
-        ids = np.concatenate(found) if found else np.zeros(0, dtype="<u4")
-        return pa.ListArray.from_arrays(pa.array(begins), pa.array(ids.astype(np.int32)))
+        for texts in batches:
+            found = [codec.encode(t.as_py() or "") for t in texts]
+            begins = np.zeros(len(found) + 1, dtype=np.int32)
+            np.cumsum([len(f) for f in found], out=begins[1:])
+            ids = np.concatenate(found) if found else np.zeros(0, dtype="<u4")
+            yield pa.ListArray.from_arrays(pa.array(begins), pa.array(ids.astype(np.int32)))
 
     return encode
 
@@ -178,10 +172,12 @@ def decoder(spark: SparkSession, vocabulary: str | None = None):
     shared = _shared_ranks(spark, vocabulary)
 
     @F.arrow_udf(T.BinaryType())
-    def decode(lists: pa.Array) -> pa.Array:
+    def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tokens = {rank: token for token, rank in shared.value.items()}
-        out = [None if ids is None else b"".join(map(tokens.__getitem__, ids)) for ids in lists.to_pylist()]
-        return pa.array(out, type=pa.binary())
+        for lists in batches:
+            ids = (numbers.values.to_numpy().tolist() if numbers.is_valid else None for numbers in lists)
+            out = [None if some is None else b"".join(map(tokens.__getitem__, some)) for some in ids]
+            yield pa.array(out, type=pa.binary())
 
     return decode
 
@@ -189,10 +185,7 @@ def decoder(spark: SparkSession, vocabulary: str | None = None):
 @F.arrow_udf(T.BinaryType())
 def packed(lists: pa.Array) -> pa.Array:
     """Ids as little-endian unsigned numbers of 32 bits, end to end."""
-    out = [
-        None if ids is None else np.array(ids, dtype=np.int64).astype("<u4").tobytes()
-        for ids in lists.to_pylist()
-    ]
+    out = [ids.values.to_numpy().astype("<u4").tobytes() if ids.is_valid else None for ids in lists]
     return pa.array(out, type=pa.binary())
 
 
