@@ -1,6 +1,7 @@
 """Predictors: feature columns in, one `<target>_prediction` column per target out."""
 
-from collections.abc import Sequence
+import re
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -8,7 +9,7 @@ from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from squall.models.features import combinations
@@ -19,7 +20,8 @@ TREES = 100
 DEPTH = 5
 RATE = 0.1
 SEED = 42
-MAX_BINS = 400  # above the 366 days of a year, so every feature value can be a split
+MAX_BINS = 400  # above the 366 days of a year, so every calendar value can be a split
+TASK_COMBINATIONS = 50_000  # trained on in one task
 
 
 def prediction(target: str) -> str:
@@ -34,6 +36,9 @@ class Predictor:
         """Add the predictions to a table of feature rows."""
         raise NotImplementedError
 
+    def save(self, folder: str) -> None:
+        raise NotImplementedError
+
 
 @dataclass
 class TreeModels(Predictor):
@@ -72,19 +77,27 @@ def train_models(
     """Fit one regressor per target on the distinct feature rows, weighted by their counts.
 
     The training set is small, so a fit is a long chain of short jobs; up to `parallelism` targets
-    submit theirs at the same time.
+    submit theirs at the same time. A chain over a few combinations runs in as few tasks.
     """
     combos = combinations(df, features, targets)
+    combos = combos.coalesce(1 + combos.count() // TASK_COMBINATIONS)
+    bins = max(MAX_BINS, _most_values(combos, features) + 1)
 
     @inheritable_thread_target(df.sparkSession)
     def fit(target: str) -> PipelineModel:
-        return _fit(combos, features, target, trees, depth, rate, seed)
+        return _fit(combos, features, target, trees, depth, rate, seed, bins)
 
     with ThreadPoolExecutor(min(parallelism, len(targets))) as pool:
         return TreeModels(dict(zip(targets, pool.map(fit, targets))), tuple(features))
 
 
-def _fit(combos, features, target, trees, depth, rate, seed) -> PipelineModel:
+def _most_values(combos: DataFrame, features: Sequence[str]) -> int:
+    """Distinct values of the feature that has most: as many splits a tree must be able to tell apart."""
+    counts = combos.agg(*[F.count_distinct(f).alias(f) for f in features]).first()
+    return max(counts, default=0)
+
+
+def _fit(combos, features, target, trees, depth, rate, seed, bins=MAX_BINS) -> PipelineModel:
     regressor = GBTRegressor(
         labelCol=f"{target}__mean",
         weightCol=f"{target}__n",
@@ -92,13 +105,24 @@ def _fit(combos, features, target, trees, depth, rate, seed) -> PipelineModel:
         maxDepth=depth,
         stepSize=rate,
         seed=seed,
-        maxBins=MAX_BINS,
+        maxBins=bins,
     )
     known = combos.filter(F.col(f"{target}__n") > 0)
     assembler = VectorAssembler(inputCols=list(features), outputCol="features")
     return Pipeline(stages=[assembler, regressor]).fit(known)
 
 
+def first_split(models: TreeModels) -> list[tuple[str, str, float, float, float]]:
+    """`(target, feature, threshold, left, right)` of the first tree of each model that has depth one."""
+    found = []
+    for target, model in models.models.items():
+        text = model.stages[-1].trees[0].toDebugString
+        cut = re.search(r"If \(feature (\d+) <= ([-+.\dE]+)\)\s+Predict: ([-+.\dE]+)\s+Else .*\s+Predict: ([-+.\dE]+)", text)
+        if cut:
+            found.append((target, models.features[int(cut[1])], *map(float, cut.groups()[1:])))
+    return found
+
+
 def load_models(folder: str, targets: Sequence[str], features: Sequence[str]) -> TreeModels:
     return TreeModels({t: PipelineModel.load(f"{folder}/{t}") for t in targets}, tuple(features))
 
@@ -136,6 +160,9 @@ class Climatology(Predictor):
             {prediction(t): F.coalesce(prediction(t), overall[t]) for t in self.targets}
         )
 
+    def save(self, folder: str) -> None:
+        self.table.write.mode("overwrite").parquet(f"{folder}/climatology")
+
 
 def fit_climatology(df: DataFrame, targets: Sequence[str]) -> Climatology:
     sums = [F.sum(t).cast("double").alias(f"{t}__sum") for t in targets]
@@ -144,6 +171,29 @@ def fit_climatology(df: DataFrame, targets: Sequence[str]) -> Climatology:
     return Climatology(materialise(table, "climatology"), tuple(targets))
 
 
+def load_climatology(
+    folder: str, targets: Sequence[str], features: Sequence[str] = Climatology.features
+) -> Climatology:
+    """What `Climatology.save` wrote. It has features of its own, whatever others a model would take."""
+    return Climatology(SparkSession.active().read.parquet(f"{folder}/climatology"), tuple(targets))
+
+
+@dataclass(frozen=True)
+class Family:
+    """One kind of model: `fit(rows, features, targets)` and `load(folder, targets, features)`."""
+
+    fit: Callable[[DataFrame, Sequence[str], Sequence[str]], Predictor]
+    load: Callable[[str, Sequence[str], Sequence[str]], Predictor]
+
+
+def tree_family(**training) -> Family:
+    """Gradient-boosted trees, trained with these options."""
+    return Family(lambda df, features, targets: train_models(df, features, targets, **training), load_models)
+
+
+CLIMATOLOGY = Family(lambda df, features, targets: fit_climatology(df, targets), load_climatology)
+
+
 def predict_batch(model: Predictor, df: DataFrame) -> DataFrame:
     """Predictions for every row, computed once per distinct feature row and joined back.
 

@@ -3,7 +3,7 @@
 import json
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -75,6 +75,28 @@ def run_checks(df: DataFrame, dataset: str, checks: Checks) -> DataFrame:
     )
 
 
+def write_checked(df: DataFrame, path: str, checks: Checks | None = None) -> dict[str, int]:
+    """Write `df` and count its rows and the violations of every check while doing so.
+
+    Returns `rows` and the checks by name. The counts are taken in the tasks that write, each partition
+    counted once however often it is tried, so there is no second pass.
+    """
+    seen = Observation()
+    counts = [F.coalesce(F.sum(v), F.lit(0)).alias(name) for name, v in (checks or {}).items()]
+    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"), *counts)
+    counted.write.mode("overwrite").parquet(path)
+    return seen.get
+
+
+def checks_table(spark: SparkSession, dataset: str, counted: dict[str, int]) -> DataFrame:
+    """What `write_checked` counted, in the form of `run_checks`."""
+    rows = counted["rows"]
+    return spark.createDataFrame(
+        [(dataset, name, n, rows, n == 0) for name, n in counted.items() if name != "rows"],
+        "dataset string, check string, violations bigint, rows bigint, passed boolean",
+    )
+
+
 def suite(df: DataFrame, tolerated: Sequence[str] = ()) -> Checks:
     """The checks both datasets go through; those without their column do not apply."""
     return no_nulls(df, tolerated) | temperature_range(df) | non_negative(df)

@@ -69,13 +69,17 @@ def preprocess(
     cols = numeric_columns(rows, exclude=keys)
     scaler = materialise(minmax_fit(rows, cols, keys), "hourly-scaler")
     if scale:
-        # A column constant in every key is empty once scaled; the scaler table tells without a pass.
-        spread = scaler.filter("max > min").select("column").distinct().collect()
-        flat = {c for c in cols if c in df.columns} - {r["column"] for r in spread}
+        flat = constant_columns(scaler, [c for c in cols if c in df.columns])
         rows = minmax_scale(rows, cols, keys, scaler).drop(*flat)
     return as_category(rows, ["is_weekend", "is_precipitation"]), scaler
 
 
+def constant_columns(scaler: DataFrame, cols: Sequence[str]) -> list[str]:
+    """Those of `cols` that are constant in every key, hence empty once scaled; the scaler table tells."""
+    spread = {r["column"] for r in scaler.filter("max > min").select("column").distinct().collect()}
+    return [c for c in cols if c not in spread]
+
+
 def engineer(
     df: DataFrame,
     keys: Sequence[str] = (),
@@ -135,12 +139,15 @@ def hourly_features(
     fahrenheit: bool = False,
     **options,
 ) -> tuple[DataFrame, DataFrame]:
-    """Raw observations to engineered rows, and the scaler table (see the daily counterpart)."""
+    """Raw observations to engineered rows, and the scaler table (see the daily counterpart).
+
+    In both orders observed columns that scaling empties, being constant in every key, are left out.
+    """
     if scale not in ("before", "after", "none"):
         raise ValueError(f"unknown scale order: {scale}")
     rows, scaler = preprocess(df, keys, scale=scale == "before", **options)
     rows = engineer(rows, keys, fahrenheit=fahrenheit, **options)
     if scale == "after":
         measured = [c for c in numeric_columns(rows, exclude=keys) if c in df.columns]
-        rows = minmax_scale(rows, measured, keys, scaler)
+        rows = minmax_scale(rows, measured, keys, scaler).drop(*constant_columns(scaler, measured))
     return rows, scaler

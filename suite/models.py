@@ -18,6 +18,7 @@ from squall.models.features import (
     DAILY_TARGETS,
     HOURLY_FEATURES,
     HOURLY_TARGETS,
+    combinations,
     train_test_split,
     training_extract,
 )
@@ -30,13 +31,16 @@ from squall.models.forecast import (
     predict_single_date,
 )
 from squall.models.predictors import (
+    CLIMATOLOGY,
+    first_split,
     fit_climatology,
     load_models,
     predict_batch,
     prediction,
     train_models,
 )
-from squall.models.retrain import monitor_models, retrain_if_degraded
+from squall.models.retrain import models_in_force, monitor_models, retrain_if_degraded
+from squall.models.splits import best_split, split_candidates
 from squall.operators.metrics import (
     DAILY_THRESHOLDS,
     HOURLY_THRESHOLDS,
@@ -48,6 +52,7 @@ from squall.operators.scaling import minmax_fit, minmax_scale
 from squall.plans.modelling import model_daily, model_hourly
 from squall.sources.tables import read_csv, write_sensitivity
 from squall.storage import scratch_path
+from squall.versions import Versions
 from suite.registry import case, day, num, nums, stamp
 from suite.views import DAILY_CTE, READINGS_CTE, STATION, daily, readings
 
@@ -172,7 +177,64 @@ def _train(spark, sf_dir):
     return spark.createDataFrame(rows, "target string, feature string, importance double")
 
 
-@case("model_save_load")
+def _split_candidates_sql(features, target: str) -> str:
+    """CTEs up to `cuts_{target}`: every threshold of every feature with both means and its gain."""
+    values = " union all ".join(
+        f"select {k} as place, '{f}' as feature, cast({f} as double) as value, count(*) as n, "
+        f"sum({target}) as s from obs where {target} is not null group by 3"
+        for k, f in enumerate(features)
+    )
+    return f"""values_{target} as ({values}),
+    sums_{target} as (select place, feature, (value + lead(value) over w) / 2 as threshold,
+        sum(n) over w as nl, sum(s) over w as sl, sum(n) over (partition by place) as n_all,
+        sum(s) over (partition by place) as s_all from values_{target}
+        window w as (partition by place order by value)),
+    cuts_{target} as (select place, feature, threshold, sl / nl as left_mean,
+        (s_all - sl) / (n_all - nl) as right_mean,
+        nl * (n_all - nl) / (n_all * n_all) * pow(sl / nl - (s_all - sl) / (n_all - nl), 2) as gain
+        from sums_{target} where threshold is not null)"""
+
+
+@case(
+    "train_first_split",
+    f"with {HOURLY_OBS}, " + ", ".join(_split_candidates_sql(HOURLY_FEATURES, t) for t in HOURLY_TARGETS)
+    + " " + " union all ".join(
+        f"(select '{t}' as target, feature, {nums('threshold', 'left_mean', 'right_mean', 'gain')}, "
+        f"true as tree_agrees from cuts_{t} "
+        f"where gain >= (select max(gain) from cuts_{t}) * (1 - 1e-9) order by place, threshold limit 1)"
+        for t in HOURLY_TARGETS
+    ),
+)
+def _first_split(spark, sf_dir):
+    """The best split of each target by prefix sums, and whether a trained tree of depth one is cut there.
+
+    Of features that cut the rows alike the tree may take any: it must take one of the best gain, and its
+    leaves must be the means of that cut's sides.
+    """
+    extract = _hourly_extract(spark, sf_dir)
+    stumps = train_models(extract, HOURLY_FEATURES, HOURLY_TARGETS, trees=1, depth=1)
+    combos = combinations(extract, HOURLY_FEATURES, HOURLY_TARGETS)
+    trained = {t: (f, *numbers) for t, f, *numbers in first_split(stumps)}
+    found = []
+    for target in HOURLY_TARGETS:
+        best = best_split(combos, HOURLY_FEATURES, target)
+        feature, threshold, left, right = trained[target]
+        same = split_candidates(combos, HOURLY_FEATURES, target).filter(
+            (F.col("feature") == feature)
+            & (F.abs(F.col("threshold") - threshold) < 1e-9)
+            & (F.abs(F.col("left_mean") - left) < 1e-9)
+            & (F.abs(F.col("right_mean") - right) < 1e-9)
+        )
+        gain = same.agg(F.max("gain")).scalar()
+        agrees = F.coalesce(gain >= F.col("gain") * (1 - 1e-9), F.lit(False))
+        found.append(best.withColumn("tree_agrees", agrees))
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
+@case(
+    "model_save_load",
+    f"with {DAILY_OBS} select count(*) as rows, cast(0 as double) as largest_difference from obs",
+)
 def _save_load(spark, sf_dir):
     """Predictions of the saved and reloaded models against those of the originals."""
     models = _daily_models(spark, sf_dir)
@@ -495,6 +557,46 @@ def _retrain(spark, sf_dir):
     return evaluate(models, extract).withColumn("retrained", F.lit(fresh))
 
 
+@case(
+    "predict_single_date_climatology",
+    f"with {DAILY_OBS}, future as (select station, date, {CALENDAR.format('date')} from "
+    f"(select distinct station, date '{AS_OF}' as date from daily)), "
+    f"{scored_sql(DAILY_TARGETS, 'obs', 'future')} select station, {day('date', 'date')}, month, "
+    f"day_of_year, week_of_year, is_weekend, "
+    f"{num(f'{DAILY_TARGETS[0]}_prediction', DAILY_TARGETS[0])} from scored",
+)
+def _single_date_climatology(spark, sf_dir):
+    model = fit_climatology(_daily_extract(spark, sf_dir), DAILY_TARGETS)
+    return predict_single_date(model, _stations(spark, sf_dir), AS_OF)
+
+
+def _bounds(function: str) -> str:
+    return ", ".join(f"{function}({t}) as {function}_{t}" for t in HOURLY_TARGETS)
+
+
+@case(
+    "forecast_hourly_unscaled",
+    f"with {HOURLY_OBS}, scaler as (select station, {_bounds('min')}, {_bounds('max')} from obs group by 1), "
+    "fitted as (select obs.* replace ("
+    + ", ".join(
+        f"round_even(({t} - min_{t}) / nullif(max_{t} - min_{t}, 0) * 1000, 0) / 1000 as {t}"
+        for t in HOURLY_TARGETS
+    )
+    + f") from obs join scaler using (station)), {HOURS_SQL}, future as (select station, date, hour, "
+    f"{CALENDAR.format('date')} from grid), {scored_sql(HOURLY_TARGETS, 'fitted', 'future')} "
+    f"select station, {day('date', 'date')}, hour, month, day_of_year, week_of_year, is_weekend, "
+    + ", ".join(num(f"{t}_prediction * (max_{t} - min_{t}) + min_{t}", t) for t in HOURLY_TARGETS)
+    + " from scored join scaler using (station)",
+)
+def _forecast_hourly_unscaled(spark, sf_dir):
+    """A model of scaled targets; its forecast goes back to each station's units by the stored scaler."""
+    extract, targets = _hourly_extract(spark, sf_dir), list(HOURLY_TARGETS)
+    scaler = minmax_fit(extract, targets, STATION)
+    model = fit_climatology(minmax_scale(extract, targets, STATION, scaler), targets)
+    stations = readings(spark, sf_dir).select("station").distinct()
+    return forecast_hourly(model, stations, FORECAST_DATES, scaler, STATION)
+
+
 @case("daily_modelling")
 def _model_daily(spark, sf_dir):
     rows = daily(spark, sf_dir).select(*STATION, "date", *DAILY_TARGETS)
@@ -511,3 +613,149 @@ def _model_hourly(spark, sf_dir):
     return done.monitored.withColumn("retrained", F.lit(done.retrained))
 
 
+FIGURES = ("n", "mae", "rmse", "r2", "bias")
+
+
+def _items(artifact: str, table, item: str, value: str):
+    """Rows of a stored table as `(artifact, item, value)`."""
+    return table.selectExpr(f"'{artifact}' as artifact", f"{item} as item", f"double({value}) as value")
+
+
+def _figures(artifact: str, metrics):
+    pairs = ", ".join(f"'{f}', double({f})" for f in FIGURES)
+    long = metrics.selectExpr("target", f"stack({len(FIGURES)}, {pairs}) as (figure, value)")
+    return _items(artifact, long, "target || ':' || figure", "value")
+
+
+def _run_digest(done):
+    """Everything a model run stored, and the version in force after it."""
+    spark = done.bias.sparkSession
+    cells = done.chart.groupBy("target").agg(F.count(F.lit(1)).alias("cells"), F.sum("n").alias("points"))
+    parts = [
+        _figures("bias", done.bias),
+        _figures("holdout", done.holdout),
+        _items("sensitivity", done.sensitivity, "target || ':' || feature || '=' || value", "average_prediction"),
+        _items("chart", cells, "target || ':cells'", "cells"),
+        _items("chart", cells, "target || ':points'", "points"),
+        _items("monitored", done.monitored, "target", "int(breach)"),
+        spark.createDataFrame(
+            [("in force", "version", float(done.version)), ("in force", "retrained", float(done.retrained))],
+            "artifact string, item string, value double",
+        ),
+        _items("manifest", done.manifest, "artifact", "rows"),
+    ]
+    if "today" in done.tables:
+        parts.append(_items("today", done.today, "station", DAILY_TARGETS[0]))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def _long_figures(artifact: str, view: str) -> str:
+    return " union all ".join(
+        f"select '{artifact}' as artifact, target || ':{f}' as item, cast({f} as double) as value from {view}"
+        for f in FIGURES
+    )
+
+
+def _digest_sql(obs: str, test: str, targets, perturbations, rmse: float, r2: float, today: str = "") -> str:
+    """SQL of `_run_digest` for a climatology: fitted on the rows that are not `test`, applied to all."""
+    cells = " union all ".join(
+        f"""select '{t}' as target, count(*) as cells, sum(n) as points from (
+            select count(*) as n from (select {t} as a, {t}_prediction as p from scored
+              where {t} is not null and {t}_prediction is not null) pairs,
+              (select least(min({t}), min({t}_prediction)) as lo, greatest(max({t}), max({t}_prediction)) as hi
+               from scored where {t} is not null and {t}_prediction is not null) e
+            group by least(floor((a - lo) / (hi - lo) * 50), 49), least(floor((p - lo) / (hi - lo) * 50), 49))"""
+        for t in targets
+    )
+    n_sensitivity = len(targets) * sum(map(len, perturbations.values()))
+    counted = {
+        "bias": len(targets), "holdout": len(targets), "monitored": len(targets),
+        "sensitivity": n_sensitivity, "chart": "(select sum(cells) from cells)",
+    }
+    if today:
+        counted["today"] = "(select count(*) from today)"
+    manifest = " union all ".join(
+        f"select 'manifest', '{name}', cast({n} as double)" for name, n in counted.items()
+    )
+    return f"""with {obs}, train as (select * from obs where not ({test})),
+    {scored_sql(targets, 'train', 'obs')},
+    bias as ({metrics_sql(targets)}),
+    held as (select * from scored where {test}), holdout as ({metrics_sql(targets, 'held')}),
+    steps as ({sensitivity_sql(targets, perturbations)}), cells as ({cells}),
+    flagged as (select target, coalesce(rmse > {rmse} or r2 < {r2}, false) as breach from bias)
+    {f', today as ({today})' if today else ''},
+    digest as ({_long_figures('bias', 'bias')} union all {_long_figures('holdout', 'holdout')}
+      union all select 'sensitivity', target || ':' || feature || '=' || value, average_prediction from steps
+      union all select 'chart', target || ':cells', cells from cells
+      union all select 'chart', target || ':points', points from cells
+      union all select 'monitored', target, cast(breach as int) from flagged
+      union all select 'in force', 'version', 1 + max(cast(breach as int)) from flagged
+      union all select 'in force', 'retrained', max(cast(breach as int)) from flagged
+      union all {manifest}
+      {"union all select 'today', station, prediction from today" if today else ''})
+    select artifact, item, {nums('value')} from digest"""
+
+
+DAILY_TEST_SQL = TEST_SQL.replace("event_id", "date")
+
+
+@case(
+    "daily_modelling_climatology",
+    _digest_sql(
+        DAILY_OBS, DAILY_TEST_SQL, DAILY_TARGETS, DAILY_PERTURBATIONS, 5.0, 0.8,
+        f"select station, coalesce(m_{DAILY_TARGETS[0]}, o_{DAILY_TARGETS[0]}) as prediction from "
+        f"(select distinct station, cast(month(date '{AS_OF}') as int) as month, "
+        f"cast(isodow(date '{AS_OF}') >= 6 as int) as is_weekend from obs) "
+        "left join climate using (month, is_weekend) cross join overall",
+    ),
+)
+def _model_daily_climatology(spark, sf_dir):
+    """The whole daily model run with the closed-form model: every stored table and the version in force."""
+    rows = daily(spark, sf_dir).select(*STATION, "date", *DAILY_TARGETS)
+    folder = scratch_path(spark, "daily-models")
+    return _run_digest(model_daily(rows, folder, AS_OF, [*STATION, "date"], STATION, family=CLIMATOLOGY))
+
+
+@case(
+    "hourly_modelling_climatology",
+    _digest_sql(HOURLY_OBS, TEST_SQL, HOURLY_TARGETS, HOURLY_PERTURBATIONS, 5.0, 0.08),
+)
+def _model_hourly_climatology(spark, sf_dir):
+    rows = _observed(spark, sf_dir).select("event_id", *STATION, "datetime", *HOURLY_TARGETS)
+    folder = scratch_path(spark, "hourly-models")
+    return _run_digest(model_hourly(rows, folder, [*STATION, "event_id"], family=CLIMATOLOGY))
+
+
+SINCE = "1997-01-01"
+
+
+@case(
+    "retrain_since_climatology",
+    f"""with {DAILY_OBS}, train as (select * from obs where not ({DAILY_TEST_SQL})),
+    early as (select * from train where date < date '{SINCE}'),
+    recent as (select * from obs where date >= date '{SINCE}'),
+    old_model as (with {scored_sql(DAILY_TARGETS, 'early', 'recent')} {metrics_sql(DAILY_TARGETS)}),
+    gate as (select bool_or(coalesce(rmse > 5.0 or r2 < 0.8, false)) as needed from old_model),
+    taught as (select * from train where (select needed from gate) or date < date '{SINCE}'),
+    new_model as (with {scored_sql(DAILY_TARGETS, 'taught', 'obs')} {metrics_sql(DAILY_TARGETS)}),
+    both_models as (select 'judged' as stage, * from old_model union all select 'in force', * from new_model)
+    select stage, target, n, {nums('mae', 'rmse', 'r2', 'bias')}, needed as retrained,
+           cast(1 + cast(needed as int) as int) as version from both_models, gate""",
+)
+def _retrain_since(spark, sf_dir):
+    """Models of the earlier years judged on the later ones, and the models in force after the gate, read
+    back from the version that the pointer names."""
+    rows = daily(spark, sf_dir).select(*STATION, "date", *DAILY_TARGETS)
+    folder = scratch_path(spark, "daily-models")
+    done = model_daily(
+        rows, folder, AS_OF, [*STATION, "date"], STATION, since=SINCE, family=CLIMATOLOGY
+    )
+    models = models_in_force(Versions(spark, f"{folder}/models"), CLIMATOLOGY, DAILY_TARGETS, DAILY_FEATURES)
+    judged = done.monitored.select("target", "n", "mae", "rmse", "r2", "bias").withColumn("stage", F.lit("judged"))
+    now = evaluate(models, _daily_extract(spark, sf_dir)).withColumn("stage", F.lit("in force"))
+    return judged.unionByName(now).withColumns(
+        {"retrained": F.lit(done.retrained), "version": F.lit(done.version)}
+    )
