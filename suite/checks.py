@@ -3,13 +3,14 @@
 from pyspark.sql import functions as F
 
 from squall.operators import checks
-from squall.operators.eda import profile
+from squall.operators.profiles import partial_profile
 from squall.storage import materialise
 from suite.registry import case
 from suite.views import (
     DAILY_COLUMNS,
     DAILY_CTE,
     DAILY_GRID_CTE,
+    HOURLY_COLUMNS,
     HOURLY_CTE,
     daily,
     daily_grid,
@@ -75,7 +76,7 @@ def _precipitation(spark, sf_dir):
     return checks.run_checks(rows, "daily", checks.non_negative(rows))
 
 
-_HOURLY_CHECKED = ("temperature_2m", "precipitation", "rain", "wind_speed_10m")
+_HOURLY_ALL = ("station", "datetime", *HOURLY_COLUMNS)
 
 
 @case(
@@ -87,13 +88,11 @@ _HOURLY_CHECKED = ("temperature_2m", "precipitation", "rain", "wind_speed_10m")
         {"no_nulls": nulls_sql(DAILY_ALL), **TEMPERATURE_SQL, **PRECIPITATION_SQL},
     )
     + " union all "
-    + check_sql("hourly", "hourly", {"no_nulls": nulls_sql(_HOURLY_CHECKED)}),
+    + check_sql("hourly", "hourly", {"no_nulls": nulls_sql(_HOURLY_ALL)}),
 )
 def _suite(spark, sf_dir):
     of_daily = checks.validate_suite(daily_grid(spark, sf_dir), "daily")
-    rows = hourly(spark, sf_dir)
-    tolerated = [c for c in rows.columns if c not in _HOURLY_CHECKED]
-    return of_daily.unionByName(checks.validate_suite(rows, "hourly", tolerated))
+    return of_daily.unionByName(checks.validate_suite(hourly(spark, sf_dir), "hourly"))
 
 
 @case(
@@ -110,10 +109,6 @@ def _quarantine(spark, sf_dir):
     )
 
 
-_PROFILED_DAILY = ("temperature_2m_max", "weather_code", "rain_sum")
-_PROFILED_HOURLY = ("temperature_2m", "weather_code", "rain")
-
-
 def _profile_types(view: str, cols) -> str:
     return " union all ".join(
         f"select '{c}' as c, lower(any_value(typeof({c}))) as t from {view}" for c in cols
@@ -123,8 +118,8 @@ def _profile_types(view: str, cols) -> str:
 @case(
     "check_schema_match",
     f"""with {DAILY_GRID_CTE}, {HOURLY_CTE},
-    a as ({_profile_types('daily_grid', _PROFILED_DAILY)}),
-    b as ({_profile_types('hourly', _PROFILED_HOURLY)})
+    a as ({_profile_types('daily_grid', DAILY_COLUMNS)}),
+    b as ({_profile_types('hourly', HOURLY_COLUMNS)})
     select coalesce(a.c, b.c) as "column", a.t as left_type, b.t as right_type,
            case when b.t is null then 'missing' when a.t is null then 'extra'
                 when a.t <> b.t then 'changed' else 'same' end as status
@@ -132,8 +127,8 @@ def _profile_types(view: str, cols) -> str:
 )
 def _schema_match(spark, sf_dir):
     """Stored profiles of the daily and the hourly table against each other."""
-    left = materialise(profile(daily_grid(spark, sf_dir), _PROFILED_DAILY), "profile")
-    right = materialise(profile(hourly(spark, sf_dir), _PROFILED_HOURLY), "profile")
+    left = materialise(partial_profile(daily_grid(spark, sf_dir), DAILY_COLUMNS), "profile")
+    right = materialise(partial_profile(hourly(spark, sf_dir), HOURLY_COLUMNS), "profile")
     return checks.check_schema_match(left, right)
 
 

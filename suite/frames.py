@@ -13,6 +13,7 @@ from squall.operators.eda import (
     profile,
     scatter_cells,
 )
+from squall.operators.profiles import merge_profiles, partial_profile, profile_figures
 from squall.operators.quantiles import quantiles
 from squall.operators.scaling import (
     iqr_bounds,
@@ -23,8 +24,10 @@ from squall.operators.scaling import (
 )
 from squall.operators.stats import global_min_max
 from squall.functions.binning import season
+from squall.storage import scratch_path
 from suite.registry import ORACLES, case, day, num, nums, stamp
 from suite.views import (
+    DAILY_COLUMNS,
     DAILY_CTE,
     DAILY_GRID_CTE,
     HOURLY_CTE,
@@ -154,7 +157,7 @@ def _bounds_sql(view: str, cols, key: str = "station") -> str:
     return _BOUNDS.format(" union all ".join(parts))
 
 
-CLIPPED = ("temperature_2m", "precipitation", "wind_speed_10m")
+CLIPPED = MEASURED
 
 
 @case(
@@ -222,7 +225,7 @@ def _scaled(c: str, partition: str = "partition by station") -> str:
     return f"round_even(({c} - {low}) / nullif({high} - {low}, 0) * 1000, 0) / 1000"
 
 
-SCALED = ("temperature_2m", "precipitation", "wind_speed_10m", "weather_code")
+SCALED = MEASURED
 
 
 @case(
@@ -289,7 +292,7 @@ def _null_profile(spark, sf_dir):
     return null_profile(readings(spark, sf_dir), MEASURED)
 
 
-CORRELATED = ("temperature_2m", "dew_point_2m", "precipitation", "rain", "snowfall", "user_id")
+CORRELATED = (*MEASURED, "user_id")
 
 
 @case(
@@ -424,9 +427,9 @@ def _scatter(spark, sf_dir):
     return scatter_cells(rows, "temperature_2m", "predicted")
 
 
-def profile_sql(view: str, cols) -> str:
+def profile_sql(view: str, cols, kind: str = "double") -> str:
     return " union all ".join(
-        f"""select '{c}' as "column", 'double' as type, count({c}) as count,
+        f"""select '{c}' as "column", '{kind}' as type, count({c}) as count,
         count(*) - count({c}) as nulls, {num(f'avg({c})', 'mean')}, {num(f'stddev_samp({c})', 'std')},
         {num(f'min({c})', 'min')}, {num(f'quantile_cont({c}, 0.25)', 'q1')},
         {num(f'quantile_cont({c}, 0.5)', 'median')}, {num(f'quantile_cont({c}, 0.75)', 'q3')},
@@ -437,11 +440,35 @@ def profile_sql(view: str, cols) -> str:
 
 @case(
     "profile_and_schema",
-    f"with {DAILY_GRID_CTE} {profile_sql('daily_grid', ('temperature_2m_max', 'rain_sum', 'weather_code'))}",
+    f"with {DAILY_GRID_CTE} {profile_sql('daily_grid', DAILY_COLUMNS)}",
 )
 def _profile(spark, sf_dir):
-    cols = ["temperature_2m_max", "rain_sum", "weather_code"]
-    return profile(daily_grid(spark, sf_dir), cols)
+    """Of every measured column, stored and read back."""
+    path = scratch_path(spark, "profile")
+    profile(daily_grid(spark, sf_dir), DAILY_COLUMNS).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _figures_sql(view: str, cols) -> str:
+    return " union all ".join(
+        f"""select '{c}' as "column", 'double' as type, count(*) as rows, count({c}) as count,
+        count(*) - count({c}) as nulls, {num(f'avg({c})', 'mean')}, {num(f'stddev_samp({c})', 'std')},
+        {num(f'min({c})', 'min')}, {num(f'max({c})', 'max')} from {view}"""
+        for c in cols
+    )
+
+
+@case(
+    "profile_merged",
+    f"with {DAILY_GRID_CTE} {_figures_sql('daily_grid', DAILY_COLUMNS)}",
+)
+def _profile_merged(spark, sf_dir):
+    """Profiles of each year, stored run by run, read back and added up; quartiles by sketch are left to tests."""
+    path, rows = scratch_path(spark, "profiles"), daily_grid(spark, sf_dir)
+    for part in ("year(date) < 1994", "year(date) between 1994 and 1996", "year(date) > 1996"):
+        partial_profile(rows.filter(part), DAILY_COLUMNS).write.mode("append").parquet(path)
+    merged = profile_figures(merge_profiles(spark.read.parquet(path)))
+    return merged.drop("q1", "median", "q3")
 
 
 @case(

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from squall.plans.collection import collect_daily, collect_hourly
+from squall.plans.collection import collect_daily, collect_hourly, run_daily, run_hourly
 from squall.plans.daily import (
     DROPPED_ENGINEERED,
     DROPPED_RAW,
@@ -15,9 +15,10 @@ from squall.plans.hourly import preprocess as preprocess_hourly
 from squall.streaming import read_stream, row_features, write_available
 from squall.storage import scratch_path
 from suite.checks import PRECIPITATION_SQL, TEMPERATURE_SQL, check_sql, nulls_sql
-from suite.frames import boxplot_sql, histogram_sql, kde_sql, profile_sql
+from suite.frames import boxplot_sql, histogram_sql, kde_sql, profile_sql, shape_sql
 from suite.missing import imputed_sql, rolled_hourly_sql
 from suite.registry import case, day, num, nums, stamp
+from suite.sources import daily_responses, hourly_responses
 from suite.views import (
     DAILY_COLUMNS,
     DAILY_GRID_CTE,
@@ -49,8 +50,8 @@ def _scaled_columns(view: str, cols, keep: str) -> str:
     return f"select {keep}, {values} from {view}"
 
 
-def _daily_clipped() -> str:
-    """CTEs up to `clipped`: filled forward, limited to the fences, with season and weekend."""
+def _daily_clipped(view: str = "daily_grid") -> str:
+    """CTEs up to `clipped`, from `view`: filled forward, limited to the fences, with season and weekend."""
     filled = ", ".join(
         f"last_value({c} ignore nulls) over (partition by station order by date) as {c}"
         for c in FORWARD_FILLED
@@ -64,7 +65,7 @@ def _daily_clipped() -> str:
         f"least(q3_{c} + 1.5 * (q3_{c} - q1_{c}), {c})) end as {c}"
         for c in DAILY_KEPT
     )
-    return f"""filled as (select * replace ({filled}) from daily_grid),
+    return f"""filled as (select * replace ({filled}) from {view}),
     quartiles as (select station, {quartiles} from filled group by 1),
     clipped as (select station, date, {SEASON_SQL.format('date')} as season,
                        {WEEKEND_SQL.format('date')} as is_weekend, {clipped}
@@ -120,8 +121,8 @@ def _daily_preprocess(spark, sf_dir):
 _DAILY_BEFORE = (
     f"{DAILY_GRID_CTE}, {_daily_clipped()}, {_DAILY_SCALED}, {_daily_engineered('scaled')}"
 )
-_DAILY_AFTER = (
-    f"{DAILY_GRID_CTE}, {_daily_clipped()}, {_daily_engineered('clipped')}, rescaled as ("
+_DAILY_RESCALED = (
+    f"{_daily_engineered('clipped')}, rescaled as ("
     + _scaled_columns(
         "engineered",
         [c for c in DAILY_ENGINEERED if c != "weather_code"],
@@ -129,6 +130,7 @@ _DAILY_AFTER = (
     )
     + ")"
 )
+_DAILY_AFTER = f"{DAILY_GRID_CTE}, {_daily_clipped()}, {_DAILY_RESCALED}"
 
 
 @case(
@@ -294,13 +296,179 @@ def _hourly_boxplot(spark, sf_dir):
     return collected.precipitation_by_season
 
 
+_PROFILED_INTS = ("season", *HOURLY_INTS.split(", "))
+_PROFILED_DOUBLES = ("hour", *HOURLY_DERIVED, *HOURLY_MEASURED)
+
+
 @case(
     "hourly_end_to_end_profile",
-    f"with {_HOURLY_BEFORE} {profile_sql('engineered', HOURLY_DERIVED)}",
+    f"with {_HOURLY_BEFORE} {profile_sql('engineered', _PROFILED_DOUBLES)} union all "
+    f"{profile_sql('engineered', _PROFILED_INTS, 'int')}",
 )
 def _hourly_profile(spark, sf_dir):
-    collected = collect_hourly(hourly_grid(spark, sf_dir), STATION, scale="before")
-    return collected.profile.filter(F.col("column").isin(*HOURLY_DERIVED))
+    return collect_hourly(hourly_grid(spark, sf_dir), STATION, scale="before").profile
+
+
+_DAILY_NUMBERS = (
+    "season", *DERIVED_FLAGS.split(", "), *DERIVED, *(c for c in DAILY_ENGINEERED if c != "weather_code"),
+)
+
+
+def _manifest_sql(raw: str, view: str, charted: str, rained: str, counts: dict[str, str], checks: str) -> str:
+    """SQL of a run's manifest, from the engineered rows in `view` and the counts that follow from columns."""
+    n = counts["numbers"]
+    listed = {
+        "raw": f"(select count(*) from {raw})",
+        "scaler": counts["scaler"],
+        "correlation": f"{n} * {n}",
+        "temperature_histogram": "(select bins from shape)",
+        "temperature_density": f"(select 200 from {view} having stddev_samp({charted}) > 0)",
+        "precipitation_by_season": f"(select count(distinct season) from {view} where {rained} is not null)",
+        "profile": n,
+        "schema": "1",
+        "schema_check": counts["columns"],
+    }
+    fixed = " union all ".join(f"select '{a}', cast({c} as bigint), true" for a, c in listed.items())
+    return f"""checked as ({checks}), verdict as (select count(*) as checks, bool_and(passed) as passed from checked)
+    select 'engineered' as artifact, count(*) as rows, (select passed from verdict) as passed from {view}
+    union all select 'validation', (select checks from verdict), (select passed from verdict)
+    union all {fixed}"""
+
+
+# The source is not asked for showers, so they are null in its answers.
+_ASKED = f"{DAILY_GRID_CTE}, asked as (select * replace (cast(null as double) as showers_sum) from daily_grid)"
+
+
+@case(
+    "daily_collection_run",
+    f"with {_ASKED}, {_daily_clipped('asked')}, {_DAILY_RESCALED}, "
+    f"{shape_sql('rescaled', 'temperature_2m_max')}, "
+    + _manifest_sql(
+        "daily_grid", "rescaled", "temperature_2m_max", "precipitation_sum",
+        {
+            "numbers": str(len(_DAILY_NUMBERS)),
+            "columns": str(len(_DAILY_NUMBERS) + len(("station", "date", "is_weekend", "weather_code"))),
+            "scaler": f"(select count(distinct station) * {len(DAILY_KEPT) + 1} from daily_grid)",
+        },
+        check_sql(
+            "daily", "rescaled",
+            {
+                "no_nulls": nulls_sql((*_DAILY_OUT, *DERIVED_FLAGS.split(", "))),
+                **TEMPERATURE_SQL, **PRECIPITATION_SQL,
+            },
+        ),
+    ),
+)
+def _daily_run(spark, sf_dir):
+    """From the answers of a source to the schema check in one call: the manifest of the run."""
+    return run_daily(daily_responses(spark, sf_dir), scratch_path(spark, "daily-run")).manifest
+
+
+_HOURLY_RESCALED = (
+    f"{HOURLY_GRID_CTE}, {_hourly_filled()}, {_hourly_engineered('enriched')}, rescaled as ("
+    + _scaled_columns(
+        "engineered",
+        HOURLY_MEASURED,
+        f"station, datetime, season, weather_code, wind_category, {', '.join(HOURLY_FLAGS)}, "
+        f"{HOURLY_INTS}, {', '.join(HOURLY_DERIVED)}",
+    )
+    + ")"
+)
+_HOURLY_NUMBERS = ("season", "hour", *HOURLY_INTS.split(", "), *HOURLY_DERIVED, *HOURLY_MEASURED)
+_HOURLY_CATEGORIES = ("weather_code", "is_weekend", "is_precipitation")
+
+
+@case(
+    "hourly_collection_run",
+    f"with {_HOURLY_RESCALED}, {shape_sql('rescaled', 'temperature_2m')}, "
+    + _manifest_sql(
+        "hourly_grid", "rescaled", "temperature_2m", "precipitation",
+        {
+            "numbers": str(len(_HOURLY_NUMBERS)),
+            "columns": str(
+                len((*_HOURLY_NUMBERS, *_HOURLY_CATEGORIES, "station", "datetime", "wind_category"))
+            ),
+            "scaler": "(select count(distinct station) * "
+            f"{len((*HOURLY_MEASURED, *HOURLY_FLAGS))} from hourly_grid)",
+        },
+        check_sql(
+            "hourly", "rescaled",
+            {
+                "no_nulls": nulls_sql(
+                    ("station", "datetime", "wind_category", *_HOURLY_CATEGORIES, *_HOURLY_NUMBERS)
+                )
+            },
+        ),
+    ),
+)
+def _hourly_run(spark, sf_dir):
+    return run_hourly(hourly_responses(spark, sf_dir), scratch_path(spark, "hourly-run")).manifest
+
+
+@case(
+    "daily_collection_run_drift",
+    f"""with {_ASKED}, early as (select * from asked where date < date '1996-01-01'),
+    now as (select * from asked),
+    {', '.join(
+        f"{part}_rows as (with {_daily_clipped(part)}, {_DAILY_RESCALED} select * from rescaled)"
+        for part in ('early', 'now')
+    )}, figures as ("""
+    + " union all ".join(
+        f"""select '{c}' as "column", a.n = 0 or b.n = 0 as blank,
+        b.nulls / b.rows - a.nulls / a.rows as null_change,
+        case when a.std <> 0 then (b.mean - a.mean) / a.std end as mean_shift,
+        greatest(a.lo - b.lo, 0) as below, greatest(b.hi - a.hi, 0) as above
+        from {', '.join(
+            f"(select count(*) as rows, count({c}) as n, (count(*) - count({c}))::double as nulls, "
+            f"avg({c}) as mean, stddev_samp({c}) as std, min({c})::double as lo, max({c})::double as hi "
+            f"from {part}_rows) {name}"
+            for part, name in (('early', 'a'), ('now', 'b'))
+        )}"""
+        for c in _DAILY_NUMBERS
+    )
+    + f""") select "column", 'same' as status, {num('null_change')}, {num('mean_shift')},
+    {num('case when not blank then below end', 'below')},
+    {num('case when not blank then above end', 'above')} from figures""",
+)
+def _daily_drift(spark, sf_dir):
+    """Two runs, the first over the years before 1996: how the second's columns moved."""
+    rows = daily_responses(spark, sf_dir)
+    before, now = scratch_path(spark, "daily-run"), scratch_path(spark, "daily-run")
+    run_daily(rows.filter("start < '1996-01-01'"), before)
+    return run_daily(rows, now, previous=before).table("profile_check")
+
+
+def _kept_sql(scale: str) -> str:
+    """Whether each observed column survives: it must not be constant within every station."""
+    return " union all ".join(
+        f"""select '{scale}' as scale, '{c}' as "column", cast(sum(rows) as bigint) as rows, cast(sum(n) as bigint) as count
+        from (select count(*) as rows, count(distinct {c}) as kinds,
+                     case when count(distinct {c}) > 1 then count({c}) else 0 end as n
+              from flat group by station) having max(kinds) > 1"""
+        for c in HOURLY_MEASURED
+    )
+
+
+@case(
+    "hourly_constant_columns",
+    f"with {HOURLY_GRID_CTE}, {_hourly_filled()}, flat as (select * replace (0 as showers, 5 as cloud_cover) "
+    f"from enriched) {_kept_sql('after')} union all {_kept_sql('before')}",
+)
+def _constant_columns(spark, sf_dir):
+    """Observed columns left in either order of scaling, and their values, where two of them are constant."""
+    grid = hourly_grid(spark, sf_dir).withColumns({"showers": F.lit(0.0), "cloud_cover": F.lit(5.0)})
+    parts = []
+    for scale in ("after", "before"):
+        rows = hourly_features(grid, STATION, scale=scale)[0]
+        kept = [c for c in HOURLY_COLUMNS if c in rows.columns and c != "weather_code"]
+        counts = rows.agg(
+            F.array(*[
+                F.struct(F.lit(c).alias("column"), F.count(F.lit(1)).alias("rows"), F.count(c).alias("count"))
+                for c in kept
+            ]).alias("found")
+        )
+        parts.append(counts.select(F.lit(scale).alias("scale"), F.inline("found")))
+    return parts[0].unionByName(parts[1])
 
 
 @case(

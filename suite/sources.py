@@ -28,7 +28,10 @@ from suite.views import (
     readings,
 )
 
-CSV_COLUMNS = ("temperature_2m", "dew_point_2m", "precipitation", "rain", "wind_speed_10m")
+CSV_COLUMNS = (
+    "temperature_2m", "dew_point_2m", "relative_humidity_2m", "precipitation", "rain", "showers",
+    "snowfall", "wind_speed_10m", "weather_code",
+)
 _CSV_SQL = (
     f"with {READINGS_CTE} select event_id, station, {stamp('datetime', 'datetime')}, "
     f"{nums(*CSV_COLUMNS)} from readings"
@@ -77,14 +80,14 @@ def _responses(rows, ts: str, period: str, step: str, seconds: int, cols):
     )
 
 
-def _hourly_responses(spark, sf_dir, cols=HOURLY_COLUMNS):
+def hourly_responses(spark, sf_dir, cols=HOURLY_COLUMNS):
     path = scratch_path(spark, "hourly-responses")
     answers = _responses(hourly_grid(spark, sf_dir), "datetime", "day", "1 hour", 3_600, cols)
     answers.write.option("ignoreNullFields", False).json(path)
     return read_responses(spark, path)
 
 
-def _daily_responses(spark, sf_dir):
+def daily_responses(spark, sf_dir):
     path = scratch_path(spark, "daily-responses")
     answers = _responses(daily_grid(spark, sf_dir), "date", "year", "1 day", 86_400, DAILY_REQUESTED)
     answers.write.option("ignoreNullFields", False).json(path)
@@ -97,7 +100,7 @@ def _daily_responses(spark, sf_dir):
     f"{nums(*HOURLY_COLUMNS[:-1])}, visibility from hourly_grid",
 )
 def _ingest_hourly(spark, sf_dir):
-    rows = ingest_hourly(_hourly_responses(spark, sf_dir))
+    rows = ingest_hourly(hourly_responses(spark, sf_dir))
     return rows.select("station", "datetime", *HOURLY_COLUMNS)
 
 
@@ -111,7 +114,7 @@ def _ingest_hourly(spark, sf_dir):
 )
 def _length_violations(spark, sf_dir):
     """Answers of even days lack their last value of rain."""
-    answers = _hourly_responses(spark, sf_dir, ["temperature_2m", "rain"])
+    answers = hourly_responses(spark, sf_dir, ["temperature_2m", "rain"])
     cut = F.transform_values(
         "variables",
         lambda name, x: F.when(
@@ -131,7 +134,7 @@ _NOT_REQUESTED = tuple(c for c in DAILY_COLUMNS if c not in DAILY_REQUESTED)
     + " from daily_grid",
 )
 def _ingest_daily(spark, sf_dir):
-    return ingest_daily(_daily_responses(spark, sf_dir))
+    return ingest_daily(daily_responses(spark, sf_dir))
 
 
 @case(
@@ -140,7 +143,7 @@ def _ingest_daily(spark, sf_dir):
     f"{nums('temperature_2m')}, cast(null as double) as cape from hourly_grid",
 )
 def _missing_variable(spark, sf_dir):
-    answers = _hourly_responses(spark, sf_dir, ["temperature_2m"])
+    answers = hourly_responses(spark, sf_dir, ["temperature_2m"])
     return ingest_hourly(answers, ["temperature_2m", "cape"])
 
 
