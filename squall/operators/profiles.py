@@ -135,9 +135,10 @@ def compare_profiles(old: DataFrame, new: DataFrame) -> DataFrame:
 
 def share_below(partial: DataFrame, values: dict[str, float]) -> DataFrame:
     """`(column, value, share)`: about which share of a column's values lies at or below a value."""
-    cases = F.array(
-        *[F.struct(F.lit(c).alias("c"), F.lit(float(v)).alias("value")) for c, v in values.items()]
-    )
-    asked = partial.filter("count > 0").select("column", "sketch", F.explode(cases).alias("a"))
-    rank = F.kll_sketch_get_rank_double("sketch", F.col("a.value"))
-    return asked.filter("a.c = column").select("column", F.col("a.value").alias("value"), rank.alias("share"))
+    asked = partial.filter("count > 0").filter(F.col("column").isin(list(values)))
+    value, share = F.lit(None).cast("double"), F.lit(None).cast("double")
+    for c, v in values.items():
+        mine = F.col("column") == c
+        value = F.when(mine, F.lit(float(v))).otherwise(value)
+        share = F.when(mine, F.kll_sketch_get_rank_double("sketch", F.lit(float(v)))).otherwise(share)
+    return asked.select("column", value.alias("value"), share.alias("share"))

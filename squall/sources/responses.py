@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from squall.operators.axis import time_axis
@@ -23,20 +23,21 @@ def responses_to_rows(responses: DataFrame, ts: str, variables: Sequence[str]) -
     """
     step = F.make_dt_interval(secs=F.col("interval_s"))
     axis = time_axis(F.col("start"), F.col("end"), step)
-
-    def series(name: str) -> Column:
-        values = F.col("variables")[name]
-        refused = F.raise_error(
-            F.format_string(f"{name} of %s has %d values on an axis of %d", "station", F.size(values), F.size(axis))
-        )
-        empty = F.array().cast("array<double>")
-        return (
-            F.when(values.isNull(), empty).when(F.size(values) == F.size(axis), values).otherwise(refused).alias(name)
+    # The axis first, so that it is built once and not for every variable that is measured against it.
+    arrays = responses.select("station", axis.alias(ts), F.col("variables").alias("__variables"))
+    asked = F.map_filter("__variables", lambda name, x: name.isin(list(variables)) & x.isNotNull())
+    misfits = F.map_filter(asked, lambda name, x: F.size(x) != F.size(ts))
+    named = F.map_entries(misfits)[0]
+    refused = F.raise_error(
+        F.format_string(
+            "%s of %s has %d values on an axis of %d",
+            named["key"], "station", F.size(named["value"]), F.size(ts),
         )
-
-    zipped = responses.select(
-        "station", "start", "end", axis.alias(ts), *[series(v) for v in variables]
-    ).select("station", F.inline(F.arrays_zip(ts, *variables)))
+    )
+    checked = arrays.withColumn(ts, F.when(F.size(misfits) == 0, F.col(ts)).when(misfits.isNull(), F.col(ts)).otherwise(refused))
+    empty = F.array().cast("array<double>")
+    series = [F.coalesce(F.col("__variables")[v], empty).alias(v) for v in variables]
+    zipped = checked.select("station", ts, *series).select("station", F.inline(F.arrays_zip(ts, *variables)))
     return nan_to_null(zipped.filter(F.col(ts).isNotNull()))
 
 

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from squall.operators import columns
-from squall.operators.axis import regular_grid, time_axis
+from squall.operators.axis import fill_gaps, regular_grid, time_axis
 from squall.operators.eda import (
     boxplot,
     correlation_matrix,
@@ -24,7 +24,7 @@ from squall.operators.scaling import (
 )
 from squall.operators.stats import global_min_max
 from squall.functions.binning import season
-from squall.storage import scratch_path
+from squall.storage import materialise, scratch_path
 from suite.registry import ORACLES, case, day, num, nums, stamp
 from suite.views import (
     DAILY_COLUMNS,
@@ -73,6 +73,23 @@ def _regular_grid(spark, sf_dir):
     return grid.withColumn("observed", F.coalesce("observed", F.lit(False)))
 
 
+@case(
+    "fill_gaps",
+    f"""with {HOURLY_CTE},
+    span as (select station, min(datetime) as lo, max(datetime) as hi from hourly
+             where hour(datetime) % 7 <> 3 group by 1),
+    points as (select station, unnest(generate_series(lo, hi, interval 1 hour)) as t from span)
+    select p.station, {stamp('p.t', 'datetime')}, {nums('temperature_2m', 'visibility')}
+    from points p left join (select * from hourly where hour(datetime) % 7 <> 3) h
+      on h.station = p.station and h.datetime = p.t""",
+)
+def _fill_gaps(spark, sf_dir):
+    """Hours missing from readings of some hours of the day, each station over its own span."""
+    rows = hourly(spark, sf_dir).filter("hour(datetime) % 7 <> 3")
+    stored = materialise(rows.select("station", "datetime", "temperature_2m", "visibility"), "hourly")
+    return fill_gaps(stored, "datetime", "1 hour", STATION)
+
+
 @case(
     "drop_columns",
     f"with {READINGS_CTE} select event_id, station, {stamp('datetime', 'datetime')}, "

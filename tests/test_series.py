@@ -6,6 +6,7 @@ import pandas as pd
 import pytest
 from frames import START, close, column, gappy, known, series
 
+from squall.operators.axis import fill_gaps
 from squall.operators.blocks import DAY, HOUR, fitting_width, range_blocks, row_index
 from squall.operators.encode import factorize
 from squall.operators.missing import (
@@ -184,3 +185,36 @@ def test_results_do_not_depend_on_partitioning(walk):
         one = op(df.repartition(1), ["x"], width=DAY, **AXIS).orderBy("datetime").collect()
         many = op(df.repartition(17), ["x"], width=DAY, **AXIS).orderBy("datetime").collect()
         assert one == many
+
+
+@pytest.mark.parametrize("width", [HOUR, 5 * HOUR, DAY])
+def test_rolling_over_more_rows_than_blocks_hold(spark, width):
+    values = gappy(2300, share=0.0)
+    df = series(spark, known(values)).repartition(4)
+    got = column(rolling_sum(df, "x", "r", rows=2000, width=width, **AXIS), "r")
+    assert close(got, values.rolling(2000).sum())
+
+
+def test_rolling_keeps_the_columns_in_their_order(spark):
+    df = series(spark, [float(i) for i in range(30)])
+    assert rolling_mean(df, "x", "r", rows=3, width=HOUR, **AXIS).columns == [*df.columns, "r"]
+
+
+@pytest.mark.parametrize("blocks", [{"width": 3 * HOUR}, {}, {"max_rows": 3}], ids=str)
+def test_gaps_are_filled_over_each_keys_own_span(spark, blocks):
+    hours = {"a": [0, 1, 5, 6, 30], "b": [12], "c": [3, 3, 7]}
+    rows = [(s, START + dt.timedelta(hours=h), float(k)) for s, at in hours.items() for k, h in enumerate(at)]
+    df = spark.createDataFrame(rows, "station string, datetime timestamp, x double")
+    ties = {"ties": ["x"]} if blocks.get("max_rows") else {}
+    got = fill_gaps(df, "datetime", "1 hour", ["station"], **blocks, **ties)
+    assert got.columns == df.columns and got.schema == df.schema
+    found = sorted((r.station, r.datetime, r.x is None, r.x or 0.0) for r in got.collect())
+    want = []
+    for s, at in hours.items():
+        want += [(s, START + dt.timedelta(hours=h), False, float(k)) for k, h in enumerate(at)]
+        missing = set(range(min(at), max(at))) - set(at)
+        want += [(s, START + dt.timedelta(hours=h), True, 0.0) for h in missing]
+    assert found == sorted(want)
+    days = spark.createDataFrame([(START.date(), 1.0), (START.date() + dt.timedelta(days=3), 2.0)], "date date, x double")
+    assert sorted(r.x or 0 for r in fill_gaps(days, "date", "1 day").collect()) == [0, 0, 1.0, 2.0]
+    assert fill_gaps(days.limit(0), "date", "1 day").count() == 0
