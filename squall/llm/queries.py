@@ -196,8 +196,7 @@ def op10_repeated_strings(spark, sf_dir):
 def op4_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     held_out = in_fold(F.col("doc_id"), 5, 0)
-    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
-    model = toxicity.train(docs.filter(~held_out).join(labels, "doc_id"))
+    model = toxicity.train_from(docs.filter(~held_out), table(spark, sf_dir, "labels"))
     scored = docs.select(
         "doc_id", held_out.alias("held_out"), toxicity.scorer(model)("text").alias("score")
     )
