@@ -1,12 +1,18 @@
 """Personal data by weak supervision.
 
 Strict patterns give the base spans. Wider patterns give more candidates; regular-expression,
-gazetteer, context, shape and boundary labelers vote on every candidate or abstain. Expectation-
-maximisation over the vote patterns of all candidates estimates the labelers' reliabilities, and a
-logistic classifier of spans learns from the posteriors. Candidates it accepts are added to the base.
+gazetteer, context, shape and boundary labelers vote on every candidate or abstain, each on evidence of its own.
+Expectation-maximisation over the vote patterns of all candidates estimates the labelers' reliabilities
+kind by kind, and a logistic classifier of spans learns from the posteriors. Candidates it accepts are
+added to the base.
+
+Patterns with an open beginning would be tried again from every character of a long run. Their matches are
+found from what they must hold instead (an `@`, a chain of numbers, a bracketed `at`), in linear time.
 """
 
 import re
+from bisect import bisect_left
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,21 +24,40 @@ from pyspark.sql import types as T
 from squall.storage import materialise
 
 BASE_KINDS = ("email", "ip", "card", "phone")
-MORE_KINDS = ("secret", "national_phone", "hidden_email", "social")
+MORE_KINDS = ("secret", "national_phone", "hidden_email", "social", "person", "street")
 KINDS = BASE_KINDS + MORE_KINDS
 LABELERS = ("regex", "gazetteer", "context", "shape", "boundary")
 
-EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+# The base kinds, as stated: email `LOCAL@DOMAIN`, ip four NUMBERS, card, phone.
+LOCAL = re.compile(r"[A-Za-z0-9._%+-]+")
+DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+NUMBERS = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 SECRET = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/_-])")
 NATIONAL = re.compile(r"(?<![0-9+)(.-])(?:\([0-9]{3}\) ?|[0-9]{3}[-. ])[0-9]{3}[-. ][0-9]{4}(?![0-9-])")
-HIDDEN = re.compile(r"[A-Za-z0-9._%+-]+ ?[\[(] ?at ?[\])] ?[A-Za-z0-9-]+(?:(?:\.| ?[\[(] ?dot ?[\])] ?)[A-Za-z0-9-]+)+")
+HIDDEN_AT = re.compile(r" ?[\[(] ?at ?[\])] ?")
+HIDDEN_DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:(?:\.| ?[\[(] ?dot ?[\])] ?)[A-Za-z0-9-]+)+")
 SOCIAL = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
+PERSON = re.compile(r"\b([A-Z][a-z]{1,15}) (?:[A-Z]\. )?[A-Z][a-z]{1,20}\b")
+STREET = re.compile(r"\b[0-9]{1,5} (?:[A-Z][a-z]{1,15} ){1,3}([A-Z][a-z]{1,9})\b")
 
 # Common top-level domains, and words that stand before personal data.
 DOMAINS = ("com", "org", "net", "edu", "gov", "info", "io", "de", "fr", "es", "uk", "eu")
+NAMES = frozenset(
+    "James Mary Robert Patricia John Jennifer Michael Linda David Elizabeth William Barbara Richard Susan Joseph "
+    "Jessica Thomas Sarah Charles Karen Christopher Lisa Daniel Nancy Matthew Betty Anthony Margaret Mark Sandra "
+    "Donald Ashley Steven Kimberly Paul Emily Andrew Donna Joshua Michelle Hans Peter Anna Klaus Ursula Monika "
+    "Jean Marie Pierre Claire Carlos Maria Jose Carmen Luis Ana".split()
+)
+STREETS = frozenset(
+    "Street Avenue Road Lane Drive Boulevard Court Place Square Terrace Way Parkway Highway Alley Crescent".split()
+)
+CITIES = frozenset(
+    "London Paris Berlin Madrid Rome Vienna Dublin Lisbon Brussels Amsterdam Boston Chicago Houston Dallas Seattle "
+    "Denver Miami Atlanta Phoenix Detroit Toronto Sydney Munich Hamburg Cologne Lyon Barcelona Valencia".split()
+)
+TITLES = ("mr", "mrs", "ms", "dr", "prof", "name", "named", "called", "contact", "sincerely", "signed")
 HINTS = {
     "email": ("mail", "email", "e-mail", "contact", "write"),
     "hidden_email": ("mail", "email", "e-mail", "contact", "write"),
@@ -42,6 +67,8 @@ HINTS = {
     "national_phone": ("phone", "tel", "call", "fax", "mobile"),
     "secret": ("token", "key", "secret", "password", "passwd", "apikey", "api_key", "bearer"),
     "social": ("ssn", "social", "security"),
+    "person": TITLES,
+    "street": ("address", "lives", "live", "at", "home", "located", "street"),
 }
 WORD = re.compile(r"[a-z_-]+")
 
@@ -69,7 +96,8 @@ def _digits(s: str) -> str:
 
 
 def _ip_ok(s: str) -> bool:
-    return all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in s.split("."))
+    parts = [p.lstrip("0") or "0" for p in s.split(".")]
+    return all(len(p) <= 3 and int(p) <= 255 for p in parts)
 
 
 def _card_ok(s: str) -> bool:
@@ -88,41 +116,98 @@ def _strict(kind: str, s: str) -> bool:
     return kind == "email"
 
 
+def emails(text: str) -> Iterator[tuple[int, int]]:
+    """Leftmost non-overlapping matches of `LOCAL@DOMAIN`: each run of local characters before an `@`."""
+    at = 0
+    for run in LOCAL.finditer(text) if "@" in text else ():
+        if text[run.end() : run.end() + 1] == "@":
+            domain = DOMAIN.match(text, run.end() + 1)
+            if domain and max(run.start(), at) < run.end():
+                yield max(run.start(), at), domain.end()
+                at = domain.end()
+
+
+def addresses(text: str) -> Iterator[tuple[int, int]]:
+    """Leftmost non-overlapping runs of four numbers with single dots between: four by four along a chain."""
+    for chain in NUMBERS.finditer(text):
+        if chain[0].count(".") >= 3:
+            ends, at = [], chain.start()
+            for part in chain[0].split("."):
+                ends.append((at, at + len(part)))
+                at += len(part) + 1
+            for k in range(0, len(ends) - 3, 4):
+                yield ends[k][0], ends[k + 3][1]
+
+
+def hidden_emails(text: str) -> Iterator[tuple[int, int]]:
+    """Addresses with a bracketed `at`: from each such word to the left and to the right."""
+    done = 0
+    for at in HIDDEN_AT.finditer(text):
+        begin = at.start()
+        while begin > done and text[begin - 1] in _LOCAL_CHARACTERS:
+            begin -= 1
+        domain = HIDDEN_DOMAIN.match(text, at.end()) if begin < at.start() else None
+        if domain:
+            yield begin, domain.end()
+            done = domain.end()
+
+
+_LOCAL_CHARACTERS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+
+
+def _gazetteer(kind: str, s: str, digits: str, after: str) -> str:
+    if kind in ("email", "hidden_email"):
+        return "+" if re.split(r"[^a-z0-9]+", s.lower().strip("])"))[-1] in DOMAINS else "0"
+    if kind == "card":
+        return "+" if digits[:1] in "3456" else "-"
+    if kind == "secret":
+        return "+" if re.fullmatch(r"[0-9a-f]{32,}", s) else "0"
+    if kind == "person":
+        return "+" if s.split(" ")[0] in NAMES else "-"
+    if kind == "street":
+        known = s.rsplit(" ", 1)[-1] in STREETS
+        return "+" if known or any(w in CITIES for w in re.findall(r"[A-Z][a-z]+", after)) else "-"
+    return "0"
+
+
+def _form(kind: str, s: str, digits: str) -> str:
+    """How the span is written, whatever its numbers add up to."""
+    if kind == "secret":
+        return "+" if digits and len(digits) < len(s) and len(set(s)) >= 8 else "-"
+    if kind == "card":
+        signs = set(s) - set("0123456789")
+        groups = re.split(r"[ -]", s)
+        return "+" if len(signs) <= 1 and all(len(g) >= 3 for g in groups) else "-"
+    if kind == "ip":
+        parts = s.split(".")
+        plain = all(p == "0" or not p.startswith("0") for p in parts)
+        return "+" if plain and parts[0] != "0" and len(set(parts)) > 1 else "-"
+    if kind == "phone":
+        return "+" if s[1] != "0" and s.count("(") == s.count(")") <= 1 and ".." not in s else "-"
+    if kind == "social":
+        return "-" if digits[:3] in ("000", "666") or digits[3:5] == "00" else "+"
+    if kind in ("person", "street"):
+        return "+" if len(s) >= 8 else "0"
+    return "+"
+
+
 def _vote(kind: str, text: str, start: int, end: int) -> str:
     """Votes of the labelers on a candidate: `+`, `-` or `0` each, as listed in LABELERS."""
     s = text[start:end]
-    digits, distinct = _digits(s), len(set(s))
-    mixed = bool(digits) and len(digits) < len(s) and distinct >= 8
+    digits = _digits(s)
     if kind in BASE_KINDS:
         regex = "+" if _strict(kind, s) else "-"
     else:
-        regex = "0" if kind == "secret" else "+"
-    gazetteer = "0"
-    if kind in ("email", "hidden_email"):
-        gazetteer = "+" if re.split(r"[^a-z0-9]+", s.lower().strip("])"))[-1] in DOMAINS else "0"
-    elif kind == "card":
-        gazetteer = "+" if digits[:1] in "3456" else "-"
-    elif kind == "secret":
-        gazetteer = "+" if re.fullmatch(r"[0-9a-f]{32,}", s) else "0"
+        regex = "0" if kind in ("secret", "person", "street") else "+"
     before = WORD.findall(text[max(0, start - 32) : start].lower())
     context = "+" if any(w in HINTS[kind] for w in before[-3:]) else "0"
     if kind == "secret":
         quoted = text[start - 1 : start] in "\"'" and text[end : end + 1] in ("'", '"')
         context = "+" if context == "+" or (start and quoted) else "-"
-        shape = "+" if mixed else "-"
-    elif kind == "card":
-        shape = "+" if _card_ok(s) else "-"
-    elif kind == "ip":
-        shape = "+" if _ip_ok(s) else "-"
-    elif kind == "phone":
-        shape = "+" if 9 <= len(digits) <= 15 else "-"
-    elif kind == "social":
-        shape = "-" if digits[:3] in ("000", "666") or digits[3:5] == "00" else "+"
-    else:
-        shape = "+"
     around = text[max(0, start - 1) : start] + text[end : end + 1]
     boundary = "-" if any(c.isalnum() for c in around) else "+"
-    return regex + gazetteer + context + shape + boundary
+    gazetteer = _gazetteer(kind, s, digits, text[end : end + 32])
+    return regex + gazetteer + context + _form(kind, s, digits) + boundary
 
 
 def _shape(text: str, start: int, end: int) -> str:
@@ -132,32 +217,60 @@ def _shape(text: str, start: int, end: int) -> str:
     return f"{min(len(s) // 8, 7)}{share}{int(any(not c.isalnum() for c in s))}"
 
 
+def _spans(pattern: re.Pattern, text: str) -> Iterator[tuple[int, int]]:
+    return (m.span() for m in pattern.finditer(text))
+
+
 def candidates(text: str) -> list[tuple]:
     """`(kind, start, end, base, votes, shape)` in order of start and kind."""
-    found = []
+    found, taken = [], []
     if re.search(r"[0-9@]", text):
-        taken = []
-        for k, pattern in enumerate((EMAIL, IP, CARD, PHONE)):
-            if (k == 0 and "@" not in text) or (k == 3 and "+" not in text):
-                continue
-            for m in pattern.finditer(text):
-                base = _strict(KINDS[k], m[0])
-                if base or (k == 2 and 12 <= len(_digits(m[0])) <= 19) or k == 1:
-                    found.append((k, m.start(), m.end(), base))
+        cards = _spans(CARD, text)
+        phones = _spans(PHONE, text) if "+" in text else ()
+        for k, spans in enumerate((emails(text), addresses(text), cards, phones)):
+            for a, b in spans:
+                s = text[a:b]
+                base = _strict(KINDS[k], s)
+                if base or (k == 2 and 12 <= len(_digits(s)) <= 19) or k == 1:
+                    found.append((k, a, b, base))
                 if base:
-                    taken.append((m.start(), m.end()))
-        for k, pattern in enumerate((SECRET, NATIONAL, HIDDEN, SOCIAL), start=4):
-            for m in pattern.finditer(text):
-                if not any(a < m.end() and m.start() < b for a, b in taken):
-                    found.append((k, m.start(), m.end(), False))
-    elif "at" in text and ("(" in text or "[" in text):
-        found = [(6, m.start(), m.end(), False) for m in HIDDEN.finditer(text)]
+                    taken.append((a, b))
+        more = [_spans(SECRET, text), _spans(NATIONAL, text), hidden_emails(text), _spans(SOCIAL, text)]
+    else:
+        hidden = "at" in text and ("(" in text or "[" in text)
+        more = [(), (), hidden_emails(text) if hidden else (), ()]
+    people = (m.span() for m in PERSON.finditer(text) if m[1] in NAMES or _titled(text, m.start()))
+    streets = (m.span() for m in STREET.finditer(text) if m[1] in STREETS or m[1] in CITIES)
+    begins, reach = _merged(taken)
+    for k, spans in enumerate([*more, people, streets], start=len(BASE_KINDS)):
+        for a, b in spans:
+            at = bisect_left(begins, b) - 1  # the last taken stretch that begins before the end
+            if at < 0 or reach[at] <= a:
+                found.append((k, a, b, False))
     return [
         (k, a, b, base, _vote(KINDS[k], text, a, b), _shape(text, a, b))
         for k, a, b, base in sorted(found, key=lambda x: (x[1], x[0]))
     ]
 
 
+def _titled(text: str, start: int) -> bool:
+    words = WORD.findall(text[max(0, start - 12) : start].lower())
+    return bool(words) and words[-1] in TITLES
+
+
+def _merged(spans: list[tuple[int, int]]) -> tuple[list[int], list[int]]:
+    """Begins and ends of the stretches that spans cover together."""
+    begins: list[int] = []
+    ends: list[int] = []
+    for a, b in sorted(spans):
+        if ends and a <= ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            begins.append(a)
+            ends.append(b)
+    return begins, ends
+
+
 @F.arrow_udf(SPANS)
 def find_candidates(texts: pa.Array) -> pa.Array:
     names = ("kind", "start", "end", "base", "votes", "shape")
@@ -167,10 +280,11 @@ def find_candidates(texts: pa.Array) -> pa.Array:
 
 @dataclass(frozen=True)
 class SpanClassifier:
-    """Logistic model over kind, shape and votes, and the reliabilities it was taught with."""
+    """Logistic model over kind, shape and votes, and the reliabilities it was taught with: for each kind
+    each labeler's shares of right votes on true and on false spans."""
 
     weights: tuple[float, ...]
-    reliabilities: tuple[tuple[float, float], ...]
+    reliabilities: tuple[tuple[tuple[float, float], ...], ...]
 
     @staticmethod
     def features(kind: int, votes: str, shape: str) -> np.ndarray:
@@ -202,20 +316,27 @@ def learn(patterns: list[tuple[int, str, str, int]], rounds: int = 25) -> SpanCl
         return SpanClassifier((0.0,) * len(SpanClassifier.features(0, "0" * n_labelers, "000")), ())
     n = np.array([p[3] for p in patterns], dtype=float)
     votes = np.array([[{"+": 1, "-": -1, "0": 0}[c] for c in p[1]] for p in patterns])
-    prior, right = 0.5, np.full((n_labelers, 2), 0.8)  # right on true spans, right on false ones
+    kind = np.array([p[0] for p in patterns])
+    prior = np.full(len(KINDS), 0.5)
+    right = np.full((len(KINDS), n_labelers, 2), 0.8)  # right on true spans, right on false ones
     posterior = np.zeros(len(n))
     for _ in range(rounds):
-        odds = np.full(len(n), np.log(prior / (1 - prior)))
-        for j, (a, b) in enumerate(right):
-            odds += np.where(votes[:, j] > 0, np.log(a / (1 - b)), 0)
-            odds += np.where(votes[:, j] < 0, np.log((1 - a) / b), 0)
+        odds = np.log(prior / (1 - prior))[kind]
+        for j in range(n_labelers):
+            a, b = right[kind, j, 0], right[kind, j, 1]
+            odds = odds + np.where(votes[:, j] > 0, np.log(a / (1 - b)), 0)
+            odds = odds + np.where(votes[:, j] < 0, np.log((1 - a) / b), 0)
         posterior = 1 / (1 + np.exp(-odds))
-        prior = float(np.clip((n @ posterior) / n.sum(), 0.05, 0.95))
+        true, false = n * posterior, n * (1 - posterior)
+
+        def by_kind(values, chosen=slice(None)):
+            return np.bincount(kind[chosen], weights=values[chosen], minlength=len(KINDS))
+
+        prior = np.clip((by_kind(true) + 1) / (by_kind(n) + 2), 0.05, 0.95)
         for j in range(n_labelers):
             plus, minus = votes[:, j] > 0, votes[:, j] < 0
-            true, false = n * posterior, n * (1 - posterior)
-            right[j, 0] = (true[plus].sum() + 8) / (true[plus | minus].sum() + 10)
-            right[j, 1] = (false[minus].sum() + 8) / (false[plus | minus].sum() + 10)
+            right[:, j, 0] = (by_kind(true, plus) + 8) / (by_kind(true, plus | minus) + 10)
+            right[:, j, 1] = (by_kind(false, minus) + 8) / (by_kind(false, plus | minus) + 10)
         right = np.clip(right, 0.55, 0.99)
     x = np.array([SpanClassifier.features(*p[:3]) for p in patterns])
     share = n / n.sum()
@@ -227,13 +348,14 @@ def learn(patterns: list[tuple[int, str, str, int]], rounds: int = 25) -> SpanCl
         gradient = x.T @ (share * (p - posterior)) + 1e-3 * w
         hessian = (x * (share * p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(len(w))
         w = w - np.linalg.solve(hessian, gradient)
-    return SpanClassifier(tuple(w.tolist()), tuple(map(tuple, right.tolist())))
+    of_kinds = tuple(tuple(map(tuple, of_kind)) for of_kind in right.tolist())
+    return SpanClassifier(tuple(w.tolist()), of_kinds)
 
 
 def train(found: DataFrame) -> SpanClassifier:
     """Classifier from the candidates of all rows of `found (spans, …)`.
 
-    The driver gets the counts of (kind, votes, shape): at most 8 kinds x 3 ** 5 votes x 80 shapes.
+    The driver gets the counts of (kind, votes, shape): at most 10 kinds x 3 ** 5 votes x 80 shapes.
     """
     span = found.select(F.explode("spans").alias("s")).select("s.kind", "s.votes", "s.shape")
     counts = span.groupBy("kind", "votes", "shape").count()
@@ -287,7 +409,8 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
     """`(doc_id, n_email, n_ip, n_card, n_phone, base, spans)` for each row of `docs (doc_id, text, …)`.
 
     `base` and `spans` list `kind:start:end` by start, then kind, in code points, end exclusive. Null text
-    counts as empty and has no span; equal ids are treated each for itself; other columns are ignored.
+    counts as empty and has no span; equal ids and equal rows are treated each for itself; an empty table gives
+    an empty one; other columns are ignored. Whole texts are read, in time linear in their length.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     found = materialise(docs.select("doc_id", find_candidates(text).alias("spans")), "candidates")

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -196,6 +197,72 @@ def test_personal_data(docs, empty):
     assert pii.find_personal_data(empty).count() == pii.mask_personal_data(empty).count() == 0
 
 
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+HIDDEN = re.compile(
+    r"[A-Za-z0-9._%+-]+ ?[\[(] ?at ?[\])] ?[A-Za-z0-9-]+(?:(?:\.| ?[\[(] ?dot ?[\])] ?)[A-Za-z0-9-]+)+"
+)
+
+
+def base_by_hand(text):
+    """Base spans straight from the patterns as they are stated."""
+
+    def luhn(s):
+        d = [int(c) for c in reversed(s)]
+        return sum(d[::2] + [sum(divmod(2 * x, 10)) for x in d[1::2]]) % 10 == 0
+
+    def digits(s):
+        return re.sub(r"[^0-9]", "", s)
+
+    kinds = (
+        (EMAIL, lambda s: True),
+        (IP, lambda s: all(len(p.lstrip("0")) <= 3 and int("0" + p.lstrip("0")) <= 255 for p in s.split("."))),
+        (re.compile(r"[0-9]([\x20-]?[0-9])+"), lambda s: 12 <= len(digits(s)) <= 19 and luhn(digits(s))),
+        (re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"), lambda s: 9 <= len(digits(s)) <= 15),
+    )
+    found = [(m.start(), k, m.end()) for k, (p, fine) in enumerate(kinds) for m in p.finditer(text) if fine(m[0])]
+    return [(k, a, b) for a, k, b in sorted(found)]
+
+
+def test_base_spans_equal_the_stated_patterns(spark, sf_dir):
+    r = lm.np.random.default_rng(17)
+    pieces = ["a", "b1", "@", ".", "..", "-", "+", " ", "1", "25", "255", "256", "0007", "4111111111111111", "(at)",
+              " [at] ", "(dot)", "com", "x@y.zz", "10.0.0.1", "+1 202-555-0143", "%", "é", "\n"]
+    texts = ["".join(r.choice(pieces, r.integers(1, 14))) for _ in range(4000)]
+    stored = [x.text or "" for x in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    for text in [*texts, *stored, *(t or "" for _, t in TEXTS)]:
+        got = [(k, a, b) for k, a, b, base, _, _ in pii.candidates(text) if base]
+        assert got == base_by_hand(text), text
+        assert list(pii.emails(text)) == [m.span() for m in EMAIL.finditer(text)]
+        assert list(pii.addresses(text)) == [m.span() for m in IP.finditer(text)]
+        assert list(pii.hidden_emails(text)) == [m.span() for m in HIDDEN.finditer(text)]
+
+
+@pytest.mark.parametrize("run", ["a", "7", "a1", "@", "a@", "1.", "(at)", "[", "+1", "a(at)b", "Ab ", "x@y.z ", "0" * 50 + "."])
+def test_long_runs_take_linear_time(run):
+    text = (run * 1_000_000)[:1_000_000]
+    began = time.perf_counter()
+    pii.candidates(text)
+    assert time.perf_counter() - began < (20 if run == "x@y.z " else 5)
+    assert pii.candidates("0" * 5000 + ".1.2.3")[0][3] is True
+
+
+def test_kinds_are_judged_by_reliabilities_of_their_own():
+    patterns = [(0, "+++++", "110", 50), (0, "-0--+", "110", 5), (4, "0-+-+", "110", 40), (4, "0-+++", "110", 40),
+                (4, "0+--+", "110", 40), (4, "00--+", "110", 400)]
+    model = pii.learn(patterns)
+    of_email, of_secret = model.reliabilities[0], model.reliabilities[4]
+    assert of_email != of_secret and len(model.reliabilities) == len(pii.KINDS)
+    assert model.probability(0, "+++++", "110") > 0.9 > 0.5 > model.probability(4, "00--+", "110")
+
+
+def test_people_and_streets():
+    found = [(pii.KINDS[k], a, b) for k, a, b, *_ in pii.candidates("Dear Mrs. Karen Novak of 12 Old Mill Road, London.")]
+    text = "Dear Mrs. Karen Novak of 12 Old Mill Road, London."
+    assert {(k, text[a:b]) for k, a, b in found} == {("person", "Karen Novak"), ("street", "12 Old Mill Road")}
+    assert pii.candidates("The Old Mill stands. Great Things happen 12 Times a Day") == []
+
+
 def test_languages(spark, docs, empty):
     model = language.train(docs)
     p = {r.doc_id: r.p for r in docs.select("doc_id", language.predictor(model)("text").alias("p")).collect()}
@@ -231,6 +298,50 @@ def test_toxicity(spark, docs, empty):
     assert len(toxicity.train(empty.withColumn("toxic", F.lit(1))).weights) == toxicity.Distances.size
 
 
+def test_toxicity_of_clashing_and_repeated_rows(spark):
+    bad = [f"plain words number{k} here{k % 9} idiotic person{k % 7} trashy again" for k in range(40)]
+    good = [f"plain words number{k} here{k % 9} gentle person{k % 7} kindly again" for k in range(40)]
+    rows = [(k, t, 1 - int(k >= 40)) for k, t in enumerate(good + bad)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")  # a misleading column of that name
+    marks = [(k, int(k >= 40), "x") for k in range(80)]
+    labels = spark.createDataFrame([*marks, *marks, (3, 1, "x"), (None, 1, "x"), (5, None, "x")], "doc_id long, toxic int, text string")
+    keys = toxicity.picked_keys(docs, labels, 1000, 10**6).collect()
+    assert len(keys) == 79 and len({r.doc_id for r in keys}) == 79  # once each; 3 is labelled both ways
+    once = spark.createDataFrame([m for m in marks if m[0] != 3], "doc_id long, toxic int, text string")
+    assert toxicity.train_from(docs.union(docs), labels) == toxicity.train_from(docs, once)
+    few = toxicity.picked_keys(docs, labels, 7, 10**6).groupBy("toxic").agg(F.count("*").alias("n"), F.sum("weight").alias("w"))
+    assert {(r.toxic, r.n, round(r.w)) for r in few.collect()} == {(0, 7, 39), (1, 7, 40)}
+    assert toxicity.picked_keys(docs, labels, 1000, 100).count() == 2  # a text has about 60 characters
+    score = toxicity.scorer(toxicity.train_from(docs, labels))
+    got = docs.select((F.col("doc_id") >= 40).alias("bad"), (score("text") >= 0.5).alias("said"))
+    assert got.filter("bad <> said").count() <= 4
+
+
+def test_toxicity_scores_by_direct_computation(spark):
+    """Scores of the operator against compression lengths and features computed from their definition."""
+    rows = [(k, f"word{k % 5} nice thing{k % 3} " + ("vile rotten " * 3 if k % 2 else "sweet kindly " * 3), k % 2) for k in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.train(df)
+    alone = toxicity._compressor(model.ordinary)
+    both = toxicity._compressor(model.toxic + model.ordinary)
+    texts = [r[1] for r in rows] + ["", "one", " ".join(f"w{k} vile" for k in range(40))]
+    scores = {r.text: r.s for r in spark.createDataFrame([(t,) for t in texts], "text string").select("text", toxicity.scorer(model)("text").alias("s")).collect()}
+    for text in texts:
+        w = text.lower().encode().split()
+        windows, at = [], 0
+        while w and (at == 0 or at + toxicity.WINDOW - toxicity.STEP < len(w)):
+            windows.append(b" ".join(w[at : at + toxicity.WINDOW]))
+            at += toxicity.STEP
+        saved = [len(alone(x)) - len(both(x)) for x in windows]
+        features = [1.0]
+        for threshold in toxicity.THRESHOLDS:
+            n = sum(s >= threshold for s in saved)
+            features += [min(1, 8 * n / len(saved)), min(3, n) / 3] if saved else [0, 0]
+        features += [max(saved) / 10, sum(saved) / len(saved)] if saved else [0, 0]
+        z = sum(a * b for a, b in zip(features, model.weights))
+        assert scores[text] == pytest.approx(1 / (1 + lm.math.exp(-z)))
+
+
 def test_language_model(docs, empty):
     got = {r.doc_id: r for r in lm.score_texts(docs).collect()}
     counts = Counter()
