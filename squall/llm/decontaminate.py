@@ -166,6 +166,11 @@ def automata(benchmark: DataFrame, window: int, max_words: int) -> Iterator[Auto
     yield Automaton(held, window)
 
 
+def in_order(items: set[str | None]) -> list[str | None]:
+    """Ids as strings, null last."""
+    return sorted(items, key=lambda i: (i is None, i or ""))
+
+
 def finder(automaton: Automaton):
     """Column function: what the automaton finds in a binary text."""
 
@@ -178,7 +183,7 @@ def finder(automaton: Automaton):
                 "n_words": n_words,
                 "begins": [r[0] for r in runs],
                 "ends": [r[1] for r in runs],
-                "items": sorted(i for i in items if i is not None),
+                "items": in_order(items),
             })
         return pa.array(rows, type=pa.struct([
             ("n_words", pa.int64()), ("begins", pa.list_(pa.int32())),
@@ -213,7 +218,7 @@ def merged(found: list[Column]) -> Column:
                 "n_words": finds[0]["n_words"],
                 "begins": [r[0] for r in runs],
                 "ends": [r[1] for r in runs],
-                "items": sorted({i for f in finds for i in f["items"]}),
+                "items": in_order({i for f in finds for i in f["items"]}),
             })
         return pa.array(rows, type=parts[0].type)
 
@@ -228,7 +233,7 @@ def screen(
 
     A window is `window` consecutive words of an item; an item of fewer words, but not none, is one
     window. Null and empty texts have no words and no hit; an empty benchmark hits nothing; items
-    without an id hit, but are not listed; equal ids count once. More than `max_words` words of items
+    without an id hit and are listed as one null; equal ids count once. More than `max_words` words of items
     take several automata, one after the other, with the rows written in between, so that no worker
     holds more than one.
     """

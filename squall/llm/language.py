@@ -2,8 +2,8 @@
 
 Hashed three-byte grams are counted for every language over all labelled training rows. In a text,
 every word has a likelihood under every language, the product of its grams'. Expectation-maximisation
-estimates the proportions in which languages make up the text's words, for language sets of growing
-size; the set with the best penalised likelihood stands.
+estimates the proportions in which languages make up the text's words. The language set grows by the one that
+raises the likelihood fastest, as long as the penalised likelihood improves.
 """
 
 from collections.abc import Iterator
@@ -18,8 +18,10 @@ from pyspark.sql import types as T
 
 BUCKETS = 1 << 16
 SMOOTHING = 0.5
-MAX_SET = 3  # languages in one text
-ROUNDS = 6  # of expectation-maximisation for a set
+SETTLED = 1e-3  # shares that a round moves by less are settled
+ROUNDS = 4  # of expectation-maximisation between two looks at what has settled
+NEWCOMER = 0.1  # share a language begins with when it joins the set
+TINY = 1e-300
 CHUNK_BYTES = 1 << 18  # worked on at once
 NONE = "und"  # no letter to go by
 
@@ -93,35 +95,9 @@ class Languages:
             return [(self.names[0] if ok else NONE, 1 / n if ok else 0.0, "") for ok in lettered]
         begins = np.flatnonzero(np.diff(word, prepend=-1))
         log_word = np.add.reduceat(self.log_p[bucket], begins, axis=0)  # words x languages
-        best = log_word.max(axis=1, keepdims=True)
-        like = np.exp(log_word - best)
-        present, first, counts = np.unique(text_of, return_index=True, return_counts=True)
-        of = np.repeat(np.arange(len(present)), counts)
-
-        def fit(allowed: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray]:
-            share = allowed / allowed.sum(axis=1, keepdims=True)
-            for _ in range(rounds):
-                joint = share[of] * like
-                joint /= np.maximum(joint.sum(axis=1, keepdims=True), 1e-300)
-                share = np.add.reduceat(joint, first, axis=0) / counts[:, None]
-            total = np.maximum((share[of] * like).sum(axis=1), 1e-300)
-            return share, np.add.reduceat(np.log(total), first)
-
-        share, _ = fit(np.ones((len(present), n)), ROUNDS)
-        order = np.argsort(-share, axis=1, kind="stable")
-        alone = np.add.reduceat((log_word - best).astype(np.float64), first, axis=0)
-        chosen = np.zeros((len(present), n))
-        top = np.argmax(alone, axis=1)
-        chosen[np.arange(len(present)), top] = 1
-        value = alone.max(axis=1)
-        for size in range(2, min(MAX_SET, n) + 1):
-            allowed = np.zeros((len(present), n))
-            np.put_along_axis(allowed, order[:, :size], 1.0, axis=1)
-            fitted, likelihood = fit(allowed, ROUNDS)
-            # Bayesian information criterion: half a log of the words for each further share.
-            penalised = likelihood - 0.5 * (size - 1) * np.log(counts + 1)
-            better = penalised > value
-            chosen[better], value[better] = fitted[better], penalised[better]
+        log_word -= log_word.max(axis=1, keepdims=True)
+        present, counts = np.unique(text_of, return_counts=True)
+        chosen = mixtures(log_word, counts)
         shares = dict(zip(present.tolist(), chosen))
         out = []
         for k, ok in enumerate(lettered):
@@ -139,6 +115,69 @@ class Languages:
         return out
 
 
+def _firsts(counts: np.ndarray) -> np.ndarray:
+    """Where each text's words begin."""
+    return np.cumsum(counts) - counts
+
+
+def settled(like: np.ndarray, counts: np.ndarray, share: np.ndarray) -> np.ndarray:
+    """Shares of the languages in each text after expectation-maximisation until they settle.
+
+    `like` has the likelihoods of all texts' words in turn, `counts` the words of each text; a language with
+    share 0 stays out. Texts drop out as they settle.
+    """
+    out, todo = share.copy(), np.arange(len(counts))
+    while len(todo):
+        of, first = np.repeat(np.arange(len(todo)), counts), _firsts(counts)
+        for _ in range(ROUNDS):
+            before = share
+            joint = share[of] * like
+            joint /= np.maximum(joint.sum(axis=1, keepdims=True), TINY)
+            share = np.add.reduceat(joint, first, axis=0) / counts[:, None]
+        out[todo] = share
+        moving = np.abs(share - before).max(axis=1) > SETTLED
+        like, todo, share, counts = like[np.repeat(moving, counts)], todo[moving], share[moving], counts[moving]
+    return out
+
+
+def mixtures(log_word: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Shares of the languages in each text, over the set with the best penalised likelihood.
+
+    A set begins with the one best language and grows by the one towards which the likelihood rises fastest.
+    The likelihood is concave in the shares, so where it rises towards none the set is whole. Any
+    language may join; each must gain half a log of the words (the Bayesian information criterion).
+    """
+    n = log_word.shape[1]
+    like = np.exp(log_word)
+    alone = np.add.reduceat(log_word.astype(np.float64), _firsts(counts), axis=0)
+    chosen = np.zeros((len(counts), n))
+    chosen[np.arange(len(counts)), np.argmax(alone, axis=1)] = 1
+    value, active = alone.max(axis=1), np.arange(len(counts))
+    for size in range(1, n):
+        of, first = np.repeat(np.arange(len(active)), counts), _firsts(counts)
+        share = chosen[active]
+        mix = np.maximum((share[of] * like).sum(axis=1), TINY)
+        pull = np.add.reduceat(like / mix[:, None], first, axis=0)
+        pull[share > 0] = 0
+        joins = np.argmax(pull, axis=1)
+        rises = pull[np.arange(len(active)), joins] > counts
+        like, active, counts = like[np.repeat(rises, counts)], active[rises], counts[rises]
+        if not len(active):
+            break
+        share, joins = (1 - NEWCOMER) * share[rises], joins[rises]
+        share[np.arange(len(active)), joins] = NEWCOMER
+        fitted = settled(like, counts, share)
+        of, first = np.repeat(np.arange(len(active)), counts), _firsts(counts)
+        mix = np.maximum((fitted[of] * like).sum(axis=1), TINY)
+        penalised = np.add.reduceat(np.log(mix), first) - 0.5 * size * np.log(counts + 1)
+        better = penalised > value[active]
+        chosen[active[better]], value[active[better]] = fitted[better], penalised[better]
+        like, active, counts = like[np.repeat(better, counts)], active[better], counts[better]
+        if not len(active):
+            break
+    return chosen
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of grams by language, one dense vector for each language and task."""
     held: dict[str, np.ndarray] = {}
@@ -178,7 +217,9 @@ def train(labelled: DataFrame) -> Languages:
 def predictor(model: Languages):
     """Column function: prediction for a text. Null, and a text without a letter, is `und` with score 0.
 
-    A text has its own prediction whatever the other rows are; without a learned language all are `und`.
+    Whole texts of any length are read, and nothing but the text counts: equal rows get equal predictions, other
+    columns do not matter, an empty table gives an empty one. Of equally likely languages the first by name
+    stands. Without a learned language all are `und`.
     """
 
     @F.arrow_udf(PREDICTION)

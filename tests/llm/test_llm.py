@@ -176,6 +176,8 @@ def test_decontamination(docs, empty, benchmark):
                     if tuple(words[i : i + size]) in grams:
                         covered |= set(range(i, i + size))
             assert (r.found.n_words, hit) == (len(words), len(covered))
+    found = decontaminate.screen(docs, benchmark).filter("row.doc_id = 5").first().found  # "The The the"
+    assert found.items == [None]  # an item without an id
     kept = decontaminate.decontaminate(docs, benchmark)
     assert kept.columns == docs.columns
     texts = {r.doc_id: r.text for r in kept.collect()}
@@ -280,6 +282,59 @@ def test_mixture_of_two_languages():
     assert alone[1] > 0.99
 
 
+def mixture_by_hand(log_word):
+    """The best penalised fit over all sets of languages, by long expectation-maximisation."""
+    np = language.np
+    n, best = log_word.shape[1], None
+    for bits in range(1, 1 << n):
+        allowed = np.array([bits >> j & 1 for j in range(n)], float)
+        share = allowed / allowed.sum()
+        for _ in range(3000):
+            joint = share * np.exp(log_word)
+            share = (joint / joint.sum(axis=1, keepdims=True)).mean(axis=0)
+        value = np.log((share * np.exp(log_word)).sum(axis=1)).sum() - 0.5 * (allowed.sum() - 1) * np.log(len(log_word) + 1)
+        if best is None or value > best[0]:
+            best = value, share
+    return best[1]
+
+
+def test_mixtures_equal_the_best_of_all_sets():
+    np = language.np
+    r = np.random.default_rng(1)
+    blocks, want = [], []
+    for shares in ([1, 0, 0, 0], [0.5, 0.5, 0, 0], [0.25] * 4, [0.6, 0.3, 0.1, 0], [0, 0.2, 0.3, 0.5], [0, 0, 1, 0]):
+        words = r.choice(4, 240, p=shares)
+        log_word = r.normal(-4, 1.5, (240, 4))
+        log_word[np.arange(240), words] += 5
+        log_word -= log_word.max(axis=1, keepdims=True)
+        blocks.append(log_word)
+        want.append(mixture_by_hand(log_word))
+    got = language.mixtures(np.vstack(blocks), np.full(len(blocks), 240))
+    for a, b in zip(got, want):
+        assert (a > 0).tolist() == (b > 1e-6).tolist()
+        assert a == pytest.approx(b, abs=0.02)
+
+
+def test_four_languages_in_one_text():
+    np = language.np
+    stems = ["tha", "sch", "eau", "ción"]
+    texts = [" ".join(f"{stem}{a}{b}" for a in "abcdefgh" for b in "mnopqrst") for stem in stems]
+    counts = [np.bincount(language.grams([t])[0], minlength=language.BUCKETS) for t in texts]
+    n = np.array(counts).T + 0.5
+    model = language.Languages(("l0", "l1", "l2", "l3"), (np.log(n) - np.log(n.sum(axis=0))).astype("f4"))
+    (_, share, said), = model.predict([" ".join(texts)])
+    parts = dict(p.split(":") for p in said.split(","))
+    assert set(parts) == {"l0", "l1", "l2", "l3"} and all(abs(float(p) - 0.25) < 0.02 for p in parts.values())
+    assert abs(share - 0.25) < 0.02
+
+
+def test_languages_of_empty_tables(spark, empty, docs):
+    predict = language.predictor(language.train(docs))
+    assert empty.select(predict("text")).count() == 0
+    twice = docs.union(docs).select("text", predict("text").alias("p")).distinct().groupBy("text").count()
+    assert twice.filter("count > 1").count() == 0
+
+
 def test_language_query_on_held_out_rows(spark, sf_dir):
     truth = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang")
     rows = QUERIES["op1_language_mixture"](spark, sf_dir).join(truth, "doc_id").filter("held_out").collect()
