@@ -67,11 +67,11 @@ def inverse_demand(part: Column, first: Column, last: Column) -> Column:
 
 def mix(
     docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE,
-    max_epochs: int = MAX_EPOCHS,
+    max_epochs: int = MAX_EPOCHS, carry: Sequence[str] = (),
 ) -> DataFrame:
     """Each row of `docs (doc_id, text, source, …)` with what the mix takes of it and when.
 
-    Columns: `doc_id, source, size, source_size, target, taken, positions`. A source's stream holds its
+    Columns: `doc_id, source, size, source_size, target, taken, positions`, and those in `carry`. A source's stream holds its
     documents in order of md5 of the id, whole stream after whole stream, and the mix takes its first
     `target` words (rounded): so the last document taken may be cut, and the words taken meet the
     target. `positions` has one training time for every time the document is taken.
@@ -81,7 +81,7 @@ def mix(
     """
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
     sized = docs.select(
-        "doc_id", "source", F.size(words(F.col("text"))).cast("long").alias("size"), key.alias("key")
+        "doc_id", "source", F.size(words(F.col("text"))).cast("long").alias("size"), key.alias("key"), *carry
     )
     slice_of = F.conv(F.substring("key", 1, 3), 16, 10).cast("int") % SLICES
     sized = materialise(sized.withColumn("slice", slice_of), "sizes")
@@ -130,7 +130,7 @@ def mix(
     ])
     return placed.select(
         "doc_id", "source", "size", "source_size", "target",
-        taken.cast("long").alias("taken"), F.array_compact(times).alias("positions"),
+        taken.cast("long").alias("taken"), F.array_compact(times).alias("positions"), *carry,
     )
 
 
@@ -138,3 +138,20 @@ def training_order(mixed: DataFrame) -> DataFrame:
     """One row for every time a document is taken, range-sorted by training position."""
     taken = mixed.withColumn("position", F.explode("positions")).drop("positions")
     return taken.sort("position", "doc_id")
+
+
+def training_set(docs: DataFrame) -> DataFrame:
+    """The mix of `docs (doc_id, text, source, …)` itself: one row, with its text, for every time a document is taken,
+    range-sorted by training position.
+
+    Columns: those of `docs`, then `size, source_size, target, taken, position`, which replace columns of
+    these names. A document that the mix cuts is there whole; `taken` tells how many words count. The mix is made without the
+    texts; they are joined to it once. Nulls, ties, repeated rows and empty tables are treated as in `mix`.
+    """
+    numbered = materialise(docs.withColumn("__at", F.monotonically_increasing_id()), "numbered")
+    mixed = mix(numbered, carry=("__at",)).filter(F.size("positions") > 0)
+    numbers = ("size", "source_size", "target", "taken")
+    taken = mixed.select("__at", *numbers, F.explode("positions").alias("position"))
+    kept = [c for c in docs.columns if c not in (*numbers, "position")]
+    rows = numbered.select("__at", *kept).join(taken, "__at")
+    return rows.select(*kept, *numbers, "position").sort("position", "doc_id")

@@ -459,7 +459,96 @@ def test_every_block_is_trained_on(monkeypatch):
     assert second != first and Counter(second) == Counter(first)
 
 
-def test_pipeline(spark, docs, benchmark, tmp_path):
+def mixed_by_hand(rows):
+    """(row, size, source_size, target, taken, positions) of each row, from the rules of the mix."""
+    sizes = [len(re.findall(r"[^\x20\x09-\x0D]+", r["text"] or "")) for r in rows]
+    sources = sorted({r["source"] for r in rows}, key=lambda s: (s is None, s or ""))
+    size_of = {s: sum(n for r, n in zip(rows, sizes) if r["source"] == s) for s in sources}
+    weight = {s: (5, 2, 1)[k % 3] for k, s in enumerate(sources)}
+    words, target, free = 1.5 * sum(sizes), {}, list(sources)
+    while free:
+        level = (words - sum(target.values())) / sum(weight[s] for s in free)
+        full = [s for s in free if weight[s] * level > 2 * size_of[s]]
+        target |= {s: 2.0 * size_of[s] for s in full} or {s: weight[s] * level for s in free}
+        free = [s for s in free if s not in target]
+    out = []
+    for s in sources:
+        mine = sorted(
+            ((r, n) for r, n in zip(rows, sizes) if r["source"] == s),
+            key=lambda x: (hashlib.md5(str("" if x[0]["doc_id"] is None else x[0]["doc_id"]).encode()).hexdigest(), -x[1]),
+        )
+        start, demand = 0, int(target[s] + 0.5)
+        first, last = float(weight[s]), 8 / 3
+        for r, n in mine:
+            part = [max(0, min(n, demand - start - e * size_of[s])) for e in (0, 1)]
+            due = [(start + e * size_of[s]) / demand * (first + last) / 2 for e in (0, 1) if part[e]]
+            at = [2 * d / (first + max(0, first * first + 2 * (last - first) * d) ** 0.5) for d in due]
+            out.append((r, n, size_of[s], target[s], sum(part), at))
+            start += n
+    return out
+
+
+def pipeline_by_hand(rows, items):
+    """All rows of the pipeline's result, stage by stage in plain Python."""
+    rows = [r for r in rows if any(c.isalpha() for c in r["text"] or "")]
+    prints = [fingerprint(r["text"]) for r in rows]
+    group = list(range(len(rows)))
+    for _ in rows:
+        for i, a in enumerate(prints):
+            for j, b in enumerate(prints):
+                if (a ^ b).bit_count() <= 3:
+                    group[i] = group[j] = min(group[i], group[j])
+    of_group = {}
+    for r, g in zip(rows, group):
+        of_group.setdefault(g, []).append(r)
+    rows = [min(g, key=lambda r: (r["doc_id"] is None, r["doc_id"] or 0)) for g in of_group.values()]
+
+    word = re.compile(rb"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+    grams = set()
+    for item in items:
+        w = [m.lower() for m in word.findall((item or "").encode())]
+        size = min(10, len(w))
+        grams |= {tuple(w[i : i + size]) for i in range(len(w) - size + 1) if size}
+    kept = []
+    for r in rows:
+        data = r["text"].encode()
+        found = list(word.finditer(data))
+        w = [m[0].lower() for m in found]
+        hit = set()
+        for size in {len(g) for g in grams}:
+            for i in range(len(w) - size + 1):
+                if tuple(w[i : i + size]) in grams:
+                    hit |= set(range(i, i + size))
+        if 2 * len(hit) > len(w):
+            continue
+        left, at = b"", 0
+        for i in sorted(hit):
+            if i - 1 not in hit:
+                left += data[at : found[i].start()]
+            if i + 1 not in hit:
+                at = found[i].end()
+        text = (left + data[at:]).decode()
+        kept.append(r | ({"text": text, "n_chars": len(text)} if hit else {}))
+
+    seen = {id(r): pii.candidates(r["text"]) for r in kept}
+    model = pii.learn(sorted((*x, n) for x, n in Counter((c[0], c[4], c[5]) for f in seen.values() for c in f).items()))
+    masked = []
+    for r in kept:
+        text, at = "", 0
+        for kind, a, b, base, votes, shape in seen[id(r)]:
+            if base or model.probability(kind, votes, shape) >= 0.5:
+                if a >= at:
+                    text += r["text"][at:a] + f"[{pii.KINDS[kind]}]"
+                at = max(at, b)
+        text += r["text"][at:]
+        masked.append(r | ({"text": text, "n_chars": len(text)} if at else {}))
+    return [
+        (r["doc_id"], r["text"], r["lang"], r["source"], r["n_chars"], n, of_source, taken, round(target, 6), round(p, 6))
+        for r, n, of_source, target, taken, at in mixed_by_hand(masked) for p in at
+    ]
+
+
+def test_pipeline(spark, docs, benchmark, empty, tmp_path):
     docs.write.parquet(f"{tmp_path}/documents.parquet")
     benchmark.write.parquet(f"{tmp_path}/benchmark.parquet")
     held = spark.read.parquet(f"{tmp_path}/documents.parquet")
@@ -469,7 +558,29 @@ def test_pipeline(spark, docs, benchmark, tmp_path):
         assert held.count() > 0
     ids = {r.doc_id for r in held.select("doc_id").collect()}
     assert {1, 2, 3, 4, 12}.isdisjoint(ids) and {8, 13, 14} <= ids
-    assert corpus_pipeline.run(spark, str(tmp_path)).count() > 0
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert [r.position for r in got] == sorted(r.position for r in got)
+    rows = [r.asDict() for r in docs.collect()]
+    want = pipeline_by_hand(rows, [r.text for r in benchmark.collect()])
+    same([(r.doc_id, r.text, r.lang, r.source, r.n_chars, r.size, r.source_size, r.taken, round(r.target, 6), round(r.position, 6)) for r in got], want)
+
+
+def test_pipeline_on_the_test_tables(spark, sf_dir):
+    rows = [r.asDict() for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    items = [r.text for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
+    got = corpus_pipeline.run(spark, sf_dir).collect()
+    want = pipeline_by_hand(rows, items)
+    got = sorted((r.doc_id, r.text, r.size, r.source_size, r.taken, r.position) for r in got)
+    want = sorted((d, t, n, s, taken, p) for d, t, _, _, _, n, s, taken, _, p in want)
+    assert [r[:5] for r in got] == [r[:5] for r in want]
+    assert [r[5] for r in got] == pytest.approx([r[5] for r in want], abs=1e-5)
+
+
+def test_pipeline_of_empty_tables(spark, empty, benchmark, tmp_path):
+    empty.write.parquet(f"{tmp_path}/documents.parquet")
+    benchmark.limit(0).write.parquet(f"{tmp_path}/benchmark.parquet")
+    done = corpus_pipeline.run(spark, str(tmp_path))
+    assert done.count() == 0 and {"doc_id", "text", "position"} <= set(done.columns)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
