@@ -22,27 +22,41 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near duplicates, the one with the smallest id."""
+    """Keeps one document of each group of near duplicates, the one with the smallest id.
+
+    Texts without words are near duplicates of each other. A null id is larger than any; of equal rows one stays.
+    """
     prepared(spark)
     return simhash.deduplicate(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cuts benchmark passages out of the texts and drops texts that are mostly benchmark."""
+    """Cuts benchmark passages out of the texts and drops texts that are mostly benchmark.
+
+    Null texts and texts without words have no passage and stay, as all do beside an empty benchmark; equal
+    rows are treated alike.
+    """
     prepared(spark)
     return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replaces personal data by its kind in brackets."""
+    """Replaces personal data by its kind in brackets.
+
+    Null and empty texts stay as they are; equal rows are treated alike, each for itself.
+    """
     prepared(spark)
     return pii.mask_personal_data(docs)
 
 
 def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row for every time the mix takes a document, in training order, without the texts."""
+    """One row, text included, for every time the mix takes a document, in training order.
+
+    Documents without words are never taken; a null source is a source of its own; equal positions are ordered
+    by id; equal rows are taken each for itself.
+    """
     prepared(spark)
-    return mixing.training_order(mixing.mix(docs))
+    return mixing.training_set(docs)
 
 
 STAGES = [
@@ -53,7 +67,8 @@ STAGES = [
     ("mixing_sources", mixing_sources),
 ]
 
-# SQL tells neither language mixtures nor fingerprints; tests hold the run against brute force.
+# SQL tells neither language mixtures nor fingerprints; a test holds all rows of the run against a version
+# in plain Python.
 ORACLE_SQL = None
 
 
