@@ -145,13 +145,20 @@ def training_set(docs: DataFrame) -> DataFrame:
     range-sorted by training position.
 
     Columns: those of `docs`, then `size, source_size, target, taken, position`, which replace columns of
-    these names. A document that the mix cuts is there whole; `taken` tells how many words count. The mix is made without the
-    texts; they are joined to it once. Nulls, ties, repeated rows and empty tables are treated as in `mix`.
+    these names. A document that the mix cuts is there whole; `taken` tells how many words count. Nulls, ties,
+    repeated rows and empty tables are treated as in `mix`.
+
+    The mix is made without the texts. They are joined to it by a digest of id, source and text, so texts move twice: to
+    their positions' rows and into order. Rows alike in these three are told apart by turns; they meet in one task.
     """
-    numbered = materialise(docs.withColumn("__at", F.monotonically_increasing_id()), "numbered")
-    mixed = mix(numbered, carry=("__at",)).filter(F.size("positions") > 0)
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in ("doc_id", "source", "text")]
+    keyed = docs.withColumn("__key", F.md5(F.concat_ws("\1", *parts).cast("binary")))
     numbers = ("size", "source_size", "target", "taken")
-    taken = mixed.select("__at", *numbers, F.explode("positions").alias("position"))
     kept = [c for c in docs.columns if c not in (*numbers, "position")]
-    rows = numbered.select("__at", *kept).join(taken, "__at")
-    return rows.select(*kept, *numbers, "position").sort("position", "doc_id")
+    turn = F.row_number().over(Window.partitionBy("__key").orderBy(F.lit(0)))
+    rows = keyed.select(*kept, "__key", turn.alias("__row"))
+    mixed = mix(keyed, carry=("__key",)).select("__key", *numbers, "positions", turn.alias("__turn"))
+    taken = mixed.filter(F.size("positions") > 0)
+    # Not an equality of columns, so that the rows stay dealt by their key alone.
+    both = rows.join(taken.withColumnRenamed("__key", "__other"), (F.col("__key") == F.col("__other")) & (F.col("__row") - F.col("__turn") == 0))
+    return both.select(*kept, *numbers, F.explode("positions").alias("position")).sort("position", "doc_id")
