@@ -1,9 +1,14 @@
 """Language-model scoring: a causal self-attention model over subword ids, in numpy.
 
-Words are cut into ids of a public vocabulary. The model predicts the class of the next id; counts over all
-training ids tell the id within its class. Class logits are the log shares of the classes after the last id,
-over all training ids, plus what one head of masked self-attention reads from the context. Every task trains
-on all blocks of its own part of the corpus, and Spark averages the weights by the blocks behind them.
+Words are cut into ids of a public vocabulary. The next id either begins a word (or is the end) or goes on with
+the present one. One head of masked self-attention reads the context and adds to the logits of classes, whose
+start is the log shares of the classes after the last id; counts over all training ids tell the id within its
+class. What is seen often needs no model: the frequent words, as a tree of their ids, say how often a word goes on
+with an id or ends after the ids read so far. Both opinions are mixed; the share of either, by how often the ids
+read so far were seen, is learned with the weights, each training word being left out of its own counts.
+
+Training parts hold about PART_WORDS words each whatever the files, and Spark averages their weights by the blocks
+behind them.
 
 A text is cut into overlapping context windows of 2 * STRIDE ids, STRIDE apart; each id is scored once, in
 the window in which it lies in the later half.
@@ -27,17 +32,21 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r" ?[^\x20\x09-\x0D]+"  # a word with its blank
 STRIDE = 16
 WIDTH = 16  # of the model
+STARTS = 64  # classes of ids that begin a word, the first ones
 CLASSES = 128
 OWN_ROWS = 1024  # ids with a row of their own, by count; the others share their class's
 ROWS = OWN_ROWS + CLASSES
 TRUST = 5.0  # pseudo-counts of the shares without regard to the last id
-ROUNDS = 2
+SEEN = 20  # levels of how often the ids of a word so far were seen: 0 never, then by powers of two
+BEGIN = SEEN  # the level of a text's first id, which begins a word for sure
+ROUNDS = 1
+PART_WORDS = 1_000_000  # of training texts in a part
 SHUFFLED = 8192  # blocks in random order at once; a task trains on all it has
 STEP_BLOCKS = 128
-SLOWER = 64  # steps; well beyond them the rate falls as one over their root
+SLOWER = 256  # steps; well beyond them the rate falls as one over their root
 FREQUENT = 1 << 16  # words whose counts are sent to every task; the others are joined
 KEPT_WORDS = 200_000  # in a task's tables of words
-SCORED_AT_ONCE = 512  # blocks, so that their logits stay in a core's cache
+SCORED_AT_ONCE = 128  # blocks, so that their logits stay in a core's cache
 LARGE = 60.0  # logits above are shifted before they are raised
 
 FOLDS, HELD_OUT = 7, 2
@@ -64,21 +73,54 @@ class Remembered(dict):
 
 
 class Subwords:
-    """Ids of words."""
+    """Ids of words, each with what the frequent words say of the id after it.
+
+    `frequent` are counts of words. With `leave_one_out` a word's own occurrence does not count.
+    """
 
-    def __init__(self, ranks: dict[bytes, int]):
+    def __init__(self, ranks: dict[bytes, int], frequent: dict[bytes, int] | None = None, leave_one_out=False):
         import tiktoken
 
         self.encode = tiktoken.Encoding(
             "subwords", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}
         ).encode_ordinary
         self.end = len(ranks)
-        self.packed = Remembered(lambda word: np.array(self.encode(" " + word.decode()), dtype=np.int32).tobytes())
-        self.packed_end = np.array([self.end], dtype=np.int32).tobytes()
-
-    def ids(self, words: list[bytes]) -> np.ndarray:
-        """Ids of a text, then the end."""
-        return np.frombuffer(b"".join([*map(self.packed.__getitem__, words), self.packed_end]), dtype=np.int32)
+        self.frequent, self.less = frequent or {}, int(leave_one_out)
+        self.through: Counter = Counter()  # words that begin with these ids
+        for word, n in self.frequent.items():
+            ids = self.of(word)
+            for k in range(1, len(ids) + 1):
+                self.through[ids[:k]] += n
+        self.packed = Remembered(self.pack)
+        self.first = np.array([0, _bits(1.0), BEGIN], dtype=np.int32).tobytes()[4:]
+        self.last = np.array([self.end], dtype=np.int32).tobytes()
+
+    def of(self, word: bytes) -> tuple[int, ...]:
+        return tuple(self.encode(" " + word.decode()))
+
+    def pack(self, word: bytes) -> bytes:
+        """For each id: the id, the share of what follows it, and the level of that share."""
+        ids = self.of(word)
+        own = self.frequent.get(word, 0)
+        less = min(self.less, own)
+        out = []
+        for k in range(1, len(ids) + 1):
+            before = self.through.get(ids[:k], 0) - less
+            after = (self.through.get(ids[: k + 1], 0) if k < len(ids) else own) - less
+            level = min(before.bit_length(), SEEN - 1) if before > 0 else 0
+            out += [ids[k - 1], _bits(after / before if level else 0.0), level]
+        return np.array(out, dtype=np.int32).tobytes()
+
+    def text(self, words: list[bytes]) -> np.ndarray:
+        """Rows `(share, level, id)` of a text, the end included: `share` is of the id itself, or of any
+        beginning if it begins a word."""
+        data = b"".join([self.first, *map(self.packed.__getitem__, words), self.last])
+        return np.frombuffer(data, dtype=np.int32).reshape(-1, 3)
+
+
+def _bits(share: float) -> int:
+    """The bits of a float32, as an int32."""
+    return int(np.float32(share).view(np.int32))
 
 
 def tokens(text: bytes | None) -> list[bytes]:
@@ -98,18 +140,22 @@ class Classes:
     class_share: np.ndarray
 
     @staticmethod
-    def fit(counts: np.ndarray) -> "Classes":
-        """The most frequent ids have classes of their own; the others share classes of like frequency."""
+    def fit(counts: np.ndarray, begins: np.ndarray) -> "Classes":
+        """The most frequent ids that begin words, and that do not, have classes of their own; the others share
+        classes of like frequency."""
         weight = counts + 1.0
         order = np.argsort(-weight, kind="stable")
         rank = np.empty(len(order), dtype=np.int64)
         rank[order] = np.arange(len(order))
-        own = CLASSES * 3 // 4
-        mass = np.cumsum(weight[order[own:]])
-        shared = own + np.minimum(mass * (CLASSES - own) // mass[-1], CLASSES - own - 1).astype(np.int64)
         of = np.empty(len(order), dtype=np.int64)
-        of[order[:own]] = np.arange(min(own, len(order)))
-        of[order[own:]] = shared
+        for kind, first, n in ((begins, 0, STARTS), (~begins, STARTS, CLASSES - STARTS)):
+            ids = order[kind[order]]
+            own = n * 3 // 4
+            of[ids[:own]] = first + np.arange(min(own, len(ids)))
+            mass = np.cumsum(weight[ids[own:]])
+            if len(mass):
+                shared = np.minimum(mass * (n - own) // mass[-1], n - own - 1).astype(np.int64)
+                of[ids[own:]] = first + own + shared
         row = np.where(rank < OWN_ROWS, rank, OWN_ROWS + of)
         in_row = np.bincount(row, weights=weight, minlength=ROWS)
         class_of_row = np.zeros(ROWS, dtype=np.int64)
@@ -121,6 +167,14 @@ class Classes:
         )
 
 
+def begin_words(ranks: dict[bytes, int]) -> np.ndarray:
+    """Which ids begin a word: those that begin with a blank, and the end."""
+    out = np.ones(len(ranks) + 1, dtype=bool)
+    for token, i in ranks.items():
+        out[i] = token.startswith(b" ")
+    return out
+
+
 @dataclass(frozen=True)
 class Pairs:
     """Log share of each class after a row, and of each row within its class after a row."""
@@ -143,29 +197,54 @@ class Pairs:
         )
 
 
-def blocks(texts: list[np.ndarray], end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Windows of inputs, of targets, and the text of each: inputs begin with an end, -1 is no id.
+@dataclass(frozen=True)
+class Blocks:
+    """Windows of inputs, and their targets with what the frequent words say of them; -1 is no id.
 
     A row of targets holds STRIDE ids, and its inputs the STRIDE ids before those of the targets as well.
     """
-    inputs, targets, owner = [], [], []
-    for k, ids in enumerate(texts):
-        n = -(-len(ids) // STRIDE)
-        target = np.full(n * STRIDE, -1, dtype=np.int32)
-        target[: len(ids)] = ids
+
+    inputs: np.ndarray
+    targets: np.ndarray
+    shares: np.ndarray
+    levels: np.ndarray
+    owner: np.ndarray  # number of the text
+
+    def __len__(self) -> int:
+        return len(self.inputs)
+
+    def part(self, rows) -> "Blocks":
+        return Blocks(*(v[rows] for v in self.__dict__.values()))
+
+    def and_then(self, more: "Blocks") -> "Blocks":
+        return Blocks(*(np.concatenate(p) for p in zip(self.__dict__.values(), more.__dict__.values())))
+
+
+def blocks(texts: list[np.ndarray], end: int) -> Blocks:
+    """Blocks of texts as `Subwords.text` gives them; inputs begin with an end."""
+    held = []
+    for k, rows in enumerate(texts):
+        n = -(-len(rows) // STRIDE)
+        padded = np.full((n * STRIDE, 3), -1, dtype=np.int32)
+        padded[: len(rows)] = rows
+        padded[len(rows) :, :2] = 0
         read = np.full((n + 1) * STRIDE, -1, dtype=np.int32)
         read[STRIDE] = end
-        read[STRIDE + 1 : STRIDE + len(ids)] = ids[:-1]
+        read[STRIDE + 1 : STRIDE + len(rows)] = rows[:-1, 2]
         read = read.reshape(-1, STRIDE)
-        inputs.append(np.hstack([read[:-1], read[1:]]))
-        targets.append(target.reshape(-1, STRIDE))
-        owner.append(np.full(n, k))
-    return np.vstack(inputs), np.vstack(targets), np.concatenate(owner)
+        held.append((np.hstack([read[:-1], read[1:]]), padded, np.full(n, k)))
+    padded = np.vstack([h[1] for h in held])
+    share, level, target = (np.ascontiguousarray(padded[:, c]).reshape(-1, STRIDE) for c in range(3))
+    return Blocks(
+        np.vstack([h[0] for h in held]), target, share.view(np.float32), level,
+        np.concatenate([h[2] for h in held]),
+    )
 
 
 SHAPES = {
     "embed": (ROWS, WIDTH), "place": (2 * STRIDE, WIDTH), "query": (WIDTH, WIDTH),
     "key": (WIDTH, WIDTH), "value": (WIDTH, WIDTH), "mix": (WIDTH, WIDTH), "out": (WIDTH, CLASSES),
+    "counted": (SEEN + 1,),
 }
 MASK = np.where(
     np.arange(2 * STRIDE)[None, :] <= STRIDE + np.arange(STRIDE)[:, None], 0, -1e9
@@ -175,9 +254,9 @@ MASK = np.where(
 def start(seed: int = 7) -> dict[str, np.ndarray]:
     r = np.random.default_rng(seed)
     scale = {"embed": 0.1, "place": 0.02, "out": 0.02}
-    return {
-        k: (r.standard_normal(s) * scale.get(k, 0.25)).astype(np.float32) for k, s in SHAPES.items()
-    }
+    out = {k: (r.standard_normal(s) * scale.get(k, 0.25)).astype(np.float32) for k, s in SHAPES.items()}
+    out["counted"] = np.full(SEEN + 1, 0.5, dtype=np.float32)  # share of the frequent words' opinion, by level
+    return out
 
 
 def flat(weights: dict[str, np.ndarray]) -> np.ndarray:
@@ -223,30 +302,58 @@ class Attention:
             "added": h.reshape(-1, WIDTH) @ w["out"],
         }
 
-    def log_p(self, inputs: np.ndarray, targets: np.ndarray) -> np.ndarray:
+    def log_p(self, b: Blocks) -> np.ndarray:
         """Natural log probability of each target; 0 where there is none."""
-        f = self.forward(inputs)
-        added, last, wanted = f["added"], f["last"], targets.ravel()
+        f = self.forward(b.inputs)
+        added, last, wanted = f["added"], f["last"], b.targets.ravel()
         if added.max() > LARGE:
             added -= added.max(axis=1, keepdims=True)
-        of, row = self.classes.of[wanted], self.classes.row[wanted]
+        of = self.classes.of[wanted]
         chosen = added[np.arange(len(wanted)), of] + self.pairs.classes[last, of]
-        within = self.pairs.rows[last, row] + self.classes.log_share[wanted]
         np.exp(added, out=added)
-        total = np.einsum("ij,ij->i", added, self.share[last])
-        got = chosen - np.log(total) + within
-        return np.where(wanted >= 0, got, 0.0).reshape(targets.shape)
-
-    def gradient(self, inputs: np.ndarray, targets: np.ndarray) -> dict[str, np.ndarray]:
-        w, f = self.w, self.forward(inputs)
-        wanted = targets.ravel()
+        share = self.share[last]
+        starts = np.einsum("ij,ij->i", added[:, :STARTS], share[:, :STARTS])
+        total = starts + np.einsum("ij,ij->i", added[:, STARTS:], share[:, STARTS:])
+        got = self.mixed(b, chosen + self.within(last, wanted), np.log(starts), np.log(total))[0]
+        return np.where(wanted >= 0, got, 0.0).reshape(b.targets.shape)
+
+    def within(self, last: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+        """Log share of an id in its class."""
+        return self.pairs.rows[last, self.classes.row[wanted]] + self.classes.log_share[wanted]
+
+    def mixed(self, b: Blocks, chosen, starts, total) -> tuple[np.ndarray, np.ndarray]:
+        """Log probability of each target, and how much of it the attention answers for.
+
+        `chosen`, `starts` and `total` are logs of the attention's mass of the target, of all beginnings and of
+        all ids. The two opinions are mixed on whether a word begins; which one, the attention tells.
+        """
+        begins = self.classes.of[b.targets.ravel()] < STARTS
+        counted = self.w["counted"][b.levels.ravel()]
+        mine = (1 - counted) * np.exp(np.where(begins, starts, chosen) - total)
+        both = np.maximum(mine + counted * b.shares.ravel(), 1e-30)
+        return np.where(begins, chosen - starts, 0.0) + np.log(both), mine / both
+
+    def gradient(self, b: Blocks) -> tuple[dict[str, np.ndarray], np.ndarray]:
+        """Of the mean loss, and for each target how much the attention answers for it."""
+        w, inputs, f = self.w, b.inputs, self.forward(b.inputs)
+        wanted = b.targets.ravel()
         there = wanted >= 0
+        at = np.arange(len(wanted)), self.classes.of[wanted]
         p = f["added"] + self.pairs.classes[f["last"]]
-        p = np.exp(p - p.max(axis=1, keepdims=True))
-        p /= p.sum(axis=1, keepdims=True)
-        p[np.arange(len(wanted)), self.classes.of[wanted]] -= 1
-        p[~there] = 0
-        p /= max(1, there.sum())
+        p -= p.max(axis=1, keepdims=True)
+        chosen = p[at] + self.within(f["last"], wanted)
+        np.exp(p, out=p)
+        starts = p[:, :STARTS].sum(axis=1)
+        total = starts + p[:, STARTS:].sum(axis=1)
+        mine = self.mixed(b, chosen, np.log(starts), np.log(total))[1]
+        begins = at[1] < STARTS
+        one = np.where(begins, 1, mine)
+        one /= max(1, there.sum())
+        one[~there] = 0
+        of_all = mine * there / max(1, there.sum())
+        p[:, :STARTS] *= (of_all / total + (one - of_all) * begins / starts).astype(np.float32)[:, None]
+        p[:, STARTS:] *= (of_all / total).astype(np.float32)[:, None]
+        p[at] -= one.astype(np.float32)
         g = {"out": f["h"].reshape(-1, WIDTH).T @ p}
         dh = (p @ w["out"].T).reshape(f["h"].shape)
         g["mix"] = f["read"].reshape(-1, WIDTH).T @ dh.reshape(-1, WIDTH)
@@ -264,7 +371,7 @@ class Attention:
         g["place"] = dx.sum(axis=0)
         place = self.classes.row[inputs].reshape(-1, 1) * WIDTH + np.arange(WIDTH)
         g["embed"] = np.bincount(place.ravel(), dx.ravel(), ROWS * WIDTH).reshape(ROWS, WIDTH).astype(np.float32)
-        return g
+        return g, mine
 
 
 class Learner:
@@ -275,35 +382,42 @@ class Learner:
         self.first = {k: np.zeros_like(v) for k, v in model.w.items()}
         self.second = {k: np.zeros_like(v) for k, v in model.w.items()}
         self.steps = self.seen = 0
-        self.rest: tuple[np.ndarray, np.ndarray] | None = None
+        self.counted, self.levels = np.zeros(SEEN + 1), np.zeros(SEEN + 1)
+        self.rest: Blocks | None = None
 
-    def learn(self, inputs: np.ndarray, targets: np.ndarray) -> None:
+    def learn(self, new: Blocks) -> None:
         """Whole steps over the blocks in random order; what is left over waits for the next ones."""
         if self.rest is not None:
-            inputs, targets = np.vstack([self.rest[0], inputs]), np.vstack([self.rest[1], targets])
-        order = self.random.permutation(len(inputs))
+            new = self.rest.and_then(new)
+        order = self.random.permutation(len(new))
         whole = len(order) - len(order) % STEP_BLOCKS
         for at in range(0, whole, STEP_BLOCKS):
-            part = order[at : at + STEP_BLOCKS]
-            self.step(inputs[part], targets[part])
-        self.rest = inputs[order[whole:]], targets[order[whole:]]
+            self.step(new.part(order[at : at + STEP_BLOCKS]))
+        self.rest = new.part(order[whole:])
 
     def finish(self) -> None:
         """A last step over what is left."""
-        if self.rest is not None and len(self.rest[0]):
-            self.step(*self.rest)
+        if self.rest is not None and len(self.rest):
+            self.step(self.rest)
         self.rest = None
 
-    def step(self, inputs: np.ndarray, targets: np.ndarray) -> None:
+    def step(self, b: Blocks) -> None:
         first, second, w = self.first, self.second, self.model.w
         rate = self.rate / math.sqrt(1 + self.steps / SLOWER)
         self.steps += 1
-        self.seen += len(inputs)
-        for k, g in self.model.gradient(inputs, targets).items():
+        self.seen += len(b)
+        gradient, mine = self.model.gradient(b)
+        for k, g in gradient.items():
             first[k] = 0.9 * first[k] + 0.1 * g
             second[k] = 0.99 * second[k] + 0.01 * g * g
             size_of = np.sqrt(second[k] / (1 - 0.99**self.steps)) + 1e-8
             w[k] = w[k] - rate * (first[k] / (1 - 0.9**self.steps)) / size_of
+        # The shares of the two opinions by expectation-maximisation; old steps fade.
+        there = b.targets.ravel() >= 0
+        levels = b.levels.ravel()[there]
+        self.counted = 0.98 * self.counted + np.bincount(levels, 1 - mine[there], SEEN + 1)
+        self.levels = 0.98 * self.levels + np.bincount(levels, minlength=SEEN + 1)
+        w["counted"] = ((self.counted + 1) / (self.levels + 2)).astype(np.float32)
 
 
 def _rows(**columns: pa.Array) -> pa.RecordBatch:
@@ -393,27 +507,31 @@ def pairs_between(ranks: dict[bytes, int], classes: Classes):
     return count
 
 
-def train_part(ranks: dict[bytes, int], classes: Classes, pairs: Pairs, weights: np.ndarray, seed: int = 0):
+def train_part(
+    ranks: dict[bytes, int], frequent: dict[bytes, int], classes: Classes, pairs: Pairs, weights: np.ndarray,
+    seed: int = 0,
+):
     """`(id, w, n)`: the weights after one pass over all blocks of a task's texts, and how many those are.
 
     Blocks are made and shuffled about SHUFFLED at once, so that memory does not grow with the partition.
     """
 
     def train(batches):
-        subwords = Subwords(ranks)
-        learner = Learner(Attention(unflat(weights), classes, pairs), seed)
-        texts, n = [], 0
+        subwords, learner, texts, n = None, None, [], 0
         for batch in batches:
+            if subwords is None:
+                subwords = Subwords(ranks, frequent, leave_one_out=True)
+                learner = Learner(Attention(unflat(weights), classes, pairs), seed)
             for text in batch["text"]:
-                texts.append(subwords.ids(tokens(text.as_py())))
+                texts.append(subwords.text(tokens(text.as_py())))
                 n += -(-len(texts[-1]) // STRIDE)
                 if n >= SHUFFLED:
-                    learner.learn(*blocks(texts, subwords.end)[:2])
+                    learner.learn(blocks(texts, subwords.end))
                     texts, n = [], 0
         if texts:
-            learner.learn(*blocks(texts, subwords.end)[:2])
-        learner.finish()
-        if learner.seen:
+            learner.learn(blocks(texts, subwords.end))
+        if learner is not None:
+            learner.finish()
             found = flat(learner.model.w)
             yield _rows(
                 id=pa.array(np.arange(len(found), dtype=np.int32)), w=pa.array(found.astype(np.float64)),
@@ -426,16 +544,28 @@ def train_part(ranks: dict[bytes, int], classes: Classes, pairs: Pairs, weights:
 @dataclass(frozen=True)
 class Model:
     ranks: dict[bytes, int]
+    frequent: dict[bytes, int]
     classes: Classes
     pairs: Pairs
     weights: np.ndarray
 
 
-def train(texts: DataFrame, counts: DataFrame, vocabulary: str = VOCABULARY, rounds: int = ROUNDS) -> Model:
-    """Model from all rows of `texts (text)` (binary) and their word counts `(word, n)`.
+def in_parts(texts: DataFrame, words: int) -> DataFrame:
+    """`texts (doc_id, text)` dealt into parts of about PART_WORDS of the corpus's `words`, in an order of their
+    own: which texts a part holds, and their order in it, do not depend on the files."""
+    parts = max(1, -(-words // PART_WORDS))
+    place = F.xxhash64("doc_id", "text")
+    return texts.repartition(parts, place).sortWithinPartitions(place, "doc_id").select("text")
+
+
+def train(
+    texts: DataFrame, counts: DataFrame, frequent: dict[bytes, int], words: int, vocabulary: str = VOCABULARY,
+    rounds: int = ROUNDS,
+) -> Model:
+    """Model from all rows of `texts (doc_id, text)` (binary), their `words` words and the counts `(word, n)`.
 
     Ids and pairs of rows are counted over the whole corpus. In every round all its blocks are trained on, each
-    task's in another order than before, and the mean of the tasks' weights, by their blocks, starts the next
+    part's in another order than before, and the mean of the parts' weights, by their blocks, starts the next
     round. The driver gets sums and means of fixed size: 50,257 counts, ROWS ** 2 pairs, and the weights.
     """
     ranks = read_vocabulary(vocabulary)
@@ -447,21 +577,22 @@ def train(texts: DataFrame, counts: DataFrame, vocabulary: str = VOCABULARY, rou
         return out
 
     classes = Classes.fit(
-        summed(counts.mapInArrow(count_ids(ranks), "id int, n long"), len(ranks) + 1)
+        summed(counts.mapInArrow(count_ids(ranks), "id int, n long"), len(ranks) + 1), begin_words(ranks)
     )
     within = counts.mapInArrow(pairs_within(ranks, classes), "id int, n long")
-    between = texts.mapInArrow(pairs_between(ranks, classes), "id int, n long")
+    between = texts.select("text").mapInArrow(pairs_between(ranks, classes), "id int, n long")
     counted = summed(within.union(between), ROWS**2)
     pairs = Pairs.fit(counted.reshape(ROWS, ROWS), classes)
     weights = flat(start())
+    parts = in_parts(texts, words)
     for k in range(rounds):
-        part = train_part(ranks, classes, pairs, weights, k)
-        trained = texts.mapInArrow(part, "id int, w double, n long")
+        part = train_part(ranks, frequent, classes, pairs, weights, k)
+        trained = parts.mapInArrow(part, "id int, w double, n long")
         by_blocks = (F.sum(F.col("w") * F.col("n")) / F.sum("n")).alias("w")
         mean = trained.groupBy("id").agg(by_blocks).toPandas().sort_values("id")
         if len(mean):
             weights = mean["w"].to_numpy()
-    return Model(ranks, classes, pairs, weights)
+    return Model(ranks, frequent, classes, pairs, weights)
 
 
 SCORED = (
@@ -470,23 +601,23 @@ SCORED = (
 )
 
 
-def score_part(model: Model, frequent: dict[bytes, int], ends: int):
+def score_part(model: Model, ends: int):
     """Scores of the model, and what the frequent words add to the base score; other words are listed.
 
     Texts are scored in lists of about 2 ** 15 ids, a long text in parts of the like.
     """
 
     def flush(held, attention, end):
-        inputs, targets, owner = blocks(held, end)
+        rows = blocks(held, end)
         out = np.zeros(len(held))
-        for at in range(0, len(inputs), SCORED_AT_ONCE):
-            part = slice(at, at + SCORED_AT_ONCE)
-            got = attention.log_p(inputs[part], targets[part]).sum(axis=1)
-            out += np.bincount(owner[part], weights=got, minlength=len(held))
+        for at in range(0, len(rows), SCORED_AT_ONCE):
+            part = rows.part(slice(at, at + SCORED_AT_ONCE))
+            out += np.bincount(part.owner, weights=attention.log_p(part).sum(axis=1), minlength=len(held))
         return out / math.log(10)
 
     def score(batches):
-        subwords = Subwords(model.ranks)
+        frequent = model.frequent
+        subwords = Subwords(model.ranks, frequent)
         attention = Attention(unflat(model.weights), model.classes, model.pairs)
         for batch in batches:
             doc_ids, held_out = batch["doc_id"], batch["held_out"]
@@ -502,7 +633,7 @@ def score_part(model: Model, frequent: dict[bytes, int], ends: int):
                 known.append(math.fsum(n * math.log10(c + 1) for n, c in seen) + math.log10(ends + 1))
                 rare.append(list(other))
                 rare_n.append(list(other.values()))
-                held.append(subwords.ids(words))
+                held.append(subwords.text(words))
                 used += len(held[-1])
                 if used > 1 << 15:
                     scores += flush(held, attention, subwords.end).tolist()
@@ -532,9 +663,9 @@ def score_texts(docs: DataFrame, held_out: Column | None = None, vocabulary: str
         F.col("doc_id").cast("long").alias("doc_id"), held_out.alias("held_out"),
         F.coalesce("text", F.lit("")).cast("binary").alias("text"),
     )
-    training = rows.filter("not held_out").select("text")
+    training = rows.filter("not held_out").select("doc_id", "text")
     counts = materialise(
-        training.mapInArrow(count_words, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")),
+        training.select("text").mapInArrow(count_words, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")),
         "words",
     )
     sums = counts.agg(
@@ -544,8 +675,8 @@ def score_texts(docs: DataFrame, held_out: Column | None = None, vocabulary: str
     words = counts.filter("word is not null")
     top = words.orderBy(F.desc("n"), "word").limit(FREQUENT).collect()
     frequent = {bytes(r.word): r.n for r in top}
-    model = train(training, counts, vocabulary)
-    scored = rows.mapInArrow(score_part(model, frequent, ends), SCORED)
+    model = train(training, counts, frequent, total, vocabulary)
+    scored = rows.mapInArrow(score_part(model, ends), SCORED)
     scored = materialise(scored.withColumn("row", F.monotonically_increasing_id()), "scored")
     rare = scored.select("row", F.explode(F.arrays_zip("rare", "rare_n")).alias("r")).select(
         "row", F.col("r.rare").alias("word"), F.col("r.rare_n").alias("times")

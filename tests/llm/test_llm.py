@@ -413,43 +413,107 @@ def test_language_model(docs, empty):
     assert lm.score_texts(empty).count() == 0
 
 
+def attention_over(ids, seed=0):
+    """A model over `ids` ids, every other one of which begins a word, with uneven shares of the two opinions."""
+    np = lm.np
+    r = np.random.default_rng(seed)
+    classes = lm.Classes.fit(r.integers(1, 50, ids).astype(float), np.arange(ids) % 2 == 0)
+    there = np.bincount(classes.row, minlength=lm.ROWS) > 0
+    pairs = lm.Pairs.fit(r.integers(0, 3, (lm.ROWS, lm.ROWS)) * (there * 1.0), classes)
+    weights = lm.start()
+    weights["counted"] = np.linspace(0, 0.9, lm.SEEN + 1).astype(np.float32)
+    return r, lm.Attention(weights, classes, pairs)
+
+
 def test_gradient_of_attention():
     np = lm.np
-    r = np.random.default_rng(0)
-    classes = lm.Classes.fit(r.integers(1, 50, 300).astype(float))
-    pairs = lm.Pairs.fit(r.integers(0, 3, (lm.ROWS, lm.ROWS)).astype(float), classes)
-    inputs, targets, _ = lm.blocks([r.integers(0, 299, 40).astype(np.int32)], 299)
-    model = lm.Attention(lm.start(), classes, pairs)
-    gradient = model.gradient(inputs, targets)
+    r, model = attention_over(300)
+    rows = np.empty((40, 3), dtype=np.int32)
+    rows[:, 0] = r.random(40).astype(np.float32).view(np.int32)
+    rows[:, 1], rows[:, 2] = r.integers(0, lm.SEEN + 1, 40), r.integers(0, 299, 40)
+    b = lm.blocks([rows], 299)
+    gradient, mine = model.gradient(b)
+    assert ((0 <= mine) & (mine <= 1.0001)).all()
     for name in ("query", "key", "value", "mix", "out", "place"):
         place = np.unravel_index(np.abs(gradient[name]).argmax(), gradient[name].shape)
         held, step, loss = model.w[name][place], 1e-2, []
         for sign in (1, -1):
             model.w[name][place] = held + sign * step
-            loss.append(-model.log_p(inputs, targets).sum() / (targets >= 0).sum())
+            loss.append(-model.log_p(b).sum() / (b.targets >= 0).sum())
         model.w[name][place] = held
         assert (loss[0] - loss[1]) / (2 * step) == pytest.approx(gradient[name][place], rel=0.05, abs=1e-4)
 
 
+def test_probabilities_of_the_next_id_add_up_to_one():
+    np = lm.np
+    r, model = attention_over(3001)
+    ids = np.arange(3001)
+    inner = np.where(ids % 2, r.random(3001), 0)
+    stop = 0.3  # how often a word ends here; the rest goes on with an inner id
+    shares = np.where(ids % 2, inner / inner.sum() * (1 - stop), stop).astype(np.float32)
+    context = r.integers(0, 3000, 20)
+    rows = np.zeros((21, 3), dtype=np.int32)
+    rows[:20, 2] = context
+    total = 0.0
+    for i in ids:
+        rows[20] = shares[i].view(np.int32), 9, i
+        total += np.exp(model.log_p(lm.blocks([rows], 3000)).ravel()[20])
+    assert total == pytest.approx(1, abs=1e-3)
+
+
+def test_frequent_words_say_what_follows():
+    np = lm.np
+    ranks = lm.read_vocabulary(lm.VOCABULARY)
+    frequent = {b"undoable": 3, b"undo": 2, b"tokenization": 4, "\u00e9t\u00e9".encode(): 1}
+    for less in (0, 1):
+        subwords = lm.Subwords(ranks, frequent, leave_one_out=bool(less))
+        words = [b"undo", b"undoable", "\u00e9t\u00e9".encode(), b"tokenizations", b"zzqx"]
+        rows = subwords.text(words)
+        shares, levels = np.ascontiguousarray(rows[:, 0]).view(np.float32).tolist(), rows[:, 1].tolist()
+        wanted = [(1.0, lm.BEGIN)]
+        for word in words:
+            ids = subwords.of(word)
+            own = frequent.get(word, 0)
+            out = min(less, own)
+            for k in range(1, len(ids) + 1):
+                before = sum(n for w, n in frequent.items() if subwords.of(w)[:k] == ids[:k]) - out
+                after = own if k == len(ids) else sum(
+                    n for w, n in frequent.items() if subwords.of(w)[: k + 1] == ids[: k + 1]
+                )
+                wanted.append(((after - out) / before, before.bit_length()) if before else (0.0, 0))
+        assert levels == [level for _, level in wanted]
+        assert shares == pytest.approx([share for share, _ in wanted])
+        assert rows[:, 2].tolist() == [i for w in words for i in subwords.of(w)] + [subwords.end]
+
+
+def test_parts_do_not_depend_on_the_files(spark, docs):
+    texts = docs.select("doc_id", lm.F.coalesce("text", lm.F.lit("")).cast("binary").alias("text"))
+    once, again = (
+        [bytes(r.text) for r in lm.in_parts(rows, 1_500_000).collect()]
+        for rows in (texts.repartition(7), texts.coalesce(1).orderBy(lm.F.desc("doc_id")))
+    )
+    assert once == again and len(once) == texts.count()
+
+
 def test_every_block_is_trained_on(monkeypatch):
     np, pa = lm.np, lm.pa
     texts = [" ".join(f"w{k * j % 9973}" for j in range(700)).encode() for k in range(1, 201)]
     ranks = lm.read_vocabulary(lm.VOCABULARY)
     subwords = lm.Subwords(ranks)
-    all_blocks = lm.blocks([subwords.ids(lm.tokens(t)) for t in texts], subwords.end)[0]
+    all_blocks = lm.blocks([subwords.text(lm.tokens(t)) for t in texts], subwords.end).inputs
     assert len(all_blocks) > 2 * 8192
-    classes = lm.Classes.fit(np.ones(len(ranks) + 1))
+    classes = lm.Classes.fit(np.ones(len(ranks) + 1), lm.begin_words(ranks))
     pairs = lm.Pairs.fit(np.zeros((lm.ROWS, lm.ROWS)), classes)
     seen = []
 
-    def gradient(model, inputs, targets):
-        seen.append(inputs)
-        return {k: np.zeros_like(v) for k, v in model.w.items()}
+    def gradient(model, b):
+        seen.append(b.inputs)
+        return {k: np.zeros_like(v) for k, v in model.w.items() if k != "counted"}, np.zeros(b.targets.size)
 
     def trained(*seed):
         seen.clear()
         batches = [pa.RecordBatch.from_arrays([pa.array(t, pa.binary())], names=["text"]) for t in (texts[:150], texts[150:])]
-        assert list(lm.train_part(ranks, classes, pairs, lm.flat(lm.start()), *seed)(iter(batches)))
+        assert list(lm.train_part(ranks, {}, classes, pairs, lm.flat(lm.start()), *seed)(iter(batches)))
         return [row.tobytes() for row in np.vstack(seen)]
 
     monkeypatch.setattr(lm.Attention, "gradient", gradient)
