@@ -41,21 +41,23 @@ def preprocess(
     *,
     forward_filled: Sequence[str] = FORWARD_FILLED,
     dropped: Sequence[str] = DROPPED_RAW,
+    ties: Sequence[str] = (),
     scale: bool = True,
     width: int | None = BLOCK_WIDTH,
 ) -> tuple[DataFrame, DataFrame]:
     """Fill forward, clip, add season and weekend, scale to [0, 1].
 
     Returns the rows and the scaler table. The filled rows are written once, because the statistics
-    and the rows themselves both read them.
+    and the rows themselves both read them. `ties` complete the order where times repeat; like keys they
+    are left as they are.
     """
     kept = drop_columns(nan_to_null(df), dropped).withColumn(TS, F.to_date(TS))
-    filled = ffill(kept, forward_filled, ts=TS, keys=keys, width=width)
+    filled = ffill(kept, forward_filled, ts=TS, keys=keys, ties=ties, width=width)
     filled = materialise(
         filled.withColumns({"season": season(F.col(TS)), "is_weekend": is_weekend(F.col(TS))}),
         "daily-filled",
     )
-    cols = numeric_columns(filled, exclude=keys)
+    cols = numeric_columns(filled, exclude=[*keys, *ties])
     rows, scaler = clip_and_scale(filled, cols, keys, unclipped=["is_weekend"], scale=scale)
     return as_category(rows, ["weather_code", "is_weekend"]), scaler
 
@@ -83,7 +85,7 @@ def engineer(
 
 
 def daily_features(
-    df: DataFrame, keys: Sequence[str] = (), *, scale: str = "after", **options
+    df: DataFrame, keys: Sequence[str] = (), *, ties: Sequence[str] = (), scale: str = "after", **options
 ) -> tuple[DataFrame, DataFrame]:
     """Raw observations to engineered rows, and the scaler table.
 
@@ -92,9 +94,9 @@ def daily_features(
     """
     if scale not in ("before", "after", "none"):
         raise ValueError(f"unknown scale order: {scale}")
-    rows, scaler = preprocess(df, keys, scale=scale == "before", **options)
+    rows, scaler = preprocess(df, keys, ties=ties, scale=scale == "before", **options)
     rows = engineer(rows, keys)
     if scale == "after":
-        measured = [c for c in numeric_columns(rows, exclude=keys) if c in df.columns]
+        measured = [c for c in numeric_columns(rows, exclude=[*keys, *ties]) if c in df.columns]
         rows = minmax_scale(rows, measured, keys, scaler)
     return rows, scaler

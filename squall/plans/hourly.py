@@ -46,17 +46,19 @@ def preprocess(
     df: DataFrame,
     keys: Sequence[str] = (),
     *,
+    ties: Sequence[str] = (),
     scale: bool = True,
     width: int | None = BLOCK_WIDTH,
 ) -> tuple[DataFrame, DataFrame]:
     """Impute by rule, add precipitation flag, season, hour and weekend, scale to [0, 1].
 
     Returns the rows and the scaler table. `weather_code` is a category and is not scaled. Columns that are
-    empty are dropped, after scaling also observed ones that are constant in every key.
+    empty are dropped, after scaling also observed ones that are constant in every key. `ties` complete the
+    order where times repeat; like keys they are left as they are.
     """
     raw = nan_to_null(df).withColumn(TS, F.to_timestamp(TS))
     filled = impute_by_rule(
-        raw, numeric_columns(raw, exclude=keys), ts=TS, keys=keys, width=width
+        raw, numeric_columns(raw, exclude=[*keys, *ties]), ts=TS, keys=keys, ties=ties, width=width
     )
     added = {
         "is_precipitation": any_positive(*map(F.col, ZERO_FILLED)),
@@ -66,7 +68,7 @@ def preprocess(
     }
     rows = as_category(materialise(filled.withColumns(added), "hourly-filled"), ["weather_code"])
     rows = drop_all_null_columns(rows)
-    cols = numeric_columns(rows, exclude=keys)
+    cols = numeric_columns(rows, exclude=[*keys, *ties])
     scaler = materialise(minmax_fit(rows, cols, keys), "hourly-scaler")
     if scale:
         flat = constant_columns(scaler, [c for c in cols if c in df.columns])
@@ -84,6 +86,7 @@ def engineer(
     df: DataFrame,
     keys: Sequence[str] = (),
     *,
+    ties: Sequence[str] = (),
     fahrenheit: bool = False,
     width: int | None = BLOCK_WIDTH,
 ) -> DataFrame:
@@ -117,6 +120,7 @@ def engineer(
         rows=ROLLING_ROWS,
         ts=TS,
         keys=keys,
+        ties=ties,
         width=width,
     )
     return rows.withColumns(
@@ -135,6 +139,7 @@ def hourly_features(
     df: DataFrame,
     keys: Sequence[str] = (),
     *,
+    ties: Sequence[str] = (),
     scale: str = "after",
     fahrenheit: bool = False,
     **options,
@@ -145,9 +150,9 @@ def hourly_features(
     """
     if scale not in ("before", "after", "none"):
         raise ValueError(f"unknown scale order: {scale}")
-    rows, scaler = preprocess(df, keys, scale=scale == "before", **options)
-    rows = engineer(rows, keys, fahrenheit=fahrenheit, **options)
+    rows, scaler = preprocess(df, keys, ties=ties, scale=scale == "before", **options)
+    rows = engineer(rows, keys, ties=ties, fahrenheit=fahrenheit, **options)
     if scale == "after":
-        measured = [c for c in numeric_columns(rows, exclude=keys) if c in df.columns]
+        measured = [c for c in numeric_columns(rows, exclude=[*keys, *ties]) if c in df.columns]
         rows = minmax_scale(rows, measured, keys, scaler).drop(*constant_columns(scaler, measured))
     return rows, scaler

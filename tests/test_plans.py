@@ -12,7 +12,7 @@ from squall.plans.daily import preprocess as preprocess_daily
 from squall.plans.hourly import engineer as engineer_hourly
 from squall.plans.hourly import hourly_features
 from squall.plans.hourly import preprocess as preprocess_hourly
-from squall.sources.schemas import DAILY_VARIABLES
+from squall.sources.schemas import DAILY_VARIABLES, HOURLY_VARIABLES
 from squall.streaming import read_stream, row_features, write_available
 
 
@@ -143,3 +143,38 @@ def test_stream_equals_batch(spark, hourly_raw, tmp_path):
     write_available(stream, out, str(tmp_path / "state"))
     got, want = spark.read.parquet(out), row_features(df.unionByName(df.limit(1)))
     assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0
+
+
+def test_daily_rows_of_equal_times_are_ordered_by_ties(spark):
+    """Two readings a day: each gap takes the reading before it by day and number, however rows are dealt."""
+    rng = np.random.default_rng(5)
+    n = 120
+    data = pd.DataFrame({v: rng.normal(10, 4, n).round(2) for v in DAILY_VARIABLES})
+    data.loc[rng.random(n) < 0.4, "temperature_2m_max"] = np.nan
+    data.insert(0, "date", np.repeat(pd.date_range("2023-05-01", periods=n // 2), 2).date)
+    data.insert(1, "reading", np.tile([1, 2], n // 2))
+    want = data.temperature_2m_max.ffill()
+    q1, q3 = want.quantile(0.25), want.quantile(0.75)
+    want = want.clip(q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1))
+    scaled = ((want - want.min()) / (want.max() - want.min())).round(3)
+    for seed, scale in ((1, "after"), (2, "before")):
+        df = spark.createDataFrame(data.sample(frac=1, random_state=seed)).repartition(3)
+        got = daily_features(df, ties=["reading"], scale=scale)[0].toPandas()
+        got = got.sort_values(["date", "reading"])
+        assert got.reading.tolist() == data.reading.tolist()
+        assert np.allclose(got.temperature_2m_max, scaled, equal_nan=True, atol=0.0011)
+
+
+def test_hourly_rolling_figures_of_equal_times_follow_ties(spark):
+    n = 60
+    data = pd.DataFrame({v: np.arange(n) % 7 + 0.5 for v in HOURLY_VARIABLES})
+    data["temperature_2m"] = np.random.default_rng(6).normal(10, 4, n).round(2)
+    data.insert(0, "datetime", np.repeat(pd.date_range("2024-01-01", periods=n // 2, freq="h"), 2))
+    data.insert(1, "reading", np.tile([1, 2], n // 2))
+    want = data.temperature_2m.rolling(24).mean()
+    for seed in (1, 2):
+        df = spark.createDataFrame(data.sample(frac=1, random_state=seed)).repartition(3)
+        got = hourly_features(df, ties=["reading"], scale="none")[0].toPandas()
+        got = got.sort_values(["datetime", "reading"])
+        assert got.reading.tolist() == data.reading.tolist()
+        assert np.allclose(got.temp_rolling_mean_24h[23:], want[23:], equal_nan=True)
