@@ -38,6 +38,7 @@ OWN_ROWS = 1024  # ids with a row of their own, by count; the others share their
 ROWS = OWN_ROWS + CLASSES
 TRUST = 5.0  # pseudo-counts of the shares without regard to the last id
 SEEN = 20  # levels of how often the ids of a word so far were seen: 0 never, then by powers of two
+DEEPEST = 32  # ids of a frequent word that are kept; what follows more than these is the attention's alone
 BEGIN = SEEN  # the level of a text's first id, which begins a word for sure
 ROUNDS = 1
 PART_WORDS = 1_000_000  # of training texts in a part
@@ -88,7 +89,7 @@ class Subwords:
         self.frequent, self.less = frequent or {}, int(leave_one_out)
         self.through: Counter = Counter()  # words that begin with these ids
         for word, n in self.frequent.items():
-            ids = self.of(word)
+            ids = self.of(word)[:DEEPEST]
             for k in range(1, len(ids) + 1):
                 self.through[ids[:k]] += n
         self.packed = Remembered(self.pack)
@@ -103,13 +104,15 @@ class Subwords:
         ids = self.of(word)
         own = self.frequent.get(word, 0)
         less = min(self.less, own)
-        out = []
-        for k in range(1, len(ids) + 1):
+        out = np.zeros((len(ids), 3), dtype=np.int32)
+        out[:, 0] = ids
+        for k in range(1, min(len(ids), DEEPEST - 1) + 1):
             before = self.through.get(ids[:k], 0) - less
+            if before <= 0:
+                break
             after = (self.through.get(ids[: k + 1], 0) if k < len(ids) else own) - less
-            level = min(before.bit_length(), SEEN - 1) if before > 0 else 0
-            out += [ids[k - 1], _bits(after / before if level else 0.0), level]
-        return np.array(out, dtype=np.int32).tobytes()
+            out[k - 1, 1:] = _bits(after / before), min(before.bit_length(), SEEN - 1)
+        return out.tobytes()
 
     def text(self, words: list[bytes]) -> np.ndarray:
         """Rows `(share, level, id)` of a text, the end included: `share` is of the id itself, or of any
@@ -256,6 +259,7 @@ def start(seed: int = 7) -> dict[str, np.ndarray]:
     scale = {"embed": 0.1, "place": 0.02, "out": 0.02}
     out = {k: (r.standard_normal(s) * scale.get(k, 0.25)).astype(np.float32) for k, s in SHAPES.items()}
     out["counted"] = np.full(SEEN + 1, 0.5, dtype=np.float32)  # share of the frequent words' opinion, by level
+    out["counted"][0] = 0
     return out
 
 
@@ -418,6 +422,7 @@ class Learner:
         self.counted = 0.98 * self.counted + np.bincount(levels, 1 - mine[there], SEEN + 1)
         self.levels = 0.98 * self.levels + np.bincount(levels, minlength=SEEN + 1)
         w["counted"] = ((self.counted + 1) / (self.levels + 2)).astype(np.float32)
+        w["counted"][0] = 0
 
 
 def _rows(**columns: pa.Array) -> pa.RecordBatch:

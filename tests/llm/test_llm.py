@@ -486,6 +486,21 @@ def test_frequent_words_say_what_follows():
         assert rows[:, 2].tolist() == [i for w in words for i in subwords.of(w)] + [subwords.end]
 
 
+def test_very_long_words_are_packed_in_linear_time():
+    np = lm.np
+    ranks = lm.read_vocabulary(lm.VOCABULARY)
+    word = b"abcdefgh01" * 10_000
+    started = time.perf_counter()
+    subwords = lm.Subwords(ranks, {word: 3, word[:1000]: 2})
+    rows = subwords.text([word])
+    assert time.perf_counter() - started < 20
+    ids = subwords.of(word)
+    assert rows[:, 2].tolist() == [*ids, subwords.end] and len(ids) > lm.DEEPEST
+    levels, shares = rows[:, 1], np.ascontiguousarray(rows[:, 0]).view(np.float32)
+    assert (levels[1 : lm.DEEPEST] == 3).all() and (shares[1 : lm.DEEPEST] == 1).all()
+    assert not levels[lm.DEEPEST :].any() and not shares[lm.DEEPEST :].any()
+
+
 def test_parts_do_not_depend_on_the_files(spark, docs):
     texts = docs.select("doc_id", lm.F.coalesce("text", lm.F.lit("")).cast("binary").alias("text"))
     once, again = (
