@@ -19,6 +19,7 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -47,8 +48,9 @@ STEP_BLOCKS = 128
 SLOWER = 256  # steps; well beyond them the rate falls as one over their root
 FREQUENT = 1 << 16  # words whose counts are sent to every task; the others are joined
 KEPT_WORDS = 200_000  # in a task's tables of words
+WORDS_AT_ONCE = 1 << 15  # looked up together, so that the new ones are cut in one call
 SCORED_AT_ONCE = 128  # blocks, so that their logits stay in a core's cache
-LARGE = 60.0  # logits above are shifted before they are raised
+LARGE = 60.0  # logits beyond are shifted before they are raised
 
 FOLDS, HELD_OUT = 7, 2
 
@@ -60,17 +62,27 @@ def read_vocabulary(path: str) -> dict[bytes, int]:
 
 
 class Remembered(dict):
-    """Values of words, found by `find` and kept for the words met before, as long as they are few."""
+    """Values of words, found by `find(words)` many at once and kept as long as they are few."""
 
     def __init__(self, find):
         super().__init__()
         self.find = find
 
-    def __missing__(self, word):
-        if len(self) > KEPT_WORDS:
-            self.clear()
-        value = self[word] = self.find(word)
-        return value
+    def of(self, words: list[bytes]) -> list:
+        out = []
+        for at in range(0, len(words), WORDS_AT_ONCE):
+            part = words[at : at + WORDS_AT_ONCE]
+            values = list(map(self.get, part))
+            new = {word for word, value in zip(part, values) if value is None}
+            if new:
+                if len(self) + len(new) > KEPT_WORDS:
+                    self.clear()
+                    new = set(part)
+                new = list(new)
+                self.update(zip(new, self.find(new)))
+                values = map(self.__getitem__, part)
+            out += values
+        return out
 
 
 class Subwords:
@@ -86,12 +98,9 @@ class Subwords:
             "subwords", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}
         ).encode_ordinary
         self.end = len(ranks)
+        self.begins = begin_words(ranks)
         self.frequent, self.less = frequent or {}, int(leave_one_out)
-        self.through: Counter = Counter()  # words that begin with these ids
-        for word, n in self.frequent.items():
-            ids = self.of(word)[:DEEPEST]
-            for k in range(1, len(ids) + 1):
-                self.through[ids[:k]] += n
+        self.plant()
         self.packed = Remembered(self.pack)
         self.first = np.array([0, _bits(1.0), BEGIN], dtype=np.int32).tobytes()[4:]
         self.last = np.array([self.end], dtype=np.int32).tobytes()
@@ -99,26 +108,76 @@ class Subwords:
     def of(self, word: bytes) -> tuple[int, ...]:
         return tuple(self.encode(" " + word.decode()))
 
-    def pack(self, word: bytes) -> bytes:
-        """For each id: the id, the share of what follows it, and the level of that share."""
-        ids = self.of(word)
-        own = self.frequent.get(word, 0)
-        less = min(self.less, own)
+    def cut(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words end to end, and where each word begins (plus the end)."""
+        ids = np.array(self.encode(" " + b" ".join(words).decode()) if words else [], dtype=np.int64)
+        return ids, np.append(np.flatnonzero(self.begins[ids]), len(ids))
+
+    def plant(self) -> None:
+        """The tree of the frequent words' ids. `edges` are sorted, the k-th leads to node k + 1; `through` counts the
+        words that pass a node. Node 0 is the root, and where no edge leads: nothing passes it."""
+        ids, begins = self.cut(list(self.frequent))
+        n = np.fromiter(self.frequent.values(), dtype=np.int64, count=len(self.frequent))
+        length, node = np.diff(begins), np.zeros(len(n), dtype=np.int64)
+        edges, through, nodes = [np.zeros(0, dtype=np.int64)], [np.zeros(1, dtype=np.int64)], 1
+        on = np.arange(len(n))
+        for k in range(DEEPEST):
+            on = on[length[on] > k]
+            found, which = np.unique(node[on] * (self.end + 1) + ids[begins[on] + k], return_inverse=True)
+            passing = np.zeros(len(found), dtype=np.int64)
+            np.add.at(passing, which, n[on])
+            node[on] = nodes + which
+            nodes += len(found)
+            edges.append(found)
+            through.append(passing)
+        self.edges, self.through = np.concatenate(edges), np.concatenate(through)
+
+    def child(self, node: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        if not len(self.edges):
+            return np.zeros(len(node), dtype=np.int64)
+        edge = node * (self.end + 1) + ids
+        at = np.minimum(np.searchsorted(self.edges, edge), len(self.edges) - 1)
+        return np.where(self.edges[at] == edge, at + 1, 0)
+
+    def pack(self, words: list[bytes]) -> list[bytes]:
+        """For each id of each word: the id, the share of what follows it, and the level of that share."""
+        ids, begins = self.cut(words)
+        own = np.array([self.frequent.get(word, 0) for word in words], dtype=np.int64)
+        less, length = np.minimum(self.less, own), np.diff(begins)
         out = np.zeros((len(ids), 3), dtype=np.int32)
         out[:, 0] = ids
-        for k in range(1, min(len(ids), DEEPEST - 1) + 1):
-            before = self.through.get(ids[:k], 0) - less
-            if before <= 0:
+        shares = out.view(np.float32)
+        on = np.arange(len(words))
+        node = self.child(np.zeros(len(words), dtype=np.int64), ids[begins[:-1]])
+        for k in range(1, DEEPEST):
+            before = self.through[node] - less[on]
+            seen = before > 0
+            on, node, before = on[seen], node[seen], before[seen]
+            if not len(on):
                 break
-            after = (self.through.get(ids[: k + 1], 0) if k < len(ids) else own) - less
-            out[k - 1, 1:] = _bits(after / before), min(before.bit_length(), SEEN - 1)
-        return out.tobytes()
+            at, inner = begins[on] + k - 1, length[on] > k
+            after = own[on]
+            node = self.child(node[inner], ids[at[inner] + 1])
+            after[inner] = self.through[node]
+            shares[at, 1] = (after - less[on]) / before
+            out[at, 2] = np.minimum(np.frexp(before)[1], SEEN - 1)  # its bits
+            on = on[inner]
+        data, places = out.tobytes(), (begins * out[:1].nbytes).tolist()
+        return [data[a:b] for a, b in zip(places, places[1:])]
 
     def text(self, words: list[bytes]) -> np.ndarray:
         """Rows `(share, level, id)` of a text, the end included: `share` is of the id itself, or of any
         beginning if it begins a word."""
-        data = b"".join([self.first, *map(self.packed.__getitem__, words), self.last])
-        return np.frombuffer(data, dtype=np.int32).reshape(-1, 3)
+        return self.texts([words])[0]
+
+    def texts(self, texts: list[list[bytes]]) -> list[np.ndarray]:
+        """The rows of each text, the words of all looked up together."""
+        packed, out, at = self.packed.of(list(chain.from_iterable(texts))), [], 0
+        for words in texts:
+            data = b"".join([self.first, *packed[at : at + len(words)], self.last])
+            out.append(np.frombuffer(data, dtype=np.int32).reshape(-1, 3))
+            at += len(words)
+        return out
 
 
 def _bits(share: float) -> int:
@@ -131,6 +190,19 @@ def tokens(text: bytes | None) -> list[bytes]:
     return (text or b"").lower().split()
 
 
+def in_groups(texts: pa.Array) -> Iterator[list[list[bytes]]]:
+    """Words of each text, in lists of texts that hold about WORDS_AT_ONCE together."""
+    held, n = [], 0
+    for text in texts:
+        held.append(tokens(text.as_py()))
+        n += len(held[-1])
+        if n >= WORDS_AT_ONCE:
+            yield held
+            held, n = [], 0
+    if held:
+        yield held
+
+
 @dataclass(frozen=True)
 class Classes:
     """Class and row of each id, its log share of the row, and each row's class and share of the class."""
@@ -249,9 +321,16 @@ SHAPES = {
     "key": (WIDTH, WIDTH), "value": (WIDTH, WIDTH), "mix": (WIDTH, WIDTH), "out": (WIDTH, CLASSES),
     "counted": (SEEN + 1,),
 }
-MASK = np.where(
-    np.arange(2 * STRIDE)[None, :] <= STRIDE + np.arange(STRIDE)[:, None], 0, -1e9
-).astype(np.float32)
+ALLOWED = np.arange(2 * STRIDE)[None, :] <= STRIDE + np.arange(STRIDE)[:, None]
+MASK = np.where(ALLOWED, 0, -1e9).astype(np.float32)
+ALLOWED = ALLOWED.astype(np.float32)
+SCALE = np.float32(1 / math.sqrt(WIDTH))
+PLACES = np.arange(ROWS * WIDTH).reshape(ROWS, WIDTH)  # of weights in "embed"
+TRAINED = [k for k in SHAPES if k != "counted"]  # by steps
+
+
+def row_sums(values: np.ndarray) -> np.ndarray:
+    return values @ np.ones(values.shape[1], dtype=np.float32)
 
 
 def start(seed: int = 7) -> dict[str, np.ndarray]:
@@ -281,99 +360,117 @@ class Attention:
     def __init__(self, weights: dict[str, np.ndarray], classes: Classes, pairs: Pairs):
         self.w, self.classes, self.pairs = weights, classes, pairs
         self.share = np.exp(pairs.classes)
+        self.counted = pairs.rows + pairs.classes[:, classes.class_of_row]  # log share of a row after a row
 
-    def forward(self, inputs: np.ndarray) -> dict[str, np.ndarray]:
+    def projections(self) -> np.ndarray:
+        """Keys, values and scaled queries of an input side by side."""
+        return np.hstack([self.w["key"], self.w["value"], self.w["query"] * SCALE])
+
+    def forward(self, inputs: np.ndarray, projections: np.ndarray) -> dict[str, np.ndarray]:
         """All values on the way; `added` is what the model adds to the class logits after a row."""
         w = self.w
         row = self.classes.row[inputs]
-        x = w["embed"][row] + w["place"]
-        late = x[:, STRIDE:]
-        q, k, v = late @ w["query"], x @ w["key"], x @ w["value"]
+        x = np.take(w["embed"], row, axis=0)
+        x += w["place"]
+        projected = (x.reshape(-1, WIDTH) @ projections).reshape(*row.shape, -1)
+        k, v = projected[:, :, :WIDTH], projected[:, :, WIDTH : 2 * WIDTH]
+        q = projected[:, STRIDE:, 2 * WIDTH :]
         s = q @ k.transpose(0, 2, 1)
-        s *= np.float32(1 / math.sqrt(WIDTH))
-        s += MASK
         there = inputs >= 0
         partly = np.flatnonzero(~there.all(axis=1))
-        s[partly] += np.where(there[partly], 0, -1e9).astype(np.float32)[:, None, :]
-        s -= s.max(axis=2, keepdims=True)
+        if max(s.max(), -s.min()) > LARGE:
+            s += MASK
+            s[partly] += np.where(there[partly], 0, -1e9).astype(np.float32)[:, None, :]
+            s -= s.max(axis=2, keepdims=True)
         a = np.exp(s, out=s)
-        a /= a.sum(axis=2, keepdims=True)
-        read = a @ v
-        h = late + read @ w["mix"]
+        a *= ALLOWED
+        a[partly] *= there[partly][:, None, :]
+        a *= (1 / row_sums(a.reshape(-1, 2 * STRIDE))).reshape(*a.shape[:2], 1)
+        read = (a @ v).reshape(-1, WIDTH)
+        h = read @ w["mix"]
+        h += x[:, STRIDE:].reshape(-1, WIDTH)
         last = row[:, STRIDE:].ravel()
+        added = h @ w["out"]
+        if max(added.max(), -added.min()) > LARGE:
+            added -= added.max(axis=1, keepdims=True)
         return {
-            "x": x, "q": q, "k": k, "v": v, "a": a, "read": read, "h": h, "last": last,
-            "added": h.reshape(-1, WIDTH) @ w["out"],
+            "row": row, "x": x, "q": q, "k": k, "v": v, "a": a, "read": read, "h": h, "last": last, "added": added,
         }
 
+    def masses(self, f: dict[str, np.ndarray], wanted: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Mass of each class (in place of `added`), the log of the target's, and those of all beginnings and of all
+        ids."""
+        added, last, classes = f["added"], f["last"], self.classes
+        chosen = added[np.arange(len(wanted)), classes.of[wanted]]
+        chosen += self.counted[last, classes.row[wanted]]
+        chosen += classes.log_share[wanted]
+        mass = np.exp(added, out=added)
+        mass *= np.take(self.share, last, axis=0)
+        starts = row_sums(mass[:, :STARTS])
+        return mass, chosen, starts, starts + row_sums(mass[:, STARTS:])
+
     def log_p(self, b: Blocks) -> np.ndarray:
         """Natural log probability of each target; 0 where there is none."""
-        f = self.forward(b.inputs)
-        added, last, wanted = f["added"], f["last"], b.targets.ravel()
-        if added.max() > LARGE:
-            added -= added.max(axis=1, keepdims=True)
-        of = self.classes.of[wanted]
-        chosen = added[np.arange(len(wanted)), of] + self.pairs.classes[last, of]
-        np.exp(added, out=added)
-        share = self.share[last]
-        starts = np.einsum("ij,ij->i", added[:, :STARTS], share[:, :STARTS])
-        total = starts + np.einsum("ij,ij->i", added[:, STARTS:], share[:, STARTS:])
-        got = self.mixed(b, chosen + self.within(last, wanted), np.log(starts), np.log(total))[0]
-        return np.where(wanted >= 0, got, 0.0).reshape(b.targets.shape)
-
-    def within(self, last: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-        """Log share of an id in its class."""
-        return self.pairs.rows[last, self.classes.row[wanted]] + self.classes.log_share[wanted]
-
-    def mixed(self, b: Blocks, chosen, starts, total) -> tuple[np.ndarray, np.ndarray]:
-        """Log probability of each target, and how much of it the attention answers for.
-
-        `chosen`, `starts` and `total` are logs of the attention's mass of the target, of all beginnings and of
-        all ids. The two opinions are mixed on whether a word begins; which one, the attention tells.
+        out, projections = np.zeros(b.targets.shape), self.projections()
+        for at in range(0, len(b), SCORED_AT_ONCE):
+            part = b.part(slice(at, at + SCORED_AT_ONCE))
+            wanted = part.targets.ravel()
+            _, chosen, starts, total = self.masses(self.forward(part.inputs, projections), wanted)
+            begins, mine, both = self.mixed(part, chosen, starts, total)
+            got = np.where(begins, chosen - np.log(starts), 0) + np.log(both)
+            out[at : at + SCORED_AT_ONCE] = np.where(wanted >= 0, got, 0).reshape(part.targets.shape)
+        return out
+
+    def mixed(self, b: Blocks, chosen, starts, total) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Which targets begin a word, and the attention's part of the mixed opinion and the whole of it.
+
+        `chosen` is the log of the attention's mass of the target; `starts` and `total` are its masses of all
+        beginnings and of all ids. The two opinions are mixed on whether a word begins; which one, the attention
+        tells.
         """
         begins = self.classes.of[b.targets.ravel()] < STARTS
         counted = self.w["counted"][b.levels.ravel()]
-        mine = (1 - counted) * np.exp(np.where(begins, starts, chosen) - total)
-        both = np.maximum(mine + counted * b.shares.ravel(), 1e-30)
-        return np.where(begins, chosen - starts, 0.0) + np.log(both), mine / both
+        mine = (1 - counted) * (np.where(begins, starts, np.exp(chosen)) / total)
+        return begins, mine, np.maximum(mine + counted * b.shares.ravel(), 1e-30)
 
     def gradient(self, b: Blocks) -> tuple[dict[str, np.ndarray], np.ndarray]:
         """Of the mean loss, and for each target how much the attention answers for it."""
-        w, inputs, f = self.w, b.inputs, self.forward(b.inputs)
-        wanted = b.targets.ravel()
+        w, inputs, wanted, projections = self.w, b.inputs, b.targets.ravel(), self.projections()
+        f = self.forward(inputs, projections)
+        p, chosen, starts, total = self.masses(f, wanted)
+        begins, mine, both = self.mixed(b, chosen, starts, total)
+        mine /= both
+        # The gradient of the logits is `p` with its beginnings times `lead` and the others times `rest`.
+        rest = mine / total
+        lead = rest + np.where(begins, (1 - mine) / starts, 0)
+        p[np.arange(len(wanted)), self.classes.of[wanted]] -= np.where(begins, 1 / lead, total)
         there = wanted >= 0
-        at = np.arange(len(wanted)), self.classes.of[wanted]
-        p = f["added"] + self.pairs.classes[f["last"]]
-        p -= p.max(axis=1, keepdims=True)
-        chosen = p[at] + self.within(f["last"], wanted)
-        np.exp(p, out=p)
-        starts = p[:, :STARTS].sum(axis=1)
-        total = starts + p[:, STARTS:].sum(axis=1)
-        mine = self.mixed(b, chosen, np.log(starts), np.log(total))[1]
-        begins = at[1] < STARTS
-        one = np.where(begins, 1, mine)
-        one /= max(1, there.sum())
-        one[~there] = 0
-        of_all = mine * there / max(1, there.sum())
-        p[:, :STARTS] *= (of_all / total + (one - of_all) * begins / starts).astype(np.float32)[:, None]
-        p[:, STARTS:] *= (of_all / total).astype(np.float32)[:, None]
-        p[at] -= one.astype(np.float32)
-        g = {"out": f["h"].reshape(-1, WIDTH).T @ p}
-        dh = (p @ w["out"].T).reshape(f["h"].shape)
-        g["mix"] = f["read"].reshape(-1, WIDTH).T @ dh.reshape(-1, WIDTH)
+        there = there / np.float32(max(1, there.sum()))
+        g, dh = {"out": np.empty_like(w["out"])}, 0
+        for part, times in ((slice(0, STARTS), lead), (slice(STARTS, CLASSES), rest)):
+            times = (times * there)[:, None]
+            g["out"][:, part] = (p[:, part].T @ (f["h"] * times)).T
+            dh += (p[:, part] @ w["out"][:, part].T) * times
+        g["mix"] = f["read"].T @ dh
         dread = dh @ w["mix"].T
-        da = dread @ f["v"].transpose(0, 2, 1)
-        dv = f["a"].transpose(0, 2, 1) @ dread
-        ds = f["a"] * (da - (da * f["a"]).sum(axis=2, keepdims=True)) / np.float32(math.sqrt(WIDTH))
-        dq, dk = ds @ f["k"], ds.transpose(0, 2, 1) @ f["q"]
-        x, late = f["x"].reshape(-1, WIDTH), f["x"][:, STRIDE:].reshape(-1, WIDTH)
-        g["query"] = late.T @ dq.reshape(-1, WIDTH)
-        g["key"], g["value"] = x.T @ dk.reshape(-1, WIDTH), x.T @ dv.reshape(-1, WIDTH)
-        dx = dk @ w["key"].T + dv @ w["value"].T
-        dx[:, STRIDE:] += dh + dq @ w["query"].T
+        along = np.einsum("ij,ij->i", dread, f["read"]).reshape(-1, STRIDE, 1)
+        dread = dread.reshape(-1, STRIDE, WIDTH)
+        ds = dread @ f["v"].transpose(0, 2, 1)
+        ds -= along
+        ds *= f["a"]
+        d = np.zeros((len(b), 2 * STRIDE, 3 * WIDTH), dtype=np.float32)
+        np.matmul(ds.transpose(0, 2, 1), f["q"], out=d[:, :, :WIDTH])
+        np.matmul(f["a"].transpose(0, 2, 1), dread, out=d[:, :, WIDTH : 2 * WIDTH])
+        np.matmul(ds, f["k"], out=d[:, STRIDE:, 2 * WIDTH :])
+        d = d.reshape(-1, 3 * WIDTH)
+        projected = (d.T @ f["x"].reshape(-1, WIDTH)).T
+        g["key"], g["value"] = projected[:, :WIDTH], projected[:, WIDTH : 2 * WIDTH]
+        g["query"] = projected[:, 2 * WIDTH :] * SCALE
+        dx = (d @ projections.T).reshape(-1, 2 * STRIDE, WIDTH)
+        dx[:, STRIDE:] += dh.reshape(-1, STRIDE, WIDTH)
         dx[inputs < 0] = 0
         g["place"] = dx.sum(axis=0)
-        place = self.classes.row[inputs].reshape(-1, 1) * WIDTH + np.arange(WIDTH)
+        place = np.take(PLACES, f["row"], axis=0)
         g["embed"] = np.bincount(place.ravel(), dx.ravel(), ROWS * WIDTH).reshape(ROWS, WIDTH).astype(np.float32)
         return g, mine
 
@@ -383,8 +480,10 @@ class Learner:
 
     def __init__(self, model: Attention, seed: int, rate: float = 0.01):
         self.model, self.rate, self.random = model, rate, np.random.default_rng(seed)
-        self.first = {k: np.zeros_like(v) for k, v in model.w.items()}
-        self.second = {k: np.zeros_like(v) for k, v in model.w.items()}
+        self.weights = np.concatenate([model.w[k].ravel() for k in TRAINED])
+        parts = np.split(self.weights, np.cumsum([model.w[k].size for k in TRAINED])[:-1])
+        model.w.update({k: part.reshape(SHAPES[k]) for k, part in zip(TRAINED, parts)})
+        self.first, self.second = np.zeros_like(self.weights), np.zeros_like(self.weights)
         self.steps = self.seen = 0
         self.counted, self.levels = np.zeros(SEEN + 1), np.zeros(SEEN + 1)
         self.rest: Blocks | None = None
@@ -411,11 +510,17 @@ class Learner:
         self.steps += 1
         self.seen += len(b)
         gradient, mine = self.model.gradient(b)
-        for k, g in gradient.items():
-            first[k] = 0.9 * first[k] + 0.1 * g
-            second[k] = 0.99 * second[k] + 0.01 * g * g
-            size_of = np.sqrt(second[k] / (1 - 0.99**self.steps)) + 1e-8
-            w[k] = w[k] - rate * (first[k] / (1 - 0.9**self.steps)) / size_of
+        g = np.concatenate([gradient[k].ravel() for k in TRAINED])
+        first *= 0.9
+        first += 0.1 * g
+        g *= g
+        second *= 0.99
+        second += 0.01 * g
+        np.sqrt(second / (1 - 0.99**self.steps), out=g)
+        g += 1e-8
+        np.divide(first, g, out=g)
+        g *= rate / (1 - 0.9**self.steps)
+        self.weights -= g
         # The shares of the two opinions by expectation-maximisation; old steps fade.
         there = b.targets.ravel() >= 0
         levels = b.levels.ravel()[there]
@@ -446,6 +551,14 @@ def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def cut_words(subwords: Subwords, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, int]:
+    """Ids of a batch's words `(word, n)` end to end, the n of each id's word, and the n of the null word."""
+    known = batch.filter(batch["word"].is_valid())
+    ids, begins = subwords.cut(known["word"].to_pylist())
+    n = known["n"].to_numpy()
+    return ids, np.repeat(n, np.diff(begins)), sum(batch["n"].to_pylist()) - int(n.sum())
+
+
 def count_ids(ranks: dict[bytes, int]):
     """`(id, n)` from the words of the corpus and their counts, a dense vector for each task."""
 
@@ -453,12 +566,9 @@ def count_ids(ranks: dict[bytes, int]):
         subwords = Subwords(ranks)
         held = np.zeros(subwords.end + 1, dtype=np.int64)
         for batch in batches:
-            for word, n in zip(batch["word"].to_pylist(), batch["n"].to_pylist()):
-                if word is None:
-                    held[subwords.end] += n
-                else:
-                    for i in subwords.encode(" " + word.decode()):
-                        held[i] += n
+            ids, n, ends = cut_words(subwords, batch)
+            np.add.at(held, ids, n)
+            held[subwords.end] += ends
         seen = np.flatnonzero(held)
         yield _rows(id=pa.array(seen.astype(np.int32)), n=pa.array(held[seen]))
 
@@ -471,13 +581,10 @@ def pairs_within(ranks: dict[bytes, int], classes: Classes):
     def count(batches):
         subwords = Subwords(ranks)
         held = np.zeros(ROWS * ROWS, dtype=np.int64)
-        row = classes.row.tolist()
         for batch in batches:
-            for word, n in zip(batch["word"].to_pylist(), batch["n"].to_pylist()):
-                if word is not None:
-                    rows = [row[i] for i in subwords.encode(" " + word.decode())]
-                    for a, b in zip(rows, rows[1:]):
-                        held[a * ROWS + b] += n
+            ids, n, _ = cut_words(subwords, batch)
+            inner = np.flatnonzero(~subwords.begins[ids])
+            np.add.at(held, classes.row[ids[inner - 1]] * ROWS + classes.row[ids[inner]], n[inner])
         seen = np.flatnonzero(held)
         yield _rows(id=pa.array(seen.astype(np.int32)), n=pa.array(held[seen]))
 
@@ -490,22 +597,21 @@ def pairs_between(ranks: dict[bytes, int], classes: Classes):
     def count(batches):
         subwords = Subwords(ranks)
         held = np.zeros(ROWS * ROWS, dtype=np.int64)
-        row = classes.row.tolist()
-        end = row[subwords.end]
+        end = classes.row[subwords.end]
 
-        def ends(word: bytes) -> int:
-            ids = subwords.encode(" " + word.decode())
-            return row[ids[0]] * ROWS + row[ids[-1]]
+        def ends(words: list[bytes]) -> list[int]:
+            ids, begins = subwords.cut(words)
+            return (classes.row[ids[begins[:-1]]] * ROWS + classes.row[ids[begins[1:] - 1]]).tolist()
 
         known = Remembered(ends)
         for batch in batches:
-            codes = []
-            for text in batch["text"]:
-                words = tokens(text.as_py())
-                both = np.fromiter(map(known.__getitem__, words), dtype=np.int64, count=len(words))
-                codes.append(np.append(end, both % ROWS) * ROWS + np.append(both // ROWS, end))
-            if codes:
-                held += np.bincount(np.concatenate(codes), minlength=len(held))
+            for group in in_groups(batch["text"]):
+                both = np.array(known.of(list(chain.from_iterable(group))), dtype=np.int64)
+                # A text of n words has n + 1 pairs.
+                place = np.arange(len(both)) + np.repeat(np.arange(len(group)), list(map(len, group)))
+                before, after = (np.full(len(both) + len(group), end) for _ in range(2))
+                before[place + 1], after[place] = both % ROWS, both // ROWS
+                np.add.at(held, before * ROWS + after, 1)
         seen = np.flatnonzero(held)
         yield _rows(id=pa.array(seen.astype(np.int32)), n=pa.array(held[seen]))
 
@@ -527,9 +633,9 @@ def train_part(
             if subwords is None:
                 subwords = Subwords(ranks, frequent, leave_one_out=True)
                 learner = Learner(Attention(unflat(weights), classes, pairs), seed)
-            for text in batch["text"]:
-                texts.append(subwords.text(tokens(text.as_py())))
-                n += -(-len(texts[-1]) // STRIDE)
+            for text in chain.from_iterable(map(subwords.texts, in_groups(batch["text"]))):
+                texts.append(text)
+                n += -(-len(text) // STRIDE)
                 if n >= SHUFFLED:
                     learner.learn(blocks(texts, subwords.end))
                     texts, n = [], 0
@@ -609,17 +715,9 @@ SCORED = (
 def score_part(model: Model, ends: int):
     """Scores of the model, and what the frequent words add to the base score; other words are listed.
 
-    Texts are scored in lists of about 2 ** 15 ids, a long text in parts of the like.
+    Texts are scored in lists of about WORDS_AT_ONCE words, a long text in parts.
     """
 
-    def flush(held, attention, end):
-        rows = blocks(held, end)
-        out = np.zeros(len(held))
-        for at in range(0, len(rows), SCORED_AT_ONCE):
-            part = rows.part(slice(at, at + SCORED_AT_ONCE))
-            out += np.bincount(part.owner, weights=attention.log_p(part).sum(axis=1), minlength=len(held))
-        return out / math.log(10)
-
     def score(batches):
         frequent = model.frequent
         subwords = Subwords(model.ranks, frequent)
@@ -627,24 +725,19 @@ def score_part(model: Model, ends: int):
         for batch in batches:
             doc_ids, held_out = batch["doc_id"], batch["held_out"]
             n_tokens, n_known, known, scores, rare, rare_n = [], [], [], [], [], []
-            held, used = [], 0
-            for text in batch["text"]:
-                words = tokens(text.as_py())
-                counts = Counter(words)
-                other = {w: n for w, n in counts.items() if w not in frequent}
-                seen = [(n, frequent[w]) for w, n in counts.items() if w in frequent]
-                n_tokens.append(len(words) + 1)
-                n_known.append(sum(n for n, _ in seen) + (ends > 0))
-                known.append(math.fsum(n * math.log10(c + 1) for n, c in seen) + math.log10(ends + 1))
-                rare.append(list(other))
-                rare_n.append(list(other.values()))
-                held.append(subwords.text(words))
-                used += len(held[-1])
-                if used > 1 << 15:
-                    scores += flush(held, attention, subwords.end).tolist()
-                    held, used = [], 0
-            if held:
-                scores += flush(held, attention, subwords.end).tolist()
+            for group in in_groups(batch["text"]):
+                for words in group:
+                    counts = Counter(words)
+                    other = {w: n for w, n in counts.items() if w not in frequent}
+                    seen = [(n, frequent[w]) for w, n in counts.items() if w in frequent]
+                    n_tokens.append(len(words) + 1)
+                    n_known.append(sum(n for n, _ in seen) + (ends > 0))
+                    known.append(math.fsum(n * math.log10(c + 1) for n, c in seen) + math.log10(ends + 1))
+                    rare.append(list(other))
+                    rare_n.append(list(other.values()))
+                rows = blocks(subwords.texts(group), subwords.end)
+                of_blocks = attention.log_p(rows).sum(axis=1)
+                scores += (np.bincount(rows.owner, of_blocks, len(group)) / math.log(10)).tolist()
             yield _rows(
                 doc_id=doc_ids, held_out=held_out, n_tokens=pa.array(n_tokens, pa.int64()),
                 n_known=pa.array(n_known, pa.int64()), known=pa.array(known, pa.float64()),

@@ -501,6 +501,62 @@ def test_very_long_words_are_packed_in_linear_time():
     assert not levels[lm.DEEPEST :].any() and not shares[lm.DEEPEST :].any()
 
 
+def test_words_are_cut_together():
+    ranks = lm.read_vocabulary(lm.VOCABULARY)
+    words = [f"{k * 7919:x}q\u00e9{k % 13}".encode() for k in range(500)] * 2
+    frequent = {w: k + 1 for k, w in enumerate(words[:500:3])} | {b"a" * 300: 2}
+    for less in (False, True):
+        alone, together = (lm.Subwords(ranks, frequent, leave_one_out=less) for _ in range(2))
+        parts = [alone.text([w])[:-1] for w in words]
+        calls, encode = [], together.encode
+        together.encode = lambda text: calls.append(text) or encode(text)
+        rows = together.text(words)
+        assert len(calls) <= 3
+        assert rows[:, 2].tolist() == [i for p in parts for i in p[:, 2]] + [together.end]
+        # A word's share and level of what follows it stand in the row after it.
+        after = [alone.text([w])[1:, :2].tolist() for w in words]
+        assert rows[1:, :2].tolist() == [x for a in after for x in a]
+
+
+def test_few_words_are_kept(monkeypatch):
+    monkeypatch.setattr(lm, "KEPT_WORDS", 10)
+    monkeypatch.setattr(lm, "WORDS_AT_ONCE", 8)
+    ranks = lm.read_vocabulary(lm.VOCABULARY)
+    words = [f"w{k % 23}x{k * k % 31}".encode() for k in range(200)]
+    subwords = lm.Subwords(ranks)
+    assert subwords.text(words)[:, 2].tolist() == [*(i for w in words for i in subwords.of(w)), subwords.end]
+    assert len(subwords.packed) <= 10
+
+
+def test_counts_of_ids_and_pairs_match_plain_python():
+    np, pa = lm.np, lm.pa
+    ranks = lm.read_vocabulary(lm.VOCABULARY)
+    subwords = lm.Subwords(ranks)
+    classes = lm.Classes.fit(np.ones(len(ranks) + 1), lm.begin_words(ranks))
+    texts = [b"Undoable tokens undoable", b"", None, "\u00e9t\u00e9 zzqx tokens".encode(), b"  ", b"x" * 50]
+    ids, within, between, counts = Counter(), Counter(), Counter(), Counter()
+    for text in texts:
+        words = [subwords.of(w) for w in lm.tokens(text)]
+        rows = [[int(classes.row[i]) for i in w] for w in words]
+        counts.update([*lm.tokens(text), None])
+        ids.update([i for w in words for i in w] + [subwords.end])
+        end = [int(classes.row[subwords.end])]
+        for w in rows:
+            within.update(a * lm.ROWS + b for a, b in zip(w, w[1:]))
+        between.update(a[-1] * lm.ROWS + b[0] for a, b in zip([end, *rows], [*rows, end]))
+    table = pa.RecordBatch.from_arrays(
+        [pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"]
+    )
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.binary())], names=["text"])
+    for count, rows, wanted in (
+        (lm.count_ids(ranks), table, ids), (lm.pairs_within(ranks, classes), table, within),
+        (lm.pairs_between(ranks, classes), batch, between),
+    ):
+        for batches in ([rows], [rows.slice(0, 2), rows.slice(2), rows.slice(0, 0)]):
+            got = [r for out in count(iter(batches)) for r in zip(*(c.to_pylist() for c in out.columns))]
+            assert dict(got) == dict(wanted)
+
+
 def test_parts_do_not_depend_on_the_files(spark, docs):
     texts = docs.select("doc_id", lm.F.coalesce("text", lm.F.lit("")).cast("binary").alias("text"))
     once, again = (
